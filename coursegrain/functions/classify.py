@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .binding import let
 from .paths import is_content_file
 from .text import clean, contains_any, strip
 
@@ -20,7 +21,10 @@ def week_number(c: Column) -> Column:
 
 def heading_bucket(c: Column, page_title: bool = False) -> Column:
     """Section bucket of a heading (or page title); NULL when no word of the vocabulary occurs."""
-    t = F.lower(strip(F.coalesce(c, F.lit(""))))
+    return let(F.lower(strip(F.coalesce(c, F.lit("")))), lambda t: _bucket(t, page_title))
+
+
+def _bucket(t: Column, page_title: bool) -> Column:
     tail = [("resources", K.RESOURCE_WORDS), ("lessons", K.LESSON_WORDS), ("overview", K.OVERVIEW_WORDS)]
     if page_title:
         tail = tail[1:] + tail[:1]
@@ -104,33 +108,41 @@ def class_tokens(classes: Column) -> Column:
 
 def style_note(style: Column) -> Column:
     """Up to two colour/border facts of an inline style."""
-    notes = []
-    for name, label in (("background-color", "background"), ("background", "background"), ("border-color", "border"), ("border", "border")):
-        value = clean(F.regexp_extract(F.coalesce(style, F.lit("")), rf"(?i){name}\s*:\s*([^;]+)", 1))
-        keep = (value != "") & ~F.lower(value).startswith("url(")
-        notes.append(F.when(keep, F.concat(F.lit(f"{label}: "), value)))
-    return F.array_join(F.slice(F.array_compact(F.array(*notes)), 1, 2), "; ")
+
+    def fact(name: str, label: str) -> Column:
+        found = clean(F.regexp_extract(style, rf"(?i){name}\s*:\s*([^;]+)", 1))
+        return let(found, lambda v: F.when((v != "") & ~F.lower(v).startswith("url("), F.concat(F.lit(f"{label}: "), v)))
+
+    facts = F.array(
+        fact("background-color", "background"), fact("background", "background"),
+        fact("border-color", "border"), fact("border", "border"),
+    )
+    return F.when(F.coalesce(style, F.lit("")) == "", "").otherwise(F.array_join(F.slice(F.array_compact(facts), 1, 2), "; "))
+
+
+def _class_label(tokens: Column) -> Column:
+    label = F.when(F.arrays_overlap(tokens, F.array(*[F.lit(x) for x in K.VISUAL_EXCLUDED])), F.lit(None).cast("string"))
+    for key, name in K.VISUAL_LABELS:
+        label = label.when(_visual_hit(tokens, key), name)
+    return F.when(F.size(tokens) > 0, label)
 
 
 def visual_label(tag: Column, classes: Column, style: Column) -> Column:
     """Label of a visual container, NULL when the element is none.
 
-    The first matching class decides; a quiet label hides the element unless no
-    class matches and its inline style says something.
+    The first matching class decides; a quiet label hides the element, and an
+    inline style speaks only where no class matched.
     """
+
+    def chosen(label: Column) -> Column:
+        return (
+            F.when(label.isin(*K.QUIET_VISUAL_LABELS), F.lit(None).cast("string"))
+            .when(label.isNotNull(), label)
+            .otherwise(let(style_note(style), lambda n: F.when(n != "", F.concat(F.lit("Styled section ("), n, F.lit(")")))))
+        )
+
     tokens = F.transform(class_tokens(classes), F.lower)
-    excluded = F.arrays_overlap(tokens, F.array(*[F.lit(x) for x in K.VISUAL_EXCLUDED]))
-    label = F.when(F.lit(False), "")
-    for key, name in K.VISUAL_LABELS:
-        label = label.when(_visual_hit(tokens, key), name)
-    label = F.when(~excluded, label)
-    note = style_note(style)
-    return F.when(
-        F.lower(tag).isin(*K.VISUAL_TAGS),
-        F.when(label.isin(*K.QUIET_VISUAL_LABELS), F.lit(None))
-        .when(label.isNotNull(), label)
-        .when(note != "", F.concat(F.lit("Styled section ("), note, F.lit(")"))),
-    )
+    return F.when(tag.isin(*K.VISUAL_TAGS), let(let(tokens, _class_label), chosen))
 
 
 def is_course_introduction(title: Column, is_hidden: Column) -> Column:
@@ -143,9 +155,5 @@ def reference_class(ref: Column) -> Column:
     from .text import unescape
 
     target = cut_query(F.replace(unescape(unquote(strip(ref))), F.lit("\\"), F.lit("/")))
-    return (
-        F.when((strip(ref) == "") | has_scheme(ref), "external")
-        .when(target == "", "empty")
-        .when(target.startswith("/"), "server")
-        .otherwise("relative")
-    )
+    inside = let(target, lambda t: F.when(t == "", "empty").when(t.startswith("/"), "server").otherwise("relative"))
+    return F.when((strip(ref) == "") | has_scheme(ref), "external").otherwise(inside)

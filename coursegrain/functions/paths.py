@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .binding import let
 from .text import clean, unescape
 
 
@@ -15,8 +16,12 @@ def _one_of(words) -> str:
 
 def unquote(c: Column) -> Column:
     """Percent-decoding that keeps ``+`` and malformed escapes as written."""
-    safe = F.replace(F.regexp_replace(c, r"%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
-    return F.when(F.contains(c, F.lit("%")), F.coalesce(F.try_url_decode(safe), c)).otherwise(c)
+
+    def decoded(raw: Column) -> Column:
+        safe = F.replace(F.regexp_replace(raw, r"%(?![0-9A-Fa-f]{2})", "%25"), F.lit("+"), F.lit("%2B"))
+        return F.when(F.contains(raw, F.lit("%")), F.coalesce(F.try_url_decode(safe), raw)).otherwise(raw)
+
+    return let(c, decoded)
 
 
 def cut_query(c: Column) -> Column:
@@ -29,11 +34,7 @@ def href_path_part(href: Column) -> Column:
 
 
 def has_scheme(href: Column) -> Column:
-    low = F.lower(clean(href))
-    hit = low.startswith(K.NON_LOCAL_PREFIXES[0])
-    for prefix in K.NON_LOCAL_PREFIXES[1:]:
-        hit = hit | low.startswith(prefix)
-    return hit
+    return F.lower(clean(href)).rlike("^(" + "|".join(K.NON_LOCAL_PREFIXES) + ")")
 
 
 def is_local_href(href: Column) -> Column:
@@ -50,8 +51,7 @@ def href_suffix(href: Column) -> Column:
 
 
 def is_content_file(href: Column) -> Column:
-    ext = href_suffix(href)
-    return (ext != "") & ~ext.isin(*K.PAGE_SUFFIXES)
+    return let(href_suffix(href), lambda ext: (ext != "") & ~ext.isin(*K.PAGE_SUFFIXES))
 
 
 def parent_dir(path: Column) -> Column:

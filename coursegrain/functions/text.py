@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+from functools import reduce
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -15,12 +15,6 @@ SPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3
 NOT_XML_SAFE = r"[^\x{9}\x{A}\x{D}\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
 SCRIPT_STYLE = r"(?is)<(script|style)\b.*?</\1>"
 
-_COMMON = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
-)
-
-
 def strip(c: Column) -> Column:
     """Trim every kind of blank space at both ends."""
     return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
@@ -48,41 +42,63 @@ def clean_label(c: Column) -> Column:
 
 def safe_label(c: Column) -> Column:
     kept = F.regexp_replace(F.regexp_replace(c, r"[^A-Za-z0-9._-]+", "_"), "^_+|_+$", "")
-    return F.when(kept == "", F.lit("export")).otherwise(kept)
+    return F.coalesce(F.nullif(kept, F.lit("")), F.lit("export"))
 
 
-def _code_point(n: Column) -> Column:
-    """Character for a numeric reference, following the HTML5 repair rules."""
-    windows = F.create_map(*[F.lit(v) for pair in _windows_1252() for v in pair])
-    n = F.coalesce(n, F.lit(0x110000).cast("long"))
-    char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    dropped = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF) \
-        | ((n.bitwiseAND(F.lit(0xFFFE).cast("long")) == 0xFFFE) & (n <= 0x10FFFF))
-    return (
-        F.when(n == 13, F.lit("\r"))
-        .when(n.between(128, 159), F.coalesce(F.element_at(windows, n.cast("int")), char))
-        .when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("�"))
-        .when(dropped, F.lit(""))
-        .otherwise(char)
-    )
+def _reference_table() -> tuple[str, str]:
+    """The HTML5 table of the standard library as one string, and the prefix pattern of its bare names.
 
-
-def _windows_1252():
-    for code in range(128, 160):
-        try:
-            yield code, bytes([code]).decode("cp1252")
-        except UnicodeDecodeError:
-            continue
-
-
-def _named_references() -> tuple[Column, Column, str]:
-    """Name maps and prefix pattern generated from the HTML5 table in the standard library."""
+    One string literal keeps plans small; a map literal of 2,231 entries makes
+    every plan traversal slow.
+    """
     bare_names = sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))
-
-    def as_map(names) -> Column:
-        return F.from_json(F.lit(json.dumps({k: html5[k] for k in names})), "map<string,string>")
-
-    return as_map(sorted(k for k in html5 if k.endswith(";"))), as_map(bare_names), "^(" + "|".join(bare_names) + ")"
+    table = "".join(f"\x01{name}\x02{char}" for name, char in sorted(html5.items())) + "\x01"
+    return table, "^(" + "|".join(bare_names) + ")"
+
+
+# Code points 128-159 as browsers read them: Windows-1252 where it defines one.
+_WINDOWS = "".join(bytes([n]).decode("cp1252", errors="ignore") or chr(n) for n in range(128, 160))
+_TABLE, _BARE = _reference_table()
+
+_FROM_CODE = """
+element_at(transform(array(coalesce({code}, 1114112L)), n -> CASE
+    WHEN n = 13 THEN chr(13)
+    WHEN n BETWEEN 128 AND 159 THEN substring(v.w, CAST(n - 127 AS INT), 1)
+    WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN decode(unhex('0000FFFD'), 'UTF-32')
+    WHEN n BETWEEN 1 AND 8 OR n = 11 OR n BETWEEN 14 AND 31 OR n = 127 OR n BETWEEN 64976 AND 65007
+        OR n % 65536 >= 65534 THEN ''
+    ELSE decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32') END), 1)
+"""
+_BY_NAME = """
+element_at(transform(array(regexp_extract(p, {pattern}, 1)), k -> CASE WHEN k <> '' THEN
+    concat(nullif(split_part(split_part(v.t, concat(chr(1), k, chr(2)), 2), chr(1), 1), ''),
+           substring(p, length(k) + 1)) END), 1)
+"""
+_COMMON_REPLACED = reduce(
+    lambda inner, pair: f"replace({inner}, '{pair[0]}', {pair[1]})",
+    (
+        ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&#39;", "chr(39)"), ("&apos;", "chr(39)"),
+        ("&nbsp;", "chr(160)"), ("&copy;", "chr(169)"), ("&middot;", "chr(183)"), ("&amp;", "'&'"),
+    ),
+    "v.s",
+)
+_UNESCAPE = f"""
+v -> CASE
+  WHEN NOT contains(v.s, '&') THEN v.s
+  WHEN NOT rlike(v.s, r'&(?!(?:amp|lt|gt|quot|nbsp|copy|middot|#39|apos);|[^#A-Za-z]|$)') THEN {_COMMON_REPLACED}
+  ELSE array_join(transform(split(v.s, '&'), (p, i) -> CASE
+    WHEN i = 0 THEN p
+    WHEN rlike(p, '^#[0-9]') THEN concat(
+      {_FROM_CODE.format(code="try_cast(regexp_extract(p, '^#([0-9]+)', 1) AS BIGINT)")},
+      regexp_replace(p, '^#[0-9]+;?', ''))
+    WHEN rlike(p, '^#[xX][0-9a-fA-F]') THEN concat(
+      {_FROM_CODE.format(code="try_cast(conv(regexp_extract(p, '^#[xX]([0-9a-fA-F]+)', 1), 16, 10) AS BIGINT)")},
+      regexp_replace(p, '^#[xX][0-9a-fA-F]+;?', ''))
+    ELSE coalesce(
+      {_BY_NAME.format(pattern="'^([A-Za-z][A-Za-z0-9]*;)'")},
+      {_BY_NAME.format(pattern="v.b")},
+      concat('&', p)) END), '') END
+"""
 
 
 def unescape(c: Column) -> Column:
@@ -92,39 +108,8 @@ def unescape(c: Column) -> Column:
     unescaped twice).  Only text holding any other reference takes the general
     route: split at ``&`` and decode the head of each piece.
     """
-    return let(c, _unescape)
-
-
-def _unescape(c: Column) -> Column:
-    simple = c
-    for name, char in _COMMON:
-        simple = F.replace(simple, F.lit(name), F.lit(char))
-    rare = c.rlike(r"&(?!(?:amp|lt|gt|quot|nbsp|copy|middot|#39|apos);|[^#A-Za-z]|$)")
-    general = F.array_join(F.transform(F.split(c, "&"), lambda p, i: F.when(i == 0, p).otherwise(_decode_head(p))), "")
-    return F.when(~F.contains(c, F.lit("&")), c).when(~rare, simple).otherwise(general)
-
-
-def _decode_head(p: Column) -> Column:
-    """Text after one ``&``: decode the reference it starts with, if any."""
-    named_map, bare_map, bare_pattern = _named_references()
-    rest = lambda pattern: F.regexp_replace(p, pattern, "")
-    dec = F.regexp_extract(p, r"^#([0-9]+)", 1)
-    hexa = F.regexp_extract(p, r"^#[xX]([0-9a-fA-F]+)", 1)
-    named = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*;)", 1)
-    bare = F.regexp_extract(p, bare_pattern, 1)
-    return (
-        F.when(dec != "", F.concat(let(dec.try_cast("long"), _code_point), rest(r"^#[0-9]+;?")))
-        .when(
-            hexa != "",
-            F.concat(let(F.conv(hexa, 16, 10).try_cast("long"), _code_point), rest(r"^#[xX][0-9a-fA-F]+;?")),
-        )
-        .when(
-            (named != "") & F.element_at(named_map, named).isNotNull(),
-            F.concat(F.element_at(named_map, named), F.substr(p, F.length(named) + 1)),
-        )
-        .when(bare != "", F.concat(F.element_at(bare_map, bare), F.substr(p, F.length(bare) + 1)))
-        .otherwise(F.concat(F.lit("&"), p))
-    )
+    bound = F.struct(c.alias("s"), F.lit(_TABLE).alias("t"), F.lit(_BARE).alias("b"), F.lit(_WINDOWS).alias("w"))
+    return F.element_at(F.call_function("transform", F.array(bound), F.expr(_UNESCAPE)), 1)
 
 
 def flatten_html(c: Column) -> Column:
@@ -157,7 +142,10 @@ def md_escape(c: Column) -> Column:
 
 def md_run(text: Column, href: Column) -> Column:
     """One inline run: only web and mail links stay clickable."""
-    shown, link = md_escape(text), clean(href)
+    return let(md_escape(text), lambda shown: let(clean(href), lambda link: _md_run(shown, link)))
+
+
+def _md_run(shown: Column, link: Column) -> Column:
     live = link.startswith("http://") | link.startswith("https://") | link.startswith("mailto:")
     return (
         F.when(shown == "", F.lit(""))
@@ -187,6 +175,9 @@ def is_true(c: Column) -> Column:
 
 def try_date(c: Column) -> Column:
     """ISO date or date-time to a date; anything else becomes NULL."""
-    raw = F.replace(clean(c), F.lit("Z"), F.lit(""))
+    return let(F.replace(clean(c), F.lit("Z"), F.lit("")), _iso_date)
+
+
+def _iso_date(raw: Column) -> Column:
     iso = raw.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,6})?)?)?([+-]\d{2}:?\d{2})?)?$")
     return F.when(iso, F.substring(raw, 1, 10).try_cast("date"))

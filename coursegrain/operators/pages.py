@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from ..functions import classify, paths
+from ..functions.binding import let
 from ..functions.text import clean, flatten_html, html_to_text, drop_script_style, strip, unescape
 
 REFERENCE = r"""(?i)(?:src|href)\s*=\s*["']([^"']+)["']"""
@@ -25,8 +26,8 @@ IFRAME = r"(?i)<iframe\b[^>]*>"
 def tag_attribute(tag: Column, name: str) -> Column:
     """Attribute of a start tag in any of the three quote styles, entities decoded."""
     pattern = rf"""(?i)[\s"'/]{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    parts = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
-    return unescape(F.when(parts[0] != "", parts[0]).when(parts[1] != "", parts[1]).otherwise(parts[2]))
+    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
+    return F.when(F.contains(F.lower(tag), F.lit(name)), unescape(value)).otherwise("")
 
 
 def page_title(html: Column) -> Column:
@@ -56,9 +57,9 @@ def missing_references(refs: DataFrame, files: DataFrame, page_path: str = "rel_
 def images_missing_alt(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """One row per image without a meaningful alternative text."""
     tags = pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(IMAGE), F.lit(0))).alias("image_no", "tag"))
-    src = strip(tag_attribute(F.col("tag"), "src"))
+    src = F.nullif(strip(tag_attribute(F.col("tag"), "src")), F.lit(""))
     return tags.filter(~F.col("tag").rlike(MEANINGFUL_ALT)).select(
-        *keep, "image_no", F.when(src == "", "(image src not found)").otherwise(src).alias("image_ref")
+        *keep, "image_no", F.coalesce(src, F.lit("(image src not found)")).alias("image_ref")
     )
 
 
@@ -85,7 +86,10 @@ def embeds(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
 
 def binary_like(content: Column) -> Column:
     """True when the first 8 KiB look like a binary document rather than a page."""
-    sample = F.substring(content, 1, K.SAMPLE_BYTES)
+    return let(F.substring(content, 1, K.SAMPLE_BYTES), lambda sample: _binary_like(sample, content))
+
+
+def _binary_like(sample: Column, content: Column) -> Column:
     hexa = F.hex(sample)
     head = F.regexp_replace(
         F.lower(F.decode(F.substring(content, 1, K.HTML_SNIFF_BYTES), "ISO-8859-1")), r"^[ \t\n\r\x0B\f]+", ""

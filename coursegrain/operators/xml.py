@@ -72,34 +72,42 @@ def tokens(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
 
 
 def element_rows(toks: DataFrame, keep: list[str]) -> DataFrame:
-    """Elements with parent position and direct text, from token rows."""
-    opened = F.when(F.col("opens") == 1, F.col("pos"))
-    same = W.partitionBy(*keep, "depth").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    is_text = F.col("tag").isNull() & ~F.col("raw").rlike(r"(?s)^<[?!](?!\[CDATA\[)")
-    els = toks.filter("opens = 1").select(*keep, "pos", "depth", "tag", "raw")
-    ups = toks.filter("opens = 1").select(*keep, F.col("pos"), (F.col("depth") - 1).alias("level"), F.lit(None).cast("bigint").alias("opened"))
-    downs = toks.filter("opens = 1").select(*keep, "pos", F.col("depth").alias("level"), F.col("pos").alias("opened"))
-    look = W.partitionBy(*keep, "level").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    parent = (
-        ups.unionByName(downs).withColumn("parent_pos", F.max("opened").over(look)).filter("opened is null").select(*keep, "pos", "parent_pos")
+    """Elements with parent position and direct text, from token rows.
+
+    The parent of an element at depth d is the last element opened at depth
+    d - 1; the owner of a text is the last one opened at its own depth.
+    """
+    is_text = F.col("tag").isNull() & ~F.col("raw").rlike(r"^(<[?]|<!--|<!\w)")
+    asked = F.array(F.struct(F.col("depth").alias("level"), F.lit(None).cast("bigint").alias("opened")))
+    both = F.array(
+        F.struct((F.col("depth") - 1).alias("level"), F.lit(None).cast("bigint").alias("opened")),
+        F.struct(F.col("depth").alias("level"), F.col("pos").alias("opened")),
     )
-    owner = toks.withColumn("_owner_depth", F.when(is_text, F.col("depth")).otherwise(F.col("depth")))
-    text = (
-        owner.withColumn("_owner", F.max(opened).over(same))
-        .filter(is_text)
-        .groupBy(*keep, F.col("_owner").alias("pos"))
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "raw"))), lambda s: s["raw"]), "").alias("_text"))
+    rows = toks.withColumn("_a", F.explode(F.when(F.col("opens") == 1, both).when(is_text, asked)))
+    before = W.partitionBy(*keep, "_a.level").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    found = rows.withColumn("_up", F.max("_a.opened").over(before)).filter("_a.opened is null")
+    own = F.col("opens") == 1
+    body = F.when(F.col("raw").startswith("<![CDATA["), F.regexp_replace("raw", r"(?s)^<!\[CDATA\[|\]\]>$", "")).otherwise(
+        unescape(F.col("raw"))
+    )
+    return (
+        found.groupBy(*keep, F.when(own, F.col("pos")).otherwise(F.col("_up")).alias("_at"))
+        .agg(
+            F.max(F.when(own, F.struct("depth", "tag", "raw", F.col("_up").alias("parent_pos")))).alias("_e"),
+            F.array_sort(F.collect_list(F.when(~own, F.struct("pos", body.alias("t"))))).alias("_texts"),
+        )
+        .filter("_e is not null")
+        .select(
+            *keep, F.col("_at").alias("pos"), "_e.depth", "_e.tag", "_e.raw", "_e.parent_pos",
+            clean(F.array_join(F.col("_texts.t"), "")).alias("text"),
+        )
     )
-    body = F.when(F.col("_text").startswith("<![CDATA["), F.regexp_replace("_text", r"(?s)^<!\[CDATA\[|\]\]>$", "")).otherwise(unescape(F.coalesce("_text", F.lit(""))))
-    return els.join(parent, [*keep, "pos"], "left").join(text, [*keep, "pos"], "left").withColumn("text", clean(body)).drop("_text")
 
 
 def attribute(raw: Column, name: str) -> Column:
     """Attribute of an opening tag, namespace prefix ignored; absent is the empty string."""
     pattern = rf"(?s)\s(?:[\w.-]+:)?{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-    value = F.regexp_extract(raw, pattern, 1)
-    other = F.regexp_extract(raw, pattern, 2)
-    return unescape(F.when(value != "", value).otherwise(other))
+    return unescape(F.concat(F.regexp_extract(raw, pattern, 1), F.regexp_extract(raw, pattern, 2)))
 
 
 def manifest_resources(files: DataFrame, keep: list[str]) -> DataFrame:
@@ -119,24 +127,24 @@ def manifest_resources(files: DataFrame, keep: list[str]) -> DataFrame:
 
 def manifest_items(files: DataFrame, keep: list[str]) -> DataFrame:
     """Items of each manifest as flat nodes: position, depth below the organization, parent, attributes."""
-    rows = element_rows(tokens(files, keep), keep)
-    items = rows.filter("tag = 'item'")
-    w = W.partitionBy(*keep, "parent_pos").orderBy("pos")
-    titles = (
-        rows.filter("tag = 'title'").withColumn("_n", F.row_number().over(w)).filter("_n = 1")
-        .select(*keep, F.col("parent_pos").alias("pos"), F.col("text").alias("title"))
-    )
-    base = items.groupBy(*keep).agg(F.min("depth").alias("_base"))
-    a = lambda n: attribute(F.col("raw"), n)
-    return (
-        items.join(titles, [*keep, "pos"], "left")
-        .join(base, keep)
-        .select(
-            *keep, "pos", (F.col("depth") - F.col("_base") + 1).cast("int").alias("depth"),
-            F.when(F.col("depth") > F.col("_base"), F.col("parent_pos")).alias("parent_pos"),
-            F.coalesce("title", F.lit("")).alias("title"), a("identifier").alias("identifier"),
-            a("identifierref").alias("identifierref"), a("resource_code").alias("resource_code"),
-            a("resource_type_key").alias("resource_type_key"), a("description").alias("description"),
-            a("date_due").alias("date_due"), (F.lower(a("isvisible")) == "false").alias("self_hidden"),
+    rows = element_rows(tokens(files, keep), keep).filter("tag in ('item', 'title')")
+    is_item = F.col("tag") == "item"
+    items = (
+        rows.groupBy(*keep, F.when(is_item, F.col("pos")).otherwise(F.col("parent_pos")).alias("_at"))
+        .agg(
+            F.max(F.when(is_item, F.struct("depth", "parent_pos", "raw"))).alias("_e"),
+            F.min_by(F.col("text"), F.when(~is_item, F.col("pos"))).alias("title"),
         )
+        .filter("_e is not null")
+    )
+    base = W.partitionBy(*keep)
+    rooted = items.withColumn("_base", F.min("_e.depth").over(base))
+    a = lambda n: attribute(F.col("_e.raw"), n)
+    return rooted.select(
+        *keep, F.col("_at").alias("pos"), (F.col("_e.depth") - F.col("_base") + 1).cast("int").alias("depth"),
+        F.when(F.col("_e.depth") > F.col("_base"), F.col("_e.parent_pos")).alias("parent_pos"),
+        F.coalesce("title", F.lit("")).alias("title"), a("identifier").alias("identifier"),
+        a("identifierref").alias("identifierref"), a("resource_code").alias("resource_code"),
+        a("resource_type_key").alias("resource_type_key"), a("description").alias("description"),
+        a("date_due").alias("date_due"), (F.lower(a("isvisible")) == "false").alias("self_hidden"),
     )
