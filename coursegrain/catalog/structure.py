@@ -1 +1,336 @@
-"""placeholder"""
+"""Package files, manifest trees and module structure."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import paths
+from ..operators import findings as R
+from ..operators import identity, structure, tree
+from ..sources import packages
+from .registry import Tables, query
+from .scalars import sql_category
+
+_JUNK = r"regexp_matches('/' || rel_path, '/(__MACOSX|\.git|\.github|\.pytest_cache|__pycache__|\.DS_Store)(/|$)') OR contains('/' || rel_path, '/._')"
+
+
+@query("scan_inventory", f"""
+    WITH f AS (SELECT export_id, lower(rel_path) AS low, regexp_extract(lower(rel_path), '([^/]*)$', 1) AS base FROM {{v_files}} WHERE NOT ({_JUNK}))
+    SELECT export_id, {sql_category('html|htm')} AS category, count(*) AS n FROM f GROUP BY ALL
+""")
+def scan_inventory(t: Tables) -> DataFrame:
+    return packages.inventory(packages.without_junk(t.v_files))
+
+
+@query("manifest_locate", r"""
+    WITH m AS (SELECT export_id, rel_path, len(string_split(rel_path, '/')) AS depth FROM {v_manifest_files} WHERE regexp_matches(rel_path, '(^|/)imsmanifest\.xml$')),
+         r AS (SELECT *, row_number() OVER (PARTITION BY export_id ORDER BY depth, rel_path) AS k, count(*) OVER (PARTITION BY export_id) AS n,
+                      max(CASE WHEN rel_path = 'imsmanifest.xml' THEN 1 ELSE 0 END) OVER (PARTITION BY export_id) AS at_root FROM m)
+    SELECT export_id, rel_path AS manifest_path, CASE WHEN at_root = 1 THEN 1 ELSE n END AS n_manifests, regexp_replace(rel_path, '/?imsmanifest.xml$', '') AS package_root FROM r WHERE k = 1
+""")
+def manifest_locate(t: Tables) -> DataFrame:
+    return packages.manifests(t.v_manifest_files)
+
+
+@query("component_presence", r"""
+    WITH f AS (SELECT cast(l_orderkey AS string) AS export_id, CASE l_returnflag WHEN 'A' THEN 'grades_d2l.xml' WHEN 'N' THEN 'discussion_d2l_' || cast(l_linenumber AS string) || '.xml' ELSE CASE WHEN l_linestatus = 'F' THEN 'imsmanifest.xml' ELSE 'dropbox_d2l.xml' END END AS rel_path FROM {lineitem}),
+         c AS (SELECT DISTINCT export_id, CASE WHEN rel_path LIKE 'discussion%' THEN 'discussion_d2l_*.xml' ELSE rel_path END AS component FROM f),
+         w AS (SELECT cast(o_orderkey AS string) AS export_id, component FROM {orders}, (VALUES ('imsmanifest.xml'), ('grades_d2l.xml'), ('dropbox_d2l.xml'), ('discussion_d2l_*.xml')) v(component)),
+         x AS (SELECT * FROM w WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.export_id = w.export_id AND c.component = w.component))
+    SELECT export_id, 'R18' AS rule_id, 'warnings' AS severity, 'component' AS subject_kind, component AS subject,
+           CASE WHEN component LIKE 'disc%' THEN 'no ' || component || ' present in export' ELSE component || ' not present in export' END AS message FROM x
+    UNION ALL SELECT export_id, 'R17', 'breaks', 'component', component, 'imsmanifest.xml missing from export' FROM x WHERE component = 'imsmanifest.xml'
+""")
+def component_presence(t: Tables) -> DataFrame:
+    path = (
+        F.when(F.col("l_returnflag") == "A", "grades_d2l.xml")
+        .when(F.col("l_returnflag") == "N", F.concat(F.lit("discussion_d2l_"), F.col("l_linenumber").cast("string"), F.lit(".xml")))
+        .when(F.col("l_linestatus") == "F", "imsmanifest.xml").otherwise("dropbox_d2l.xml")
+    )
+    files = t.lineitem.select(F.col("l_orderkey").cast("string").alias("export_id"), path.alias("rel_path"))
+    return R.missing_components(t.orders.select(F.col("o_orderkey").cast("string").alias("export_id")), files)
+
+
+@query("package_fingerprint", r"""
+    WITH l AS (SELECT export_id, rel_path, bytes, '["' || rel_path || '",' || cast(bytes AS string) || ',"' || sha256(body) || '"]' || chr(10) AS line FROM {v_files})
+    SELECT export_id, sha256(string_agg(line, '' ORDER BY encode(rel_path))) AS digest, count(*) AS file_count, cast(sum(bytes) AS bigint) AS bytes FROM l GROUP BY export_id
+""")
+def package_fingerprint(t: Tables) -> DataFrame:
+    return identity.fingerprints(t.v_files.select("export_id", "rel_path", "bytes", F.sha2("body", 256).alias("sha256")))
+
+
+@query("file_scope", f"""
+    WITH f AS (SELECT export_id, rel_path, bytes, lower(rel_path) AS low, regexp_extract(lower(rel_path), '([^/]*)$', 1) AS base FROM {{v_files}}),
+         c AS (SELECT *, {sql_category('html|htm|xhtml')} AS category FROM f),
+         fmt AS (SELECT export_id, category, count(*) AS n, sum(bytes) AS b FROM c GROUP BY ALL),
+         tot AS (SELECT export_id, sum(n) AS n, sum(b) AS b FROM fmt GROUP BY ALL),
+         ty AS (SELECT *, row_number() OVER (PARTITION BY export_id ORDER BY b DESC, category) AS k FROM fmt),
+         bg AS (SELECT *, row_number() OVER (PARTITION BY export_id ORDER BY bytes DESC, rel_path) AS k FROM c),
+         tys AS (SELECT export_id, string_agg(category || ': ' || n || ' / ' || CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.1f', b / 1024.0) || ' KB' ELSE printf('%.1f', b / 1048576.0) || ' MB' END, ', ' ORDER BY k) AS s FROM ty WHERE k <= 6 GROUP BY ALL),
+         bgs AS (SELECT export_id, string_agg(rel_path || ' (' || CASE WHEN bytes < 1024 THEN bytes || ' B' WHEN bytes < 1048576 THEN printf('%.1f', bytes / 1024.0) || ' KB' ELSE printf('%.1f', bytes / 1048576.0) || ' MB' END || ')', ', ' ORDER BY k) AS s FROM bg WHERE k <= 8 GROUP BY ALL)
+    SELECT tot.export_id, cast(n AS bigint) AS n_files, cast(b AS bigint) AS bytes,
+           n || ' file(s), ' || CASE WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.1f', b / 1024.0) || ' KB' ELSE printf('%.1f', b / 1048576.0) || ' MB' END || ' total; by type: ' || tys.s || '; largest: ' || bgs.s AS summary
+    FROM tot JOIN tys ON tot.export_id = tys.export_id JOIN bgs ON tot.export_id = bgs.export_id
+""")
+def file_scope(t: Tables) -> DataFrame:
+    return structure.file_scope(t.v_files)
+
+
+@query("unlinked_files", f"""
+    WITH f AS (SELECT export_id, rel_path, bytes, lower(rel_path) AS low, regexp_extract(lower(rel_path), '([^/]*)$', 1) AS base FROM {{v_files}}),
+         c AS (SELECT *, {sql_category('html|htm|xhtml')} AS category FROM f),
+         l AS (SELECT DISTINCT export_id, rel_path FROM {{v_files}} WHERE bytes % 3 = 0)
+    SELECT export_id, rel_path, bytes FROM c WHERE category <> 'd2l_xml' AND NOT EXISTS (SELECT 1 FROM l WHERE l.export_id = c.export_id AND l.rel_path = c.rel_path)
+""")
+def unlinked_files(t: Tables) -> DataFrame:
+    files = t.v_files.select("export_id", "rel_path", "bytes")
+    href = F.concat(F.lit("/"), F.replace("rel_path", F.lit("/"), F.lit("\\")), F.lit("?v=2#x"))
+    nodes = files.filter("bytes % 3 = 0").select("export_id", href.alias("href"), F.lit(False).alias("is_hidden"), F.lit("content_file").alias("kind"))
+    return structure.unlinked_files(files, structure.linked_paths(nodes))
+
+
+# ----- trees: each document is a package, lines are modules, sentences their items
+_LINES = r"""
+    ln AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM {documents}),
+    mod AS (SELECT doc_id, line_no, CASE WHEN length(line) > 200 THEN 'Week ' || (line_no + 1) || ': ' || line WHEN length(line) < 20 THEN line ELSE 'Part ' || line END AS title, length(line) < 60 AS self_hidden, line FROM ln),
+    itm AS (SELECT doc_id, line_no, unnest(range(len(string_split(line, '. ')))) AS sent_no, unnest(string_split(line, '. ')) AS title FROM mod),
+"""
+
+
+def document_tokens(t: Tables) -> DataFrame:
+    """Open and close tokens in document order, made inside the row of each document."""
+    sql = """
+        flatten(transform(split(text, '\\n'), (line, i) -> concat(
+            array(named_struct('delta', 1, 'title', CASE WHEN length(line) > 200 THEN concat('Week ', i + 1, ': ', line) WHEN length(line) < 20 THEN line ELSE concat('Part ', line) END,
+                               'self_hidden', length(line) < 60)),
+            flatten(transform(split(line, '[.] '), s -> array(
+                named_struct('delta', 1, 'title', s, 'self_hidden', s LIKE '%,%'), named_struct('delta', -1, 'title', '', 'self_hidden', false)))),
+            array(named_struct('delta', -1, 'title', '', 'self_hidden', false)))))
+    """
+    return t.documents.select(F.col("doc_id").alias("export_id"), F.posexplode(F.expr(sql)).alias("pos", "t")).select(
+        "export_id", F.col("pos").cast("bigint").alias("pos"), "t.delta", "t.title", "t.self_hidden"
+    )
+
+
+def document_tree(t: Tables) -> tuple[DataFrame, DataFrame]:
+    nodes = tree.depths(document_tokens(t))
+    return nodes, tree.closure(nodes)
+
+
+@query("tree_parent", f"""
+    WITH {_LINES} done AS (SELECT 1)
+    SELECT doc_id AS export_id, 1 AS depth, title, NULL AS parent_title, count(*) AS n FROM mod GROUP BY ALL
+    UNION ALL SELECT itm.doc_id, 2, itm.title, mod.title, count(*) FROM itm JOIN mod USING (doc_id, line_no) GROUP BY ALL
+""")
+def tree_parent(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    linked = tree.parents(nodes, pairs)
+    titles = nodes.select("export_id", F.col("pos").alias("parent_pos"), F.col("title").alias("parent_title"))
+    return linked.join(titles, ["export_id", "parent_pos"], "left").groupBy("export_id", F.col("depth").cast("int").alias("depth"), "title", "parent_title").agg(F.count("*").alias("n"))
+
+
+@query("tree_paths", f"""
+    WITH {_LINES} done AS (SELECT 1)
+    SELECT doc_id AS export_id, title AS path, count(*) AS n FROM mod GROUP BY ALL
+    UNION ALL SELECT itm.doc_id, CASE WHEN mod.title = '' THEN itm.title WHEN itm.title = '' THEN mod.title ELSE mod.title || ' > ' || itm.title END, count(*) FROM itm JOIN mod USING (doc_id, line_no) GROUP BY ALL
+""".replace("SELECT doc_id AS export_id, title AS path, count(*) AS n FROM mod GROUP BY ALL\n    UNION ALL", "SELECT export_id, path, cast(sum(n) AS bigint) AS n FROM (SELECT doc_id AS export_id, title AS path, count(*) AS n FROM mod GROUP BY ALL\n    UNION ALL") + ") GROUP BY ALL")
+def tree_paths(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    return tree.paths(nodes, pairs).groupBy("export_id", "path").agg(F.count("*").alias("n"))
+
+
+@query("tree_hidden", f"""
+    WITH {_LINES} a AS (SELECT doc_id, 1 AS depth, self_hidden AS h FROM mod UNION ALL SELECT itm.doc_id, 2, self_hidden OR itm.title LIKE '%,%' FROM itm JOIN mod USING (doc_id, line_no))
+    SELECT doc_id AS export_id, depth, h AS is_hidden, count(*) AS n FROM a GROUP BY ALL
+""")
+def tree_hidden(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    return tree.inherited_hidden(nodes, pairs).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "is_hidden").agg(F.count("*").alias("n"))
+
+
+@query("descendants", f"""
+    WITH {_LINES} a AS (SELECT doc_id, line_no, count(*) AS d FROM itm GROUP BY ALL)
+    SELECT doc_id AS export_id, 1 AS depth, d AS descendants, count(*) AS n FROM a GROUP BY ALL
+    UNION ALL SELECT doc_id, 2, 0, count(*) FROM itm GROUP BY ALL
+""")
+def descendants(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    return tree.descendant_counts(nodes, pairs).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "descendants").agg(F.count("*").alias("n"))
+
+
+@query("week_detect", f"""
+    WITH {_LINES}
+    m AS (SELECT *, regexp_matches(title, '(?i)\\b(week|module|unit)\\s*0*(\\d{{1,2}})\\b') AS wk FROM mod WHERE title <> ''),
+    f AS (SELECT doc_id, min(CASE WHEN wk THEN line_no END) AS first_week, count(*) AS n FROM m GROUP BY doc_id),
+    j AS (SELECT m.*, first_week FROM m JOIN f USING (doc_id))
+    SELECT doc_id AS export_id, title, CASE WHEN first_week IS NULL OR wk THEN 'week' ELSE 'before' END AS role,
+           CASE WHEN wk THEN cast(regexp_extract(title, '(?i)\\b(week|module|unit)\\s*0*(\\d{{1,2}})\\b', 2) AS int) ELSE 999 END AS week_no, count(*) AS n
+    FROM j WHERE wk OR first_week IS NULL OR line_no < first_week GROUP BY ALL
+""")
+def week_detect(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    linked = tree.parents(nodes, pairs).withColumns({"kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "has_children": F.col("depth") == 1})
+    return tree.split_modules(linked).groupBy("export_id", "title", "role", "week_no").agg(F.count("*").alias("n"))
+
+
+_NODES = r"""
+    res AS (SELECT identifier, arg_max(material_type, pos) AS material_type, arg_max(href, pos) AS href FROM {v_resources} GROUP BY identifier),
+    j AS (SELECT i.*, r.identifier IS NOT NULL AS found, coalesce(r.material_type, '') AS m, coalesce(r.href, '') AS href FROM {v_items} i LEFT JOIN res r ON i.identifierref = r.identifier),
+    k AS (SELECT *, regexp_replace(regexp_replace(replace(href, '%20', ' '), '[?#].*$', ''), '^/+', '') AS pp FROM j),
+    node AS (SELECT *, CASE WHEN resource_type_key = 'D2L.LE.Lti.Link' THEN 'lti_link' WHEN NOT found THEN 'unresolved' WHEN m = 'contentmodule' THEN 'module'
+        WHEN m = 'content' THEN CASE WHEN regexp_extract(pp, '(\.[^./]+)$', 1) IN ('', '.html') THEN 'html_topic' ELSE 'content_file' END
+        WHEN m = 'contentlink' THEN CASE lower(regexp_extract(href, '[?&]type=([A-Za-z]+)', 1)) WHEN 'quiz' THEN 'quiz_link' WHEN 'dropbox' THEN 'dropbox_link' WHEN 'discuss' THEN 'discussion_link' WHEN 'checklist' THEN 'checklist_link' ELSE 'quicklink' END
+        WHEN m = 'imsbasiclti_xmlv1p0' THEN 'lti_link' WHEN m LIKE 'd2l%' THEN m WHEN m = '' THEN 'unknown' ELSE m END AS kind FROM k)
+"""
+
+
+def nodes_of(t: Tables) -> DataFrame:
+    """Items resolved against resources; one catalogue-wide resource list serves every course here."""
+    items = t.v_items.withColumns({"course": F.col("export_id"), "export_id": F.lit("catalogue"), "parent_pos": F.lit(None).cast("bigint")})
+    # positions repeat across courses, so the course stays part of the row
+    resources = t.v_resources.withColumn("export_id", F.lit("catalogue"))
+    return structure.resolve_nodes(items, resources).drop("export_id").withColumnRenamed("course", "export_id")
+
+
+@query("node_kind", f"WITH {_NODES} SELECT export_id, kind, href, found AS resource_found, count(*) AS n FROM node GROUP BY ALL")
+def node_kind(t: Tables) -> DataFrame:
+    return nodes_of(t).groupBy("export_id", "kind", "href", "resource_found").agg(F.count("*").alias("n"))
+
+
+@query("kind_counts", f"WITH {_NODES} SELECT export_id, kind, count(*) AS n FROM node GROUP BY ALL")
+def kind_counts(t: Tables) -> DataFrame:
+    return tree.kind_counts(nodes_of(t))
+
+
+@query("broken_href", f"""
+    WITH {_NODES}, have AS (SELECT DISTINCT 'files/' || replace(p_name, ' ', '%20') || '.pdf' AS rel_path FROM {{part}} WHERE p_type = 'STANDARD' AND p_size > 12)
+    SELECT export_id, 'R14' AS rule_id, 'breaks' AS severity, kind AS subject_kind, title AS subject,
+           CASE WHEN kind = 'content_file' THEN 'content file ' ELSE 'html topic ' END || '''' || title || ''': href missing from package: ' || href AS message
+    FROM node WHERE kind IN ('html_topic', 'content_file') AND href <> '' AND regexp_replace(href, '[?].*$', '') NOT IN (SELECT rel_path FROM have)
+    UNION ALL SELECT export_id, 'R14', 'breaks', 'item', title, 'item ''' || title || ''': identifierref ' || identifierref || ' unresolved' FROM node WHERE identifierref <> '' AND NOT found
+""")
+def broken_href(t: Tables) -> DataFrame:
+    nodes = nodes_of(t)
+    path = F.concat(F.lit("files/"), F.replace("p_name", F.lit(" "), F.lit("%20")), F.lit(".pdf"))
+    shared = t.part.filter("p_type = 'STANDARD' and p_size > 12").select(path.alias("rel_path")).distinct()
+    # the files are the same for every course: look them up under one catalogue id
+    one = nodes.withColumns({"course": F.col("export_id"), "export_id": F.lit("catalogue")})
+    lost = R.broken_hrefs(one.withColumn("title", F.concat_ws("\x00", "course", "title")), shared.withColumn("export_id", F.lit("catalogue")))
+    course = F.split_part("subject", F.lit("\x00"), F.lit(1))
+    title = F.split_part("subject", F.lit("\x00"), F.lit(2))
+    fixed = lost.select(course.alias("export_id"), "rule_id", "severity", "subject_kind", title.alias("subject"), F.replace("message", F.concat(course, F.lit("\x00")), F.lit("")).alias("message"))
+    return fixed.unionByName(R.unresolved_refs(nodes))
+
+
+@query("hidden_items", f"""
+    WITH {_NODES},
+    x AS (SELECT *, CASE WHEN kind = 'module' THEN 'module' WHEN kind = 'html_topic' AND href <> '' THEN 'page' WHEN kind = 'content_file' AND href <> '' THEN 'file' WHEN href <> '' OR description <> '' THEN 'link' END AS treatment,
+          upper(regexp_extract(pp, '\\.([^./]+)$', 1)) AS ext FROM node WHERE is_hidden)
+    SELECT export_id, kind, title, href, treatment, title AS object_name,
+           CASE WHEN kind = 'html_topic' THEN 'HTML content page' WHEN kind = 'content_file' THEN ext || ' course file' ELSE replace(kind, '_', ' ') END AS item_type,
+           CASE kind WHEN 'html_topic' THEN 'HTML content page' WHEN 'content_file' THEN 'course file' WHEN 'dropbox_link' THEN 'assignment link' WHEN 'quiz_link' THEN 'quiz link' WHEN 'discussion_link' THEN 'discussion link'
+                WHEN 'checklist_link' THEN 'checklist link' WHEN 'lti_link' THEN 'LTI/external tool link' ELSE replace(kind, '_', ' ') END AS type_label, count(*) AS n
+    FROM x WHERE treatment IS NOT NULL GROUP BY ALL
+""")
+def hidden_items(t: Tables) -> DataFrame:
+    rows = structure.hidden_records(nodes_of(t).withColumn("href_missing", F.lit(False)))
+    return rows.groupBy("export_id", "kind", "title", "href", "treatment", "object_name", "item_type", "type_label").agg(F.count("*").alias("n"))
+
+
+@query("manifest_probe", r"""
+    WITH i AS (SELECT export_id, count(*) AS items, count(*) FILTER (WHERE identifierref <> '') AS items_with_ref FROM {v_items} GROUP BY export_id),
+         r AS (SELECT cast(l_orderkey AS string) AS export_id, count(*) AS resources, count(*) FILTER (WHERE href = '') AS missing_href, count(*) FILTER (WHERE contains(lower(href), 'quiz')) AS quiz_like,
+                      count(*) FILTER (WHERE regexp_matches(lower(href), '\.html?$')) AS html_like FROM {lineitem} JOIN {v_resources} v ON 'RES-' || cast(l_partkey AS string) = v.identifier GROUP BY ALL)
+    SELECT i.export_id, items, items_with_ref, coalesce(resources, 0) AS resources, coalesce(missing_href, 0) AS missing_href, coalesce(quiz_like, 0) AS quiz_like, coalesce(html_like, 0) AS html_like
+    FROM i LEFT JOIN r ON i.export_id = r.export_id
+""")
+def manifest_probe(t: Tables) -> DataFrame:
+    link = F.concat(F.lit("RES-"), F.col("l_partkey").cast("string"))
+    resources = t.lineitem.select(F.col("l_orderkey").cast("string").alias("export_id"), link.alias("identifier")).join(t.v_resources, "identifier")
+    return structure_probe(t.v_items, resources)
+
+
+def structure_probe(items: DataFrame, resources: DataFrame) -> DataFrame:
+    low = F.lower("href")
+    i = items.groupBy("export_id").agg(F.count("*").alias("items"), F.count_if(F.col("identifierref") != "").alias("items_with_ref"))
+    r = resources.groupBy("export_id").agg(
+        F.count("*").alias("resources"), F.count_if(F.col("href") == "").alias("missing_href"), F.count_if(F.contains(low, F.lit("quiz"))).alias("quiz_like"),
+        F.count_if(low.rlike(r"\.html?$")).alias("html_like"),
+    )
+    return i.join(r, "export_id", "left").na.fill(0, ["resources", "missing_href", "quiz_like", "html_like"])
+
+
+@query("quicklink_counts", r"""
+    WITH c AS (SELECT export_id, unnest(regexp_extract_all(href, 'r[Cc]ode=([A-Za-z0-9._-]+)', 1)) AS resource_code FROM {v_links})
+    SELECT export_id, resource_code, count(*) AS links FROM c GROUP BY ALL
+""")
+def quicklink_counts(t: Tables) -> DataFrame:
+    from ..operators.activities import quicklink_counts as count
+
+    return count(t.v_links)
+
+
+@query("node_topic", r"""
+    WITH tp AS (SELECT 'course-' || p_brand AS export_id, CASE WHEN p_type = 'LARGE' THEN '' ELSE 'p/' || cast(p_size AS string) || '.html' END AS href, CASE WHEN p_type = 'PROMO' THEN '' ELSE p_name END AS manifest_title, p_partkey AS topic_no FROM {part}),
+         h AS (SELECT export_id, href, max(topic_no) AS a FROM tp WHERE href <> '' GROUP BY ALL), ti AS (SELECT export_id, manifest_title, max(topic_no) AS b FROM tp WHERE manifest_title <> '' GROUP BY ALL),
+         n AS (SELECT 'course-Brand#' || cast(1 + l_suppkey % 25 AS string) AS export_id, 'p/' || cast(cast(l_quantity AS int) + 10 AS string) || '.html' AS href, p_name AS title FROM {lineitem} JOIN {part} ON l_partkey = p_partkey)
+    SELECT n.export_id, n.href, n.title, coalesce(a, b) AS topic_no, count(*) AS n FROM n LEFT JOIN h ON n.export_id = h.export_id AND n.href = h.href LEFT JOIN ti ON n.export_id = ti.export_id AND n.title = ti.manifest_title GROUP BY ALL
+""")
+def node_topic(t: Tables) -> DataFrame:
+    page = lambda c: F.concat(F.lit("p/"), c.cast("string"), F.lit(".html"))
+    topics = t.part.select(
+        F.concat(F.lit("course-"), "p_brand").alias("export_id"), F.when(F.col("p_type") == "LARGE", "").otherwise(page(F.col("p_size"))).alias("href"),
+        F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_name")).alias("manifest_title"), F.col("p_partkey").alias("topic_no"),
+    )
+    nodes = t.lineitem.join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey")).select(
+        F.concat(F.lit("course-Brand#"), (F.col("l_suppkey") % 25 + 1).cast("string")).alias("export_id"), page(F.col("l_quantity").cast("int") + 10).alias("href"), F.col("p_name").alias("title"),
+    )
+    distinct = nodes.groupBy("export_id", "href", "title").agg(F.count("*").alias("n"))
+    return structure.node_topics(distinct, topics).select("export_id", "href", "title", "topic_no", "n")
+
+
+@query("placement", f"""
+    WITH {_LINES}
+    m AS (SELECT * FROM mod WHERE title <> ''), wk AS (SELECT *, regexp_matches(title, '(?i)\\b(week|module|unit)\\s*0*(\\d{{1,2}})\\b') AS w FROM m),
+    f AS (SELECT doc_id, min(CASE WHEN w THEN line_no END) AS fw FROM wk GROUP BY doc_id),
+    k AS (SELECT wk.doc_id, line_no, title FROM wk JOIN f USING (doc_id) WHERE w OR fw IS NULL OR line_no < fw),
+    c AS (SELECT k.doc_id, k.line_no, k.title AS module_title, itm.title AS rcode, itm.sent_no, self_hidden OR itm.title LIKE '%,%' AS hid FROM k JOIN itm USING (doc_id, line_no) JOIN mod USING (doc_id, line_no))
+    SELECT doc_id AS export_id, module_title, rcode, count(*) AS n FROM (SELECT DISTINCT doc_id, line_no, module_title, rcode FROM c WHERE NOT hid AND rcode <> '') GROUP BY ALL
+""")
+def placement(t: Tables) -> DataFrame:
+    nodes, pairs = document_tree(t)
+    linked = tree.parents(tree.inherited_hidden(nodes, pairs), pairs)
+    flat = linked.withColumns(
+        {"kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "has_children": F.col("depth") == 1, "rcode": F.when(F.col("depth") == 2, F.col("title")).otherwise("")}
+    )
+    modules = tree.split_modules(flat)
+    members = tree.module_members(modules, flat.select("export_id", "pos", "rcode", "is_hidden"), pairs)
+    titles = modules.select("export_id", F.col("pos").alias("module_pos"), F.col("title").alias("module_title"))
+    return tree.placed_codes(members).join(titles, ["export_id", "module_pos"]).groupBy("export_id", "module_title", "rcode").agg(F.count("*").alias("n"))
+
+
+@query("export_identity", r"""
+    WITH p AS (SELECT cast(o_orderkey AS string) AS export_id, CASE WHEN o_orderstatus = 'P' THEN 'Course backup ' || o_orderkey ELSE 'D2LExport_' || o_custkey || '_' || replace(o_orderpriority, '-', '_') || '_' || strftime(o_orderdate, '%Y%m%d') || '_x.zip' END AS source_name FROM {orders}),
+         u AS (SELECT cast(c_custkey AS string) AS export_id, c_name AS n, c_mktsegment AS m FROM {customer})
+    SELECT p.export_id, source_name, nullif(regexp_extract(source_name, '(?i)D2LExport_(\d+)_(.+?)_(\d{8,14})(?:_|$|\.)', 1), '') AS org_unit_id, nullif(regexp_extract(source_name, '(?i)D2LExport_(\d+)_(.+?)_(\d{8,14})(?:_|$|\.)', 2), '') AS course_code,
+           nullif(regexp_extract(source_name, '(?i)D2LExport_(\d+)_(.+?)_(\d{8,14})(?:_|$|\.)', 3), '') AS export_timestamp, CASE WHEN n IS NOT NULL THEN 'ou-' || u.export_id END AS orgunit_identifier, m AS orgunit_code, n AS orgunit_name
+    FROM p LEFT JOIN u ON p.export_id = u.export_id
+""")
+def export_identity(t: Tables) -> DataFrame:
+    return identity.export_identity(export_names(t), orgunit_rows(t))
+
+
+def export_names(t: Tables) -> DataFrame:
+    named = F.concat(F.lit("D2LExport_"), F.col("o_custkey").cast("string"), F.lit("_"), F.replace("o_orderpriority", F.lit("-"), F.lit("_")), F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_x.zip"))
+    other = F.concat(F.lit("Course backup "), F.col("o_orderkey").cast("string"))
+    return t.orders.select(F.col("o_orderkey").cast("string").alias("export_id"), F.when(F.col("o_orderstatus") == "P", other).otherwise(named).alias("source_name"))
+
+
+def orgunit_rows(t: Tables) -> DataFrame:
+    """Organisation-unit files written as XML and read back."""
+    from ..operators import silver
+
+    esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    xml = F.concat(F.lit('<ou:orgunit xmlns:ou="urn:x" identifier="ou-'), F.col("c_custkey").cast("string"), F.lit('"><code>'), esc(F.col("c_mktsegment")), F.lit("</code><name>"), esc(F.col("c_name")), F.lit("</name></ou:orgunit>"))
+    return silver.orgunits(t.customer.select(F.col("c_custkey").cast("string").alias("export_id"), xml.alias("xml")))
