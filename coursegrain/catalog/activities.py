@@ -50,7 +50,7 @@ def activity_grade(t: Tables) -> DataFrame:
     FROM {v_activities} a LEFT JOIN {v_rubrics} r ON a.export_id = r.export_id AND a.rubric_id = r.rubric_id WHERE cast(out_of AS int) > 20
 """)
 def activity_rubric(t: Tables) -> DataFrame:
-    links = A.rubric_links(fleet(t).withColumn("row", F.xxhash64(*t.v_activities.columns)), t.v_rubrics, ["export_id", "kind", "name", "pos"])
+    links = A.rubric_links(fleet(t), t.v_rubrics, ["export_id", "kind", "name", "pos"])
     label = F.concat("rubric_id", F.lit(": "), F.coalesce("rubric_name", F.lit("(unresolved)")))
     return links.select("export_id", "kind", "name", "pos", label.alias("rubrics_resolved"), "resolved")
 

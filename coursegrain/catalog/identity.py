@@ -1 +1,111 @@
-"""placeholder"""
+"""Lineage, snapshots and receipts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.keys import scoped_key
+from ..operators import identity, runs
+from .registry import Tables, query
+from .structure import export_names, orgunit_rows
+
+_NAMES = r"""
+    p AS (SELECT cast(o_orderkey AS string) AS export_id, CASE WHEN o_orderstatus = 'P' THEN 'Course backup ' || o_orderkey ELSE 'D2LExport_' || o_custkey || '_' || replace(o_orderpriority, '-', '_') || '_' || strftime(o_orderdate, '%Y%m%d') || '_x.zip' END AS source_name,
+                 o_orderstatus = 'P' AND o_orderpriority = '5-LOW' AS bad, o_orderkey FROM {orders}),
+    u AS (SELECT cast(c_custkey AS string) AS export_id, 'ou-' || c_custkey AS ou FROM {customer}),
+    i AS (SELECT p.*, ou, nullif(regexp_extract(source_name, '(?i)D2LExport_(\d+)_(.+?)_(\d{8,14})(?:_|$|\.)', 1), '') AS org_unit_id, sha256('content ' || source_name) AS digest, sha256('zip ' || source_name) AS transport FROM p LEFT JOIN u ON p.export_id = u.export_id),
+    b AS (SELECT *, CASE WHEN bad THEN 'unreadable_source_argument' WHEN ou IS NOT NULL THEN 'orgunit_identifier' WHEN org_unit_id IS NOT NULL THEN 'org_unit_id' ELSE 'logical_fingerprint' END AS basis,
+                 CASE WHEN bad THEN transport WHEN ou IS NOT NULL THEN ou WHEN org_unit_id IS NOT NULL THEN org_unit_id ELSE digest END AS v, CASE WHEN bad THEN sha256('["unreadable_source","' || transport || '"]') ELSE digest END AS logical FROM i)
+"""
+
+
+@query("lineage_keys", f"""
+    WITH {_NAMES}
+    SELECT export_id, basis AS lineage_basis, 'cc:lineage:' || left(sha256('["' || CASE WHEN bad THEN 'unreadable_source' ELSE basis END || '","' || v || '"]'), 32) AS source_lineage_key, 'cc:source:' || logical AS source_instance_key,
+           CASE WHEN basis IN ('logical_fingerprint', 'unreadable_source_argument') THEN 'unresolved' ELSE 'resolved' END AS lineage_state FROM b
+""")
+def lineage_keys(t: Tables) -> DataFrame:
+    named = identity.export_identity(export_names(t), orgunit_rows(t))
+    bad = t.orders.filter("o_orderstatus = 'P' and o_orderpriority = '5-LOW'").select(F.col("o_orderkey").cast("string").alias("export_id"), F.lit("not a zip file").alias("open_error"))
+    rows = named.join(bad, "export_id", "left").withColumns({
+        "digest": F.sha2(F.concat(F.lit("content "), "source_name"), 256), "transport_sha256": F.sha2(F.concat(F.lit("zip "), "source_name"), 256),
+    })
+    return identity.lineage(rows).select("export_id", "lineage_basis", "source_lineage_key", "source_instance_key", "lineage_state")
+
+
+@query("snapshot_diff", """
+    WITH p AS (SELECT p_partkey, 'cc:lineage:' || left(sha256('["org_unit_id","' || p_brand || '"]'), 32) AS lin, p_brand, p_name, p_type, p_size FROM {part}),
+         e AS (SELECT *, 'cc:entity:' || left(sha256('["' || lin || '","grade_item","resource_code","G-' || p_partkey || '"]'), 32) AS k, CASE WHEN p_brand = 'Brand#3' THEN 'unresolved' ELSE 'resolved' END AS st FROM p),
+         o AS (SELECT lin, k, p_name AS v FROM e WHERE st = 'resolved' AND p_type <> 'PROMO'), n AS (SELECT lin, k, CASE WHEN p_size > 30 THEN p_name || ' (new)' ELSE p_name END AS v FROM e WHERE st = 'resolved' AND p_type <> 'LARGE')
+    SELECT coalesce(o.lin, n.lin) AS source_lineage_key, coalesce(o.k, n.k) AS entity_key, o.v AS old_value, n.v AS new_value, CASE WHEN o.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' WHEN o.v <> n.v THEN 'changed' ELSE 'same' END AS change
+    FROM o FULL JOIN n ON o.lin = n.lin AND o.k = n.k
+""")
+def snapshot_diff(t: Tables) -> DataFrame:
+    """Two terms of the same courses: the type PROMO is new, LARGE is gone, big items were renamed."""
+    rows = t.part.withColumns({
+        "source_lineage_key": scoped_key("lineage", F.lit("org_unit_id"), F.col("p_brand")), "resource_code": F.concat(F.lit("G-"), F.col("p_partkey").cast("string")),
+        "lineage_state": F.when(F.col("p_brand") == "Brand#3", "unresolved").otherwise("resolved"),
+    })
+    keyed = identity.entity_keys(rows, F.lit("grade_item"), ["resource_code"], F.lit(""))
+    old = keyed.filter("p_type <> 'PROMO'")
+    new = keyed.filter("p_type <> 'LARGE'").withColumn("p_name", F.when(F.col("p_size") > 30, F.concat("p_name", F.lit(" (new)"))).otherwise(F.col("p_name")))
+    return identity.snapshot_diff(old, new, "p_name")
+
+
+@query("artifact_receipts", """
+    SELECT export_id, rel_path, bytes, sha256(body) AS sha256, CASE lower(regexp_extract(rel_path, '\\.([^./]+)$', 1)) WHEN 'json' THEN 'application/json' WHEN 'txt' THEN 'text/plain' WHEN 'html' THEN 'text/html' WHEN 'xml' THEN 'text/xml' ELSE 'application/octet-stream' END AS media_type FROM {v_files}
+""")
+def artifact_receipts(t: Tables) -> DataFrame:
+    return identity.receipts(t.v_files.select("export_id", "rel_path", "bytes", F.sha2("body", 256).alias("sha256")))
+
+
+@query("verify_receipts", """
+    WITH r AS (SELECT export_id, CASE WHEN bytes % 11 = 0 THEN '../' || rel_path ELSE rel_path END AS rel_path, sha256(CASE WHEN bytes % 7 = 0 THEN body || '!' ELSE body END) AS sha FROM {v_files}),
+         a AS (SELECT export_id, rel_path, sha256(body) AS sha FROM {v_files} WHERE bytes % 5 <> 0)
+    SELECT r.export_id, r.rel_path, CASE WHEN r.rel_path LIKE '../%' THEN 'unsafe artifact path' WHEN a.sha IS NULL THEN 'missing artifact' ELSE 'artifact checksum mismatch' END AS problem
+    FROM r LEFT JOIN a ON r.export_id = a.export_id AND r.rel_path = a.rel_path WHERE r.rel_path LIKE '../%' OR a.sha IS NULL OR a.sha <> r.sha
+""")
+def verify_receipts(t: Tables) -> DataFrame:
+    """Receipts of all files against what is there: some moved out, some deleted, some edited."""
+    files = t.v_files
+    receipts = identity.receipts(files.select(
+        "export_id", F.when(F.col("bytes") % 11 == 0, F.concat(F.lit("../"), "rel_path")).otherwise(F.col("rel_path")).alias("rel_path"), "bytes",
+        F.sha2(F.when(F.col("bytes") % 7 == 0, F.concat("body", F.lit("!"))).otherwise(F.col("body")), 256).alias("sha256"),
+    ))
+    actual = files.filter("bytes % 5 <> 0").select("export_id", "rel_path", F.sha2("body", 256).alias("sha256"))
+    return identity.verify_receipts(receipts, actual)
+
+
+_STEPS = """
+    s AS (SELECT cast(l_orderkey AS string) AS run_id, CASE l_linenumber WHEN 1 THEN 'Establish source identity' WHEN 2 THEN 'Inventory export files' WHEN 3 THEN 'Probe manifest' WHEN 4 THEN 'Reconstruct course structure' WHEN 5 THEN 'Extract course activities' WHEN 6 THEN 'Extract rubrics' ELSE 'Run QA report' END AS label,
+                 CASE WHEN l_tax > 0.075 THEN 'failed' WHEN l_tax < 0.005 THEN 'unresolved' ELSE 'completed' END AS status FROM {lineitem}),
+    f AS (SELECT run_id, count(*) FILTER (WHERE status <> 'completed') AS issues, coalesce(list_sort(list(DISTINCT label) FILTER (WHERE status <> 'completed' AND label NOT IN ('Extract rubrics', 'Run QA report'))), []) AS core FROM s GROUP BY run_id),
+    r AS (SELECT cast(o_orderkey AS string) AS run_id, o_orderstatus <> 'P' OR o_totalprice > 100000 AS has_deliverable, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 3 END AS weeks FROM {orders}),
+    d AS (SELECT r.*, coalesce(issues, 0) AS issues, coalesce(core, []) AS core, has_deliverable AND len(coalesce(core, [])) = 0 AS usable FROM r LEFT JOIN f ON r.run_id = f.run_id)
+"""
+
+
+def delivered(t: Tables) -> DataFrame:
+    n = F.col("l_linenumber")
+    labels = ["Establish source identity", "Inventory export files", "Probe manifest", "Reconstruct course structure", "Extract course activities", "Extract rubrics"]
+    label = F.when(F.lit(False), "")
+    for i, name in enumerate(labels, start=1):
+        label = label.when(n == i, name)
+    status = F.when(F.col("l_tax") > 0.075, "failed").when(F.col("l_tax") < 0.005, "unresolved").otherwise("completed")
+    steps = t.lineitem.select(F.col("l_orderkey").cast("string").alias("run_id"), label.otherwise("Run QA report").alias("label"), status.alias("status"))
+    rows = t.orders.select(F.col("o_orderkey").cast("string").alias("run_id"), ((F.col("o_orderstatus") != "P") | (F.col("o_totalprice") > 100000)).alias("has_deliverable"), F.when(F.col("o_orderpriority") == "5-LOW", 0).otherwise(3).alias("weeks"))
+    return runs.run_status(rows, steps)
+
+
+@query("run_status", f"WITH {_STEPS} SELECT run_id, issues, CASE WHEN NOT has_deliverable THEN 'error' WHEN issues > 0 THEN 'partial' ELSE 'ok' END AS run_status FROM d")
+def run_status(t: Tables) -> DataFrame:
+    return delivered(t).select("run_id", "issues", "run_status")
+
+
+@query("delivery_status", f"""
+    WITH {_STEPS}
+    SELECT run_id, usable, weeks = 0 AS empty, array_to_string(core, '|') AS core_failures, CASE WHEN NOT usable THEN 'Delivery: NOT USABLE - core evidence steps failed (' || CASE WHEN len(core) = 0 THEN 'unknown' ELSE array_to_string(core, ', ') END || ')' WHEN weeks = 0 THEN 'Delivery: usable, but the export produced no weekly structure' ELSE 'Delivery: usable.' END AS delivery_line FROM d
+""")
+def delivery_status(t: Tables) -> DataFrame:
+    return delivered(t).select("run_id", "usable", "empty", F.array_join("core_failures", "|").alias("core_failures"), "delivery_line")

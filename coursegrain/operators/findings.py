@@ -128,7 +128,7 @@ def placeholders(texts: DataFrame, patterns: list[str] | None = None, extra: Dat
     found = F.coalesce(*[F.nullif(F.regexp_extract("text", f"(?i)({p})", 1), F.lit("")) for p in (patterns or K.PLACEHOLDER_PATTERNS)])
     marked = texts.select("export_id", "label", "text", found.alias("hit"))
     if extra is not None:
-        own = marked.filter("hit is null").join(extra, "export_id").withColumn("hit", F.nullif(F.regexp_extract("text", F.concat(F.lit("(?i)("), F.col("pattern"), F.lit(")")), 1), F.lit("")))
+        own = marked.filter("hit is null").join(extra, "export_id").withColumn("hit", F.nullif(F.call_function("regexp_extract", F.col("text"), F.concat(F.lit("(?i)("), F.col("pattern"), F.lit(")")), F.lit(1)), F.lit("")))
         own = own.filter("hit is not null").groupBy("export_id", "label").agg(F.min_by("hit", "pattern_no").alias("hit"))
         marked = marked.filter("hit is not null").select("export_id", "label", "hit").unionByName(own.select("export_id", "label", "hit"))
     return finding(marked.filter("hit is not null"), "R11", "breaks", "text", F.col("label"), F.concat(F.lit("placeholder leakage in "), F.col("label"), F.lit(": "), quoted(F.col("hit"))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .scan import first_per
+from ..functions.text import strip
 
 
 def step_durations(events: DataFrame, decimals: int = 2) -> DataFrame:
@@ -45,7 +45,7 @@ def run_status(runs: DataFrame, steps: DataFrame) -> DataFrame:
 
 def concise_issue(message):
     """First non-blank line of a diagnostic."""
-    lines = F.filter(F.transform(F.split(F.coalesce(message, F.lit("")), r"\r\n|\r|\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(message, F.lit("")), r"\r\n|\r|\n"), strip), lambda x: x != "")
     return F.coalesce(F.try_element_at(lines, F.lit(1)), F.lit("Unknown component failure"))
 
 

@@ -129,7 +129,7 @@ VIEWS: dict[str, str] = {
                CASE event_type WHEN 'signup' THEN 'run_start' WHEN 'view' THEN 'step_start' WHEN 'click' THEN 'step_end'
                                WHEN 'purchase' THEN 'run_end' ELSE 'step_end' END AS event,
                CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status,
-               cast(value AS int) % 12 AS step_index
+               cast(floor(value) AS int) % 12 AS step_index
         FROM {events}
     """,
 }
