@@ -44,7 +44,7 @@ def stream_events_parse(t: Tables) -> DataFrame:
 @query("step_durations", """
     WITH st AS (SELECT run_id, step_index, min(ts) AS started FROM {v_progress} WHERE event = 'step_start' GROUP BY ALL),
          en AS (SELECT run_id, step_index, min(ts) AS ended, arg_min(status, (ts, status)) AS status FROM {v_progress} WHERE event = 'step_end' GROUP BY ALL)
-    SELECT st.run_id, st.step_index, started, round(epoch_us(ended) / 1e6 - epoch_us(started) / 1e6, 2) AS seconds, CASE WHEN ended IS NULL THEN 'unresolved' WHEN status = 'ok' THEN 'completed' ELSE 'failed' END AS status
+    SELECT st.run_id, st.step_index, started, round((epoch_us(ended) - epoch_us(started)) / 1e6, 2) AS seconds, CASE WHEN ended IS NULL THEN 'unresolved' WHEN status = 'ok' THEN 'completed' ELSE 'failed' END AS status
     FROM st LEFT JOIN en ON st.run_id = en.run_id AND st.step_index = en.step_index
 """)
 def step_durations(t: Tables) -> DataFrame:
@@ -52,7 +52,7 @@ def step_durations(t: Tables) -> DataFrame:
 
 
 @query("stream_step_pairs", """
-    SELECT a.run_id, a.step_index, a.ts AS started, b.ts AS ended, b.status, round(epoch_us(b.ts) / 1e6 - epoch_us(a.ts) / 1e6, 2) AS seconds
+    SELECT a.run_id, a.step_index, a.ts AS started, b.ts AS ended, b.status, round((epoch_us(b.ts) - epoch_us(a.ts)) / 1e6, 2) AS seconds
     FROM {v_progress} a JOIN {v_progress} b ON a.run_id = b.run_id AND a.step_index = b.step_index AND a.event = 'step_start' AND b.event = 'step_end' AND b.ts >= a.ts AND b.ts <= a.ts + interval 1 hour
 """)
 def stream_step_pairs(t: Tables) -> DataFrame:
@@ -68,6 +68,19 @@ def stream_run_counts(t: Tables) -> DataFrame:
     return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("run_lifecycle")
+@query("run_lifecycle", """
+    WITH e AS (SELECT *, count(*) FILTER (WHERE event = 'run_start') OVER w AS starts_before, count(*) FILTER (WHERE event = 'run_end') OVER w AS ends_before FROM {v_progress}
+               WINDOW w AS (PARTITION BY run_id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+         s AS (SELECT *, lag(event) OVER w AS pe, lag(step_index) OVER w AS pi, lag(ts) OVER w AS pt, lead(event) OVER w AS ne FROM {v_progress} WHERE event <> 'run_start' WINDOW w AS (PARTITION BY run_id ORDER BY ts, seq)),
+         x AS (SELECT run_id, 'event after run_end' AS problem, step_index, ts AS happened FROM e WHERE ends_before > 0
+               UNION ALL SELECT run_id, 'second run_start', step_index, ts FROM e WHERE event = 'run_start' AND starts_before > 0
+               UNION ALL SELECT run_id, 'event before run_start', step_index, ts FROM e WHERE event <> 'run_start' AND starts_before = 0
+               UNION ALL SELECT run_id, 'step started inside a step', step_index, ts FROM s WHERE event = 'step_start' AND pe = 'step_start'
+               UNION ALL SELECT run_id, 'step_end without step_start', step_index, ts FROM s WHERE event = 'step_end' AND NOT (coalesce(pe, '') = 'step_start' AND pi = step_index)
+               UNION ALL SELECT run_id, 'step over time limit', step_index, ts FROM s WHERE event = 'step_end' AND pe = 'step_start' AND pi = step_index AND epoch_us(ts) // 1000000 - epoch_us(pt) // 1000000 > 900
+               UNION ALL SELECT run_id, 'run ended inside a step', pi, ts FROM s WHERE event = 'run_end' AND pe = 'step_start'
+               UNION ALL SELECT run_id, 'no step_end within time limit', step_index, to_timestamp(epoch_us(ts) // 1000000 + 900) AT TIME ZONE 'UTC' FROM s WHERE event = 'step_start' AND ne IS NULL AND (epoch_us(ts) // 1000000 + 900) * 1000 < (SELECT epoch_ms(max(ts)) FROM {v_progress}) - 3600000)
+    SELECT run_id, problem, step_index, happened FROM x
+""")
 def run_lifecycle(t: Tables) -> DataFrame:
-    return progress.run_available(progress.run_lifecycle(live(t)), "append")
+    return progress.run_available(progress.run_lifecycle(live(t)), "append").withColumn("happened", F.col("happened").cast("timestamp_ntz"))

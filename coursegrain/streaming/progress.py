@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import constants as K
 from ..session import shared_folder
@@ -51,7 +51,7 @@ def windowed_counts(events: DataFrame, size: str = "1 hour", delay: str = "1 hou
 
 LIFECYCLE = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("problem", T.StringType()), T.StructField("step_index", T.IntegerType()),
-    T.StructField("at", T.TimestampType()),
+    T.StructField("happened", T.TimestampType()),
 ])
 _STATE = T.StructType([
     T.StructField("started", T.BooleanType()), T.StructField("ended", T.BooleanType()), T.StructField("open_index", T.IntegerType()),
@@ -59,77 +59,66 @@ _STATE = T.StructType([
 ])
 
 
-class RunLifecycle(StatefulProcessor):
+def lifecycle_steps(timeout_seconds: int):
     """Order rules of one run: one run_start, start/end pairs, exactly one run_end, no step over its limit.
 
-    The state is four values per run however many events the run has.
+    The state is four values per run however many events the run has; the rows of
+    one micro-batch are put in time order first (``event_files`` bounds a batch).
     """
 
-    def __init__(self, timeout_seconds: int = K.STEP_TIMEOUT_SECONDS) -> None:
-        self.timeout_seconds = timeout_seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("run", _STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        run_id = key[0]
-        started, ended, open_index, open_at = self.state.get() if self.state.exists() else (False, False, None, None)
-        problems: list[tuple] = []
-        frame = pd.concat(list(rows), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
-        for event, step, at in zip(frame["event"], frame["step_index"], frame["ts"]):
-            step = None if pd.isna(step) else int(step)
-            seconds = int(at.timestamp())
+    def advance(rows: pd.DataFrame, state: tuple) -> tuple[list, tuple]:
+        started, ended, open_index, open_at = state
+        found: list = []
+        for event, step, at in zip(rows["event"], rows["step_index"], rows["ts"]):
+            step, note = None if pd.isna(step) else int(step), lambda text, i: found.append((text, i, at))  # noqa: B023
             if ended:
-                problems.append((run_id, "event after run_end", step, at))
+                note("event after run_end", step)
             if event == "run_start":
                 if started:
-                    problems.append((run_id, "second run_start", step, at))
+                    note("second run_start", step)
                 started = True
             elif not started:
-                problems.append((run_id, "event before run_start", step, at))
+                note("event before run_start", step)
             if event == "step_start":
                 if open_index is not None:
-                    problems.append((run_id, "step started inside a step", step, at))
-                open_index, open_at = step, seconds
+                    note("step started inside a step", step)
+                open_index, open_at = step, int(at.timestamp())
             elif event == "step_end":
                 if open_index != step:
-                    problems.append((run_id, "step_end without step_start", step, at))
-                elif self.timeout_seconds and seconds - open_at > self.timeout_seconds:
-                    problems.append((run_id, "step over time limit", step, at))
+                    note("step_end without step_start", step)
+                elif timeout_seconds and int(at.timestamp()) - open_at > timeout_seconds:
+                    note("step over time limit", step)
                 open_index, open_at = None, None
             elif event == "run_end":
                 if open_index is not None:
-                    problems.append((run_id, "run ended inside a step", open_index, at))
+                    note("run ended inside a step", open_index)
                 ended, open_index, open_at = True, None, None
-        self.state.update((started, ended, open_index, open_at))
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        if open_index is not None and self.timeout_seconds:
-            self.handle.registerTimer((open_at + self.timeout_seconds) * 1000)
-        yield self._frame(problems)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        started, ended, open_index, _ = self.state.get()
-        at = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs(), unit="ms")
-        rows = [(key[0], "no step_end within time limit", open_index, at)] if open_index is not None else []
-        self.state.update((started, ended, None, None))
-        yield self._frame(rows)
-
-    def close(self) -> None:
-        pass
-
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["run_id", "problem", "step_index", "at"])
-        return out.astype({"step_index": "Int32", "at": "datetime64[ns]"})
+        return found, (started, ended, open_index, open_at)
+
+    def process(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        current = state.get if state.exists else (False, False, None, None)
+        if state.hasTimedOut:
+            started, ended, open_index, open_at = current
+            found = [("no step_end within time limit", open_index, pd.Timestamp(open_at + timeout_seconds, unit="s"))]
+            state.update((started, ended, None, None))
+        else:
+            rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
+            found, current = advance(rows, current)
+            state.update(current)
+            if current[2] is not None and timeout_seconds:
+                state.setTimeoutTimestamp(max((current[3] + timeout_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
+        if found:
+            out = pd.DataFrame(found, columns=["problem", "step_index", "happened"])
+            out.insert(0, "run_id", key[0])
+            yield out.astype({"step_index": "Int32", "happened": "datetime64[ns]"})
+
+    return process
 
 
 def run_lifecycle(events: DataFrame, delay: str = "1 hour", timeout_seconds: int = K.STEP_TIMEOUT_SECONDS) -> DataFrame:
     """Problems of each run as they become known.  ``events``: run_id, event, step_index, ts, seq."""
-    return (
-        events.withWatermark("ts", delay).groupBy("run_id")
-        .transformWithStateInPandas(RunLifecycle(timeout_seconds), LIFECYCLE, "Append", "EventTime")
+    return events.withWatermark("ts", delay).groupBy("run_id").applyInPandasWithState(
+        lifecycle_steps(timeout_seconds), LIFECYCLE, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -156,6 +145,7 @@ def run_available(stream: DataFrame, mode: str, keys: list[str] | None = None) -
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "batch_no").alias("_v")).select(*keys, *[F.col(f"_v.{c}") for c in others])
 
 
-def event_files(spark: SparkSession, folder: str, pattern: str, schema: str | T.StructType) -> DataFrame:
-    """File stream over Parquet files that match a name pattern."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def event_files(spark: SparkSession, folder: str, pattern: str, schema: str | T.StructType, files_per_batch: int = 64) -> DataFrame:
+    """File stream over Parquet files that match a name pattern; the file limit bounds every micro-batch."""
+    source = spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch)
+    return source.parquet(folder)
