@@ -187,10 +187,7 @@ def rubric_bands(t: Tables) -> DataFrame:
     FROM d
 """)
 def rubric_pivot(t: Tables) -> DataFrame:
-    rows = rubrics.rubrics(rubric_files(t))
-    order = rubrics.levels(rows).select("export_id", "rubric_no", "level_id", F.col("sort_order").alias("level_order"))
-    cells = rubrics.cells(rows).join(order, ["export_id", "rubric_no", "level_id"])
-    return rubrics.pivot_grid(cells, ["Exceeds", "Meets"]).select("export_id", "criterion", "Exceeds", "Meets", "points")
+    return rubrics.pivot_grid(rubrics.cells(rubrics.rubrics(rubric_files(t))), ["Exceeds", "Meets"]).select("export_id", "criterion", "Exceeds", "Meets", "points")
 
 
 @query("practice_cards", f"""

@@ -144,8 +144,21 @@ def _expand(text: str) -> str:
     return re.sub(r"\{(\w+)\}", swap, text)
 
 
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for row-wise text work when the input has fewer files than cores.
+
+    With many files the scan is parallel already and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
