@@ -1,8 +1,8 @@
 """All packages of a catalogue in one pass: files to silver tables, edges, findings and course models.
 
-Every table is lazy and keyed by ``export_id``.  Write the silver tables once
-(``sources.sinks.write_table``) and read them back before building on them, so
-the archives are parsed once.
+Every table is keyed by ``export_id``.  Tables that several others build on are
+written once to the cluster's shared folder and read back: each archive is
+parsed once, plans stay short, and a lost executor only re-reads a table.
 """
 
 from __future__ import annotations
@@ -16,24 +16,38 @@ from ..functions.text import clean, html_to_text
 from ..operators import activities as A
 from ..operators import blocks, duplicates, findings, gold, identity, pages, rubrics, silver, structure, tree
 from ..operators import xml as X
+from ..session import shared_folder
 from ..sources import packages
 
+def stored(fn):
+    """A table computed once, written to the shared folder and read back from there."""
+
+    def get(self: Fleet) -> DataFrame:
+        path = f"{self.store}/{fn.__name__}"
+        fn(self).write.parquet(path)
+        return self.raw.sparkSession.read.parquet(path)
+
+    get.__name__, get.__doc__ = fn.__name__, fn.__doc__
+    return cached_property(get)
+
+
 _TOOLS = "coalesce(open_error, '') = ''"
 
 
 class Fleet:
     """Tables of a catalogue.  ``files``: export_id, rel_path, bytes, sha256, content, open_error."""
 
-    def __init__(self, files: DataFrame, config: DataFrame | None = None) -> None:
+    def __init__(self, files: DataFrame, config: DataFrame | None = None, store: str | None = None) -> None:
         self.raw = packages.without_junk(files)
+        self.store = store or shared_folder(files.sparkSession, "silver")
         self.config = config
 
     # ----- package
-    @cached_property
+    @stored
     def manifest_choice(self) -> DataFrame:
         return packages.manifests(self.raw.select("export_id", "rel_path"))
 
-    @cached_property
+    @stored
     def files(self) -> DataFrame:
         return packages.rerooted(self.raw.filter(_TOOLS), self.manifest_choice)
 
@@ -45,7 +59,7 @@ class Fleet:
     def inventory(self) -> DataFrame:
         return packages.inventory(self.files)
 
-    @cached_property
+    @stored
     def fingerprints(self) -> DataFrame:
         return identity.fingerprints(self.files)
 
@@ -58,19 +72,19 @@ class Fleet:
         return packages.text_files(self.files, pattern)
 
     # ----- structure
-    @cached_property
+    @stored
     def resources(self) -> DataFrame:
         return X.manifest_resources(self.tool("imsmanifest.xml"), ["export_id"])
 
-    @cached_property
+    @stored
     def _resolved(self) -> DataFrame:
         return structure.resolve_nodes(X.manifest_items(self.tool("imsmanifest.xml"), ["export_id"]), self.resources)
 
-    @cached_property
+    @stored
     def closure(self) -> DataFrame:
         return tree.closure(self._resolved)
 
-    @cached_property
+    @stored
     def nodes(self) -> DataFrame:
         hidden = tree.paths(tree.inherited_hidden(self._resolved, self.closure), self.closure)
         path = F.split_part(F.replace("href", F.lit("\\"), F.lit("/")), F.lit("?"), F.lit(1))
@@ -80,7 +94,7 @@ class Fleet:
         return checked.withColumn("href_missing", needs & F.col("_have").isNull()).drop("_have")
 
     # ----- pages
-    @cached_property
+    @stored
     def pages(self) -> DataFrame:
         """Readable HTML topics, hidden ones included and marked."""
         readable = self.nodes.filter("kind = 'html_topic' and href <> '' and not href_missing")
@@ -89,24 +103,24 @@ class Fleet:
         text = rows.withColumns({"binary": pages.binary_like(F.col("content")), "html": packages.as_text(F.col("content"))}).drop("content")
         return text.withColumn("rel_path", F.col("page_path")).withColumns({"html_title": pages.page_title(F.col("html")), "body_text": html_to_text(F.col("html"))})
 
-    @cached_property
+    @stored
     def segments(self) -> DataFrame:
         return pages.segments(self.pages.filter("not binary"), ["export_id", "pos", "title", "href", "is_hidden"])
 
-    @cached_property
+    @stored
     def blocks(self) -> DataFrame:
         return blocks.blocks(self.segments, ["export_id", "pos", "seg_no"])
 
     # ----- activities
-    @cached_property
+    @stored
     def grade_items(self) -> DataFrame:
         return silver.grade_items(self.tool("grades_d2l.xml"))
 
-    @cached_property
+    @stored
     def quicklinks(self) -> DataFrame:
         return A.quicklink_counts(self.resources)
 
-    @cached_property
+    @stored
     def activities(self) -> DataFrame:
         folders = silver.dropbox_folders(self.tool("dropbox_d2l.xml"))
         talks = silver.discussions(self.tool("discussion_d2l_%.xml"))
@@ -117,7 +131,7 @@ class Fleet:
         conditions = silver.condition_codes(self.tool("conditionalrelease_d2l.xml"))
         return A.with_quicklinks(A.with_conditions(graded, conditions), self.quicklinks)
 
-    @cached_property
+    @stored
     def edges(self) -> DataFrame:
         acts = self.activities.filter("kind <> 'forum'")
         links = A.rubric_links(acts, silver.rubric_names(self.tool("rubrics_d2l.xml")), ["export_id", "kind", "name", "resource_code", "pos"])
@@ -128,15 +142,15 @@ class Fleet:
         return rubrics.rubrics(self.tool("rubrics_d2l.xml"))
 
     # ----- course model
-    @cached_property
+    @stored
     def modules(self) -> DataFrame:
         return tree.split_modules(self.nodes)
 
-    @cached_property
+    @stored
     def members(self) -> DataFrame:
         return tree.module_members(self.modules, self.nodes.drop("path"), self.closure)
 
-    @cached_property
+    @stored
     def routed(self) -> DataFrame:
         """Routed page segments of every week, pages already shown before week 1 left out."""
         page = gold.topic_label(F.col("title"), F.lit(""), F.col("href"))
@@ -179,13 +193,13 @@ class Fleet:
         topic = self.pages.select("export_id", F.concat(F.lit("html topic '"), "title", F.lit("'")).alias("label"), F.col("body_text").alias("text"))
         return tool.unionByName(topic)
 
-    @cached_property
+    @stored
     def images_missing_alt(self) -> DataFrame:
         page = pages.images_missing_alt(self.pages.filter("not is_hidden").withColumn("location", F.col("href")), ["export_id", "location"])
         tool = pages.images_missing_alt(self.activities.withColumn("location", F.concat("kind", F.lit(" '"), "name", F.lit("'"))), ["export_id", "location"], html="html")
         return page.unionByName(tool)
 
-    @cached_property
+    @stored
     def findings(self) -> DataFrame:
         """Every rule over every package, one row per finding."""
         ids = self.packages.filter("open_error is null").select("export_id")
