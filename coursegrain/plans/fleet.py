@@ -109,7 +109,9 @@ class Fleet:
 
     @stored
     def blocks(self) -> DataFrame:
-        return blocks.blocks(self.segments, ["export_id", "pos", "seg_no"])
+        # token rows have a position of their own
+        fragments = self.segments.withColumnRenamed("pos", "topic_no")
+        return blocks.blocks(fragments, ["export_id", "topic_no", "seg_no"]).withColumnRenamed("topic_no", "pos")
 
     # ----- activities
     @stored
