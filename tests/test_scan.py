@@ -72,3 +72,17 @@ def test_table_sink_and_changes(spark, tmp_path):
     new = spark.createDataFrame([("a", 1, "x"), ("b", 2, "z"), ("c", 3, "w")], "export_id string, k int, v string")
     changed = sinks.changed_rows(new, back.select("export_id", "k", "v"), ["export_id", "k"])
     assert sorted(r.k for r in changed.collect()) == [2, 3]
+
+
+def test_unchanged_buckets_are_not_rewritten(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", 1, "x", 0), ("b", 2, "y", 1)], "export_id string, k int, v string, export_bucket int")
+    rows.write.partitionBy("export_bucket").parquet(path)
+    before = {b: sorted(os.listdir(f"{path}/export_bucket={b}")) for b in (0, 1)}
+    new = spark.createDataFrame([("a", 1, "x", 0), ("b", 2, "z", 1)], rows.schema)
+    sinks.write_if_changed(spark, new, path, ["export_id", "k"])
+    after = {b: sorted(os.listdir(f"{path}/export_bucket={b}")) for b in (0, 1)}
+    assert after[0] == before[0] and after[1] != before[1]
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["x", "z"]
