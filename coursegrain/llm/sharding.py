@@ -51,7 +51,7 @@ def lookup_table(spark: SparkSession, shards: tuple[str, ...] = SHARDS, slots: i
         F.array_repeat(F.lit(-1), slots).alias("owner"), F.array_repeat(F.lit(0), len(shards)).alias("next")
     )
     filled = one.select("names", F.aggregate(F.sequence(F.lit(0), F.lit(slots - 1)), begin, turn)["owner"].alias("owner"))
-    rows = filled.select("names", F.posexplode("owner").alias("slot", "shard_no"))
+    rows = filled.select("names", F.posexplode_outer("owner").alias("slot", "shard_no"))
     return rows.select("slot", "shard_no", F.get("names", F.col("shard_no")).alias("shard"))
 
 
