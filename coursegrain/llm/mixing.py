@@ -13,7 +13,7 @@ target exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -27,6 +27,10 @@ CHUNKS = 4096
 SEED = "mix:"
 
 
+def word_count(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """(source, source_size) -> with target.
 
@@ -56,19 +60,22 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: i
 
 def mix(
     docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
+    weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, words: str | None = None,
 ) -> DataFrame:
     """All rows and columns of ``docs`` plus size, source_size, target and taken.
 
+    ``words`` names a column of word counts; without it the words of ``text`` are
+    counted and ``docs`` is read twice as a whole.
+
     ``size`` counts words (null or blank text: 0, never taken), ``taken`` the
     words the mix takes from the row, repeats counted.  Null sources are a source
     of their own.  Rows that repeat an id are mixed one by one; ties of the key
-    fall to id, size and text.  The keys are a function of the id, so reruns
+    fall to id, size and a hash of the row.  The keys are a function of the id, so reruns
     agree.  Input columns named like an output are replaced.
     """
     sized = packed(
-        docs, source=F.col(f"`{source}`"), size=F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"),
-        pos=hash60(F.col(f"`{key}`"), seed), key=F.col(f"`{key}`"), text=F.col(f"`{text}`"),
+        docs, source=F.col(f"`{source}`"), size=word_count(F.col(f"`{text}`")) if words is None else F.coalesce(F.col(f"`{words}`"), F.lit(0)).cast("long"),
+        pos=hash60(F.col(f"`{key}`"), seed), key=F.col(f"`{key}`"), row_hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]),
     ).withColumn("chunk", F.shiftright("pos", 60 - CHUNKS.bit_length() + 1).cast("int"))
 
     chunks = stored(sized.groupBy("source", "chunk").agg(F.sum("size").alias("words")), "mix-chunks")
@@ -80,7 +87,7 @@ def mix(
     offsets = null_safe_join(chunks.withColumn("_before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words"), goals, ["source"])
 
     joined = null_safe_join(sized, offsets, ["source", "chunk"])
-    order = W.partitionBy("source", "chunk").orderBy("pos", "key", "size", "text").rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy("source", "chunk").orderBy("pos", "key", "size", "row_hash").rowsBetween(W.unboundedPreceding, -1)
     before = F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     once_more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - before))
     taken = joined.withColumn("taken", (F.col("_epochs") * F.col("size") + once_more).cast("long"))
@@ -95,7 +102,8 @@ def mixed_rows(
     The row on a source's cut keeps the leading words that the budget allows,
     with the white space between them.
     """
-    plan = mix(packed(docs, text=F.col(f"`{text}`"), doc_id=F.col(f"`{key}`"), source=F.col(f"`{source}`")), **options)
+    whole = F.col(f"`{text}`")
+    plan = mix(packed(docs, text=whole, doc_id=F.col(f"`{key}`"), source=F.col(f"`{source}`"), words=word_count(whole)), words="words", **options)
     copies = F.ceil(F.col("taken") / F.col("size"))
     rows = plan.filter("taken > 0").withColumn("no", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
     words = F.least(F.col("size"), F.col("taken") - (F.col("no") - 1) * F.col("size"))
