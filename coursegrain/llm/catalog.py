@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, quality, secrets, sharding, warc
+from . import bpe, html_text, mixing, neighbours, quality, secrets, sharding, topk, warc
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op2_topk", """
+WITH v AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: floor(256 * x::DOUBLE))) AS ints FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 GROUP BY vec_id
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.ints, c.ints)::BIGINT AS score FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER w AS rank, vec_id, score FROM s WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5
+""")
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op5_neighbours")
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
