@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, neighbours, quality, secrets, sharding, topk, warc
+from . import bpe, html_text, mixing, neighbours, quality, secrets, setjoin, sharding, topk, warc
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,19 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = neighbours.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return neighbours.nearest(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query("op4_jaccard", r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM words
+), tokens AS (SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets),
+shared AS (SELECT a.doc_id AS u, b.doc_id AS v, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common FROM tokens a JOIN tokens b USING (token) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT u, v FROM shared WHERE 100 * common >= 80 * (n + m - common)),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.v) AS component_id FROM sets s JOIN reach r ON r.u = s.doc_id GROUP BY s.doc_id, len(s.s)
+""")
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.link(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
