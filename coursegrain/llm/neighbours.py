@@ -189,7 +189,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     count = int(min(max(total / LIST_ROWS, 1), MOST_LISTS))
     chosen = vectors.filter(F.xxhash64("vec_id").cast("double") / 2.0**64 + 0.5 <= share)
 
-    def fitted(_, rows: pd.DataFrame) -> pd.DataFrame:
+    def fitted(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         unit = np.unique(_directions(_matrix(rows.sort_values("vec_id")["vector"])), axis=0)
         found = fit_centroids(unit, min(count, len(unit)))
         return pd.DataFrame({"width": [found.shape[1]], "centroids": [found.tobytes()]})

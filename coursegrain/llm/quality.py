@@ -145,7 +145,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
     sample = docs.join(chosen, "doc_id").groupBy("doc_id", "label").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     share = model["share"]
 
-    def fitted(_, rows: pd.DataFrame) -> pd.DataFrame:
+    def fitted(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
         texts, features = rows["text"].tolist(), []
         for begin, end in slices(texts):
