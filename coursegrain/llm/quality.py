@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dic
             features += [found[a:b].astype(np.int32) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         target = np.where(rows["label"].to_numpy() > 0, 1, -1)
         if len(set(target)) < 2:
-            return pd.DataFrame({"parts": [], "squares": [], "numbers": []})
+            return pd.DataFrame({"parts": [], "squares": [], "numbers": []}, dtype=object)
         svm, slope, offset = fit(features, target, share)
         return pd.DataFrame({"parts": [svm.parts.tobytes()], "squares": [svm.squares.tobytes()], "numbers": [[svm.bias, slope, offset]]})
 
