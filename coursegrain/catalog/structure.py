@@ -77,6 +77,16 @@ def file_scope(t: Tables) -> DataFrame:
     return structure.file_scope(t.v_files)
 
 
+@query("file_scope_rows", f"""
+    WITH f AS (SELECT export_id, rel_path, bytes, lower(rel_path) AS low, regexp_extract(lower(rel_path), '([^/]*)$', 1) AS base FROM {{v_files}}),
+         c AS (SELECT *, {sql_category('html|htm|xhtml')} AS category FROM f)
+    SELECT export_id, 'type' AS part, category AS name, count(*) AS n, cast(sum(bytes) AS bigint) AS bytes FROM c GROUP BY ALL
+    UNION ALL SELECT export_id, 'file', rel_path, 1, bytes FROM c
+""")
+def file_scope_rows(t: Tables) -> DataFrame:
+    return structure.file_scope_rows(t.v_files)
+
+
 @query("unlinked_files", f"""
     WITH f AS (SELECT export_id, rel_path, bytes, lower(rel_path) AS low, regexp_extract(lower(rel_path), '([^/]*)$', 1) AS base FROM {{v_files}}),
          c AS (SELECT *, {sql_category('html|htm|xhtml')} AS category FROM f),

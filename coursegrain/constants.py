@@ -32,21 +32,17 @@ EXPECTED_COMPONENTS = ("imsmanifest.xml", "grades_d2l.xml", "dropbox_d2l.xml", "
 
 # --- link and markup patterns (fixed values) --------------------------------
 NON_LOCAL_PREFIXES = ("http://", "https://", "data:", "mailto:", "javascript:", "tel:", "#", "//")
-LIVE_PREFIXES = ("http://", "https://", "mailto:")
 ACTIVITY_CODE = r"r[Cc]ode=([A-Za-z0-9._-]+)"
 QUICKLINK_TYPE = r"[?&]type=([A-Za-z]+)"
 EXPORT_NAME = r"(?i)D2LExport_(\d+)_(.+?)_(\d{8,14})(?:_|$|\.)"
 EXTERNAL_URL = r"""(?i)https?://[^\s"'<>]+"""
-URL_TRAILING = ".,;:)]"
 WEEKISH = r"(?i)\b(week|module|unit)\s*0*(\d{1,2})\b"
 PLACEHOLDER_PATTERNS = (r"\[insert[^\]]*\]", r"\bTBD\b", r"\bTODO\b", "PLACEHOLDER", "lorem ipsum")
 SAMPLE_BYTES = 8192
 HTML_SNIFF_BYTES = 1024
-DUPLICATE_KEY_CHARS = 1200
 DUPLICATE_MIN_CHARS = 160
 DUPLICATE_MIN_TOKENS = 20
 DUPLICATE_OVERLAP = 0.92
-SYLLABUS_MAX_BYTES = 5 * 1024 * 1024
 
 QUICKLINK_KINDS = {
     "quiz": "quiz_link",
@@ -179,6 +175,4 @@ CORE_STEPS = (
     "Reconstruct course structure",
     "Extract course activities",
 )
-NOT_FOUND_FIELD = "Needs review: not found in export extraction."
-NOT_FOUND_LIST = "None found in export extraction."
 STEP_TIMEOUT_SECONDS = 900

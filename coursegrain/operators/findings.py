@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -144,7 +145,7 @@ def alt_locations(images: DataFrame, shown: int = 3) -> DataFrame:
 
 
 def missing_alt(images: DataFrame, order: DataFrame | None = None, shown: int = 10) -> DataFrame:
-    """One warning per package: total and the first locations."""
+    """Report line per package: total and the first locations.  ``alt_findings`` has every location."""
     places = alt_locations(images)
     totals = places.groupBy("export_id").agg(F.sum("n").alias("total"), F.count("*").alias("places"))
     top = top_per(places, ["export_id"], ["location"], shown)
@@ -154,19 +155,33 @@ def missing_alt(images: DataFrame, order: DataFrame | None = None, shown: int =
     return finding(totals.join(detail, "export_id"), "R12", "warnings", "package", F.col("export_id"), message)
 
 
+def alt_findings(images: DataFrame) -> DataFrame:
+    """One warning per location with images that have no alternative text."""
+    counted = images.groupBy("export_id", "location").agg(F.count("*").alias("n"))
+    return finding(counted, "R12", "warnings", "location", F.col("location"), F.concat(F.lit("images missing alt text: "), F.col("n").cast("string")))
+
+
+#: Gaps up to this many numbers are listed one by one, longer ones as a range.
+GAP_LISTED = 1000
+
+
 def week_gaps(modules: DataFrame) -> DataFrame:
     """Missing numbers between the first and last numbered week of each package.
 
-    Only distinct week numbers reach the list, so a package with many rows still
-    contributes at most its number range.
+    Each gap lies between two neighbouring numbers, so the text grows with the
+    weeks of a package and not with the numbers they bear.
     """
     number = F.regexp_extract("title", r"(?i)\bweek\s+(\d+)", 1).try_cast("int")
-    weeks = modules.filter("kind = 'module'").select("export_id", number.alias("w")).filter("w is not null")
-    counted = weeks.groupBy("export_id", "w").agg(F.count("*").alias("n"))
-    lists = counted.groupBy("export_id").agg(F.sum("n").alias("n"), F.min("w").alias("lo"), F.max("w").alias("hi"), F.collect_set("w").alias("have"))
-    gaps = lists.filter("n >= 2").withColumn("missing", F.array_except(F.sequence("lo", "hi"), F.col("have"))).filter(F.size("missing") > 0)
-    listed = F.concat(F.lit("["), F.array_join(F.col("missing").cast("array<string>"), ", "), F.lit("]"))
-    return finding(gaps, "R13", "notes", "package", F.col("export_id"), F.concat(F.lit("week-module numbering gap (inference): weeks "), listed, F.lit(" absent between "), F.col("lo").cast("string"), F.lit(" and "), F.col("hi").cast("string")))
+    weeks = modules.filter("kind = 'module'").select("export_id", number.alias("w")).filter("w is not null").distinct()
+    following = weeks.withColumn("next", F.lead("w").over(W.partitionBy("export_id").orderBy("w")))
+    first, last = F.col("w").cast("bigint") + 1, F.col("next").cast("bigint") - 1
+    listed = F.array_join(F.sequence(first, F.least(last, first + GAP_LISTED)).cast("array<string>"), ", ")
+    gap = F.when(last - first < GAP_LISTED, listed).otherwise(F.concat(first.cast("string"), F.lit("-"), last.cast("string")))
+    gaps = following.groupBy("export_id").agg(
+        F.min("w").alias("lo"), F.max("w").alias("hi"), F.array_sort(F.collect_list(F.when(last >= first, F.struct("w", gap.alias("t"))))).alias("missing"),
+    ).filter(F.size("missing") > 0)
+    text = F.concat(F.lit("["), F.array_join(F.transform("missing", lambda m: m["t"]), ", "), F.lit("]"))
+    return finding(gaps, "R13", "notes", "package", F.col("export_id"), F.concat(F.lit("week-module numbering gap (inference): weeks "), text, F.lit(" absent between "), F.col("lo").cast("string"), F.lit(" and "), F.col("hi").cast("string")))
 
 
 def broken_hrefs(nodes: DataFrame, files: DataFrame) -> DataFrame:
@@ -240,3 +255,9 @@ def gate(packages: DataFrame, rows: DataFrame) -> DataFrame:
     return packages.select("export_id").join(breaks, "export_id", "left").select(
         "export_id", F.coalesce("breaks", F.lit(0)).alias("breaks"), F.when(F.coalesce("breaks", F.lit(0)) > 0, "fail").otherwise("pass").alias("outcome")
     )
+
+
+def unreadable_members(members: DataFrame) -> DataFrame:
+    """Members of an archive that could not be read, while the rest was."""
+    message = F.concat(F.lit("package file could not be read: "), F.col("rel_path"), F.lit(" ("), F.col("open_error"), F.lit(")"))
+    return finding(members, "B12", "breaks", "package_file", F.col("rel_path"), message)

@@ -68,10 +68,12 @@ _ATTRIBUTE_VALUE = r"""[\w.-]+\s*=\s*["']((?<=")[^"]*|(?<=')[^']*)"""
 
 def attribute_map(tag: Column) -> Column:
     """Attributes of an opening tag as a map, namespace prefixes cut; a repeated name keeps the last value."""
-    opening = F.regexp_extract(tag, r"(?s)^<[^\s/>]+([^>]*)", 1)
+    opening = F.regexp_extract(tag, r"(?s)^<[^\s/>]+(.*?)/?>$", 1)
     names = F.regexp_extract_all(opening, F.lit(_ATTRIBUTE), F.lit(1))
     values = F.transform(F.regexp_extract_all(opening, F.lit(_ATTRIBUTE_VALUE), F.lit(1)), lambda v: clean(unescape(v)))
-    return F.map_from_arrays(names, values)
+    pairs = F.arrays_zip(names.alias("k"), values.alias("v"))
+    last = F.filter(pairs, lambda p, i: F.array_position(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), p["k"]) == 0)
+    return F.map_from_entries(last)
 
 
 def conditions(files: DataFrame) -> DataFrame:
@@ -79,7 +81,7 @@ def conditions(files: DataFrame) -> DataFrame:
     sets = files.select("export_id", F.posexplode(X.element_strings(F.col("xml"), "condition_set")).alias("set_no", "_set"))
     rows = sets.select(
         "export_id", "set_no", X.attribute(F.regexp_extract("_set", r"(?s)^<[^>]*>", 0), "resource_code").alias("resource_code"),
-        F.posexplode(F.regexp_extract_all("_set", F.lit(r"(?s)<(?:\w+:)?condition(?=[\s/>])[^>]*>"), F.lit(0))).alias("condition_no", "_c"),
+        F.posexplode(F.regexp_extract_all("_set", F.lit(r"""(?s)<(?:\w+:)?condition(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))).alias("condition_no", "_c"),
     )
     return rows.withColumn("attributes", attribute_map(F.col("_c"))).drop("_c")
 
@@ -141,20 +143,24 @@ TOPIC = (
 FORUM = f"_id string, _resource_code string, _condition_set string, content struct<title:string>, {_PROPS}"
 
 
+#: Positions below one forum; more topics than a file can hold.
+_STRIDE = 1 << 32
+
+
 def discussions(files: DataFrame) -> DataFrame:
     """One row per forum and one per topic of the forum."""
     forums = files.select(*_KEYS, F.posexplode(X.element_strings(F.col("xml"), "forum")).alias("forum_no", "_forum"))
     head = F.regexp_replace("_forum", r"(?s)<(?:\w+:)?topics?(?=[\s/>]).*</(?:\w+:)?topics?\s*>", "")
     read = forums.withColumn("f", F.from_xml(head, FORUM, X.OPTIONS))
     forum_rows = _activity(read.select(
-        "export_id", F.lit("forum").alias("kind"), F.col("rel_path").alias("source_file"), (F.col("forum_no") * 100000).alias("pos"),
+        "export_id", F.lit("forum").alias("kind"), F.col("rel_path").alias("source_file"), (F.col("forum_no") * _STRIDE).alias("pos"),
         X.field("f._id").alias("id"), X.field("f.content.title").alias("name"), X.field("f._resource_code").alias("resource_code"),
         X.field("f.properties.is_hidden").alias("is_hidden"), X.field("f._condition_set").alias("condition_set"),
     ))
     topics = read.select(*_KEYS, "forum_no", X.field("f._id").alias("forum_id"), F.posexplode(X.element_strings(F.col("_forum"), "topic")).alias("n", "_topic"))
     t = topics.withColumn("e", F.from_xml("_topic", TOPIC, X.OPTIONS))
     topic_rows = _activity(t.select(
-        "export_id", F.lit("discussion_topic").alias("kind"), F.col("rel_path").alias("source_file"), (F.col("forum_no") * 100000 + F.col("n") + 1).alias("pos"),
+        "export_id", F.lit("discussion_topic").alias("kind"), F.col("rel_path").alias("source_file"), (F.col("forum_no") * _STRIDE + F.col("n") + 1).alias("pos"),
         X.field("e._id").alias("id"), X.field("e.content.title").alias("name"), X.field("e._resource_code").alias("resource_code"),
         X.field("e.properties.grade_item_id").alias("grade_item_code"), _rubric_ids("e.associations.rubric").alias("rubric_ids"),
         X.field("e._condition_set").alias("condition_set"), X.field("e.properties.score_out_of").alias("out_of"),
@@ -196,6 +202,17 @@ def checklist_entries(files: DataFrame) -> DataFrame:
     return cat_rows.unionByName(items)
 
 
+def _own_rubric_text(rows: DataFrame, quiz: DataFrame) -> DataFrame:
+    """First text inside the assessment's own rubric; the questions' texts are elsewhere in the file."""
+    top = quiz.select(*_KEYS, F.col("pos").alias("_q"))
+    own = rows.filter("tag = 'rubric'").join(top, _KEYS).filter("parent_pos = _q").groupBy(*_KEYS).agg(F.min(F.struct("pos", "depth")).alias("_r"))
+    after = rows.join(own, _KEYS).filter("pos > _r.pos")
+    end = after.filter("depth <= _r.depth").groupBy(*_KEYS).agg(F.min("pos").alias("_end"))
+    inside = after.filter("tag = 'mattext'").join(end, _KEYS, "left").filter("_end is null or pos < _end")
+    found = inside.groupBy(*_KEYS).agg(F.min_by("text", "pos").alias("_text"))
+    return own.select(*_KEYS).join(found, _KEYS, "left").select(*_KEYS, F.col("_text").alias("_mat"))
+
+
 def quizzes(files: DataFrame) -> DataFrame:
     """First assessment of each quiz file with its settings."""
     rows = X.element_rows(X.tokens(files, _KEYS), _KEYS)
@@ -210,7 +227,7 @@ def quizzes(files: DataFrame) -> DataFrame:
             F.min_by(F.struct(X.attribute(F.col("raw"), "resource_code").alias("code"), "text"), F.when(F.col("tag") == "grade_item", F.col("pos"))).alias("_grade"),
         )
     )
-    mat = rows.filter("tag = 'mattext'").groupBy(*_KEYS).agg(F.min_by("text", "pos").alias("_mat"))
+    mat = _own_rubric_text(rows, quiz)
     a = lambda n: clean(X.attribute(F.col("raw"), n))
     html = F.regexp_replace(F.coalesce("_mat", "_intro_message", F.lit("")), r"(?is)<scribe-shadow\b.*?</scribe-shadow>", "")
     text = lambda n: F.coalesce(f"_{n}", F.lit(""))
@@ -224,30 +241,46 @@ def quizzes(files: DataFrame) -> DataFrame:
     )
 
 
-QTI = "qti_metadatafield array<struct<fieldlabel:string,fieldentry:string>>"
+_LABELS = {"draw_count": "qmd_numberofitems", "points_per_question": "qmd_weighting", "type": "qmd_questiontype"}
 
 
-def metadata_value(fields: Column, label: str) -> Column:
-    """Last entry with this label, empty when there is none."""
-    hits = F.filter(F.coalesce(fields, F.expr("cast(array() as array<struct<fieldlabel:string,fieldentry:string>>)")), lambda f: clean(f["fieldlabel"]) == label)
-    return clean(F.element_at(F.transform(hits, lambda f: f["fieldentry"]), -1)) if label else F.lit("")
+def _labelled_spans(toks: DataFrame, rows: DataFrame) -> DataFrame:
+    """Sections and questions by opening position, with the last entry of each label anywhere inside.
+
+    At an element's closing tag the last entry so far is its own if it came after
+    the opening tag: one running value over the file serves every level.
+    """
+    part = lambda n: F.max_by("text", F.when(F.col("tag") == n, F.col("pos")))
+    fields = (
+        rows.filter("tag in ('fieldlabel', 'fieldentry')").groupBy(*_KEYS, F.col("parent_pos").alias("pos"))
+        .agg(part("fieldlabel").alias("label"), F.coalesce(part("fieldentry"), F.lit("")).alias("entry")).filter(F.col("label").isin(*_LABELS.values()))
+    )
+    spans = toks.filter("tag in ('section', 'item')").select(*_KEYS, "pos", "tag", "depth", "opens", "closes")
+    events = spans.unionByName(fields, allowMissingColumns=True)
+    so_far = W.partitionBy(*_KEYS).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    level = W.partitionBy(*_KEYS, "tag", "depth").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    last = lambda label: F.last(F.when(F.col("label") == label, F.struct("pos", "entry")), True).over(so_far)
+    known = events.withColumns({f"_{n}": last(label) for n, label in _LABELS.items()}).filter("tag is not null")
+    paired = known.withColumn("_start", F.last(F.when(F.col("opens") == 1, F.col("pos")), True).over(level)).filter("closes = 1")
+    own = {n: F.when(F.col(f"_{n}.pos") > F.col("_start"), clean(F.col(f"_{n}.entry"))) for n in _LABELS}
+    return paired.select(*_KEYS, F.col("_start").alias("pos"), *[F.coalesce(v, F.lit("")).alias(n) for n, v in own.items()])
 
 
 def quiz_sections(files: DataFrame) -> DataFrame:
-    """Sections with a title or direct questions: draw count, candidates, weight, question types."""
-    raw = files.select(*_KEYS, F.posexplode(X.element_strings(F.col("xml"), "section")).alias("section_no", "_s"))
-    field = F.lit(r"(?s)<(?:\w+:)?qti_metadatafield\b.*?</(?:\w+:)?qti_metadatafield\s*>")
-    outer = F.regexp_replace("_s", r"(?s)<(?:\w+:)?item(?=[\s>])[^>]*[^/]>.*?</(?:\w+:)?item\s*>", "<item/>")
-
-    def last(text: Column, label: str) -> Column:
-        hits = F.filter(F.regexp_extract_all(text, field, F.lit(0)), lambda f: clean(F.regexp_extract(f, r"(?s)<(?:\w+:)?fieldlabel[^>]*>(.*?)<", 1)) == label)
-        return unescape(clean(F.regexp_extract(F.coalesce(F.try_element_at(hits, F.lit(-1)), F.lit("")), r"(?s)<(?:\w+:)?fieldentry[^>]*>(.*?)<", 1)))
-
-    types = F.filter(F.transform(X.element_strings(F.col("_s"), "item"), lambda i: last(i, "qmd_questiontype")), lambda t: t != "")
-    read = raw.select(
-        *_KEYS, "section_no", clean(X.attribute(F.regexp_extract("_s", r"(?s)^<[^>]*>", 0), "title")).alias("title"),
-        F.size(F.regexp_extract_all("_s", F.lit(r"<(?:\w+:)?item(?:ref)?(?=[\s/>])"), F.lit(0))).alias("candidate_count"),
-        last(outer, "qmd_numberofitems").alias("draw_count"), last(outer, "qmd_weighting").alias("points_per_question"), types.alias("question_types"),
+    """Sections, nested ones too, with a title or questions of their own: draw count, candidates, weight, question types."""
+    toks = X.tokens(files, _KEYS)
+    rows = X.element_rows(toks, _KEYS).filter("tag in ('section', 'item', 'itemref', 'fieldlabel', 'fieldentry')")
+    labelled = _labelled_spans(toks, rows)
+    direct = rows.filter("tag in ('item', 'itemref')").join(labelled.select(*_KEYS, "pos", "type"), [*_KEYS, "pos"], "left")
+    asked = direct.groupBy(*_KEYS, F.col("parent_pos").alias("pos")).agg(
+        F.count("*").cast("int").alias("candidate_count"), F.collect_list(F.when((F.col("tag") == "item") & (F.col("type") != ""), F.col("type"))).alias("question_types"),
+    )
+    none = F.array().cast("array<string>")
+    sections = rows.filter("tag = 'section'").join(labelled, [*_KEYS, "pos"], "left").join(asked, [*_KEYS, "pos"], "left")
+    read = sections.select(
+        *_KEYS, (F.row_number().over(W.partitionBy(*_KEYS).orderBy("pos")) - 1).alias("section_no"), clean(X.attribute(F.col("raw"), "title")).alias("title"),
+        F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"), F.coalesce("draw_count", F.lit("")).alias("draw_count"),
+        F.coalesce("points_per_question", F.lit("")).alias("points_per_question"), F.coalesce("question_types", none).alias("question_types"),
     )
     return read.filter("title <> '' or candidate_count > 0")
 

@@ -120,6 +120,14 @@ def file_scope(files: DataFrame, types_shown: int = 6, files_shown: int = 8) ->
     )
 
 
+def file_scope_rows(files: DataFrame) -> DataFrame:
+    """Every type and every file of a package with its size; ``file_scope`` is the short report."""
+    typed = files.withColumn("category", paths.file_category(F.col("rel_path"), "scope"))
+    by_type = typed.groupBy("export_id", F.col("category").alias("name")).agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    by_file = typed.select("export_id", F.col("rel_path").alias("name"), F.lit(1).cast("bigint").alias("n"), F.col("bytes").cast("bigint").alias("bytes"))
+    return by_type.withColumn("part", F.lit("type")).unionByName(by_file.withColumn("part", F.lit("file"))).select("export_id", "part", "name", "n", "bytes")
+
+
 def scope_findings(summary: DataFrame, label: str, tail: str = "") -> DataFrame:
     from .findings import finding
 

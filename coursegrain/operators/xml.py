@@ -23,12 +23,26 @@ OPTIONS = {
     "ignoreSurroundingSpaces": "true",
 }
 COMMENT = r"(?s)<!--.*?-->"
+_ATTRIBUTES = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+_PIECES = r"(?s)<!\[CDATA\[.*?\]\]>|<!--.*?-->|<|[^<]++"
+
+
+def plain(xml: Column) -> Column:
+    """The same XML without comments, CDATA written as escaped text, so that only markup looks like markup."""
+
+    def piece(p: Column) -> Column:
+        inner = F.regexp_replace(p, r"(?s)^<!\[CDATA\[|\]\]>$", "")
+        safe = F.replace(F.replace(F.replace(inner, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+        return F.when(p.startswith("<![CDATA["), safe).when(p.startswith("<!--"), F.lit("")).otherwise(p)
+
+    cut = F.array_join(F.transform(F.regexp_extract_all(xml, F.lit(_PIECES), F.lit(0)), piece), "")
+    return F.when(F.contains(xml, F.lit("<![CDATA[")), cut).otherwise(F.regexp_replace(xml, COMMENT, ""))
 
 
 def element_strings(xml: Column, name: str) -> Column:
     """Array of the outer XML of every element with this local name (not nested in itself)."""
-    pattern = rf"(?s)<(?:\w+:)?{name}(?=[\s/>])[^>]*?(?:/>|>.*?</(?:\w+:)?{name}\s*>)"
-    return F.regexp_extract_all(F.regexp_replace(xml, COMMENT, ""), F.lit(pattern), F.lit(0))
+    pattern = rf"(?s)<(?:\w+:)?{name}(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|(?<!/)>.*?</(?:\w+:)?{name}\s*+>)"
+    return F.regexp_extract_all(plain(xml), F.lit(pattern), F.lit(0))
 
 
 def elements(files: DataFrame, name: str, schema: str, keep: list[str], xml: str = "xml") -> DataFrame:
@@ -42,6 +56,12 @@ def field(path: str) -> Column:
     return clean(F.col(path))
 
 
+def well_formed(files: DataFrame, xml: str = "xml") -> DataFrame:
+    """Only the files whose XML can be read whole; a broken one contributes no rows."""
+    e = F.from_xml(xml, "_probe string, _corrupt_record string", OPTIONS)
+    return files.withColumn("_x", e).filter("_x is not null and _x._corrupt_record is null").drop("_x")
+
+
 def malformed(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
     """Files whose XML is not well-formed."""
     schema = "_probe string, _corrupt_record string"
@@ -49,7 +69,7 @@ def malformed(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
     return checked.filter(F.col("_x._corrupt_record").isNotNull() | F.col("_x").isNull()).select(*keep)
 
 
-TOKEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>|</?[\w:.-]+(?:\s+[\w:.-]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*\s*/?>|[^<]+"
+TOKEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>|</?[\w:.-]+(?:\s++[\w:.-]++\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'))*+\s*+/?>|[^<]++"
 
 
 def tokens(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
@@ -113,8 +133,8 @@ def attribute(raw: Column, name: str) -> Column:
 def manifest_resources(files: DataFrame, keep: list[str]) -> DataFrame:
     """Resources of each manifest in document order; duplicates are kept."""
     schema = "_identifier string, _type string, _material_type string, _href string, _link_target string, _title string, _corrupt_record string"
-    opening = r"(?s)<(?:\w+:)?resource(?=[\s/>])[^>]*>"
-    tags = F.regexp_extract_all(F.regexp_replace("xml", COMMENT, ""), F.lit(opening), F.lit(0))
+    opening = rf"(?s)<(?:\w+:)?resource(?=[\s/>]){_ATTRIBUTES}>"
+    tags = F.regexp_extract_all(plain(F.col("xml")), F.lit(opening), F.lit(0))
     rows = files.select(*keep, F.posexplode(tags).alias("pos", "_raw"))
     closed = F.regexp_replace("_raw", r"(?s)/?>$", "/>")
     e = F.from_xml(closed, schema, OPTIONS)

@@ -53,7 +53,13 @@ class Fleet:
 
     @cached_property
     def packages(self) -> DataFrame:
-        return self.raw.groupBy("export_id").agg(F.max("open_error").alias("open_error"), F.max(F.when(F.col("open_error").isNotNull(), F.col("sha256"))).alias("transport_sha256"))
+        whole = F.col("rel_path") == ""  # an archive that did not open; a member that did not is ``unreadable``
+        return self.raw.groupBy("export_id").agg(F.max(F.when(whole, F.col("open_error"))).alias("open_error"), F.max(F.when(whole, F.col("sha256"))).alias("transport_sha256"))
+
+    @cached_property
+    def unreadable(self) -> DataFrame:
+        """Members of opened archives that could not be read."""
+        return self.raw.filter("open_error is not null and rel_path <> ''").select("export_id", "rel_path", "bytes", "open_error")
 
     @cached_property
     def inventory(self) -> DataFrame:
@@ -69,7 +75,7 @@ class Fleet:
         return identity.lineage(named.join(self.fingerprints.select("export_id", "digest"), "export_id", "left"))
 
     def tool(self, pattern: str) -> DataFrame:
-        return packages.text_files(self.files, pattern)
+        return X.well_formed(packages.text_files(self.files, pattern))
 
     # ----- structure
     @stored
@@ -221,12 +227,12 @@ class Fleet:
         hidden_files = structure.file_scope(self.files.select("export_id", "rel_path", "bytes").join(linked.filter("hidden"), ["export_id", "rel_path"], "left_semi"))
         records = structure.hidden_records(self.nodes)
         return findings.union([
-            packages.reroot_notes(self.manifest_choice),
+            packages.reroot_notes(self.manifest_choice), findings.unreadable_members(self.unreadable),
             findings.missing_components(ids, self.files), findings.malformed_xml(X.malformed(tool_files, ["export_id", "rel_path"])),
             A.join_findings(self.edges), findings.orphans(A.orphan_grade_items(self.grade_items, self.activities)),
             findings.quiz_draws(sections), findings.points_mismatches(A.points_mismatch(self.activities.filter("kind = 'dropbox_folder'"))),
             findings.dates(self.dated, config), findings.gradebook_total(ids, self.grade_items, config), findings.gradebook_items(self.grade_items), findings.duplicate_names(self.grade_items),
-            findings.placeholders(self.texts), findings.missing_alt(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
+            findings.placeholders(self.texts), findings.alt_findings(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
             findings.broken_hrefs(self.nodes, self.files), findings.unresolved_refs(self.nodes), findings.broken_references(lost), findings.empty_pages(shown.filter("not is_hidden")),
             structure.skipped_files(self.nodes), structure.hidden_findings(records, tree.descendant_counts(self.nodes, self.closure)),
             structure.scope_findings(hidden_files, "hidden manifest-linked non-HTML files preserved as references"),

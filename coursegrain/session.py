@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,10 +25,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's checkpoint folder.
 
     ``spark.checkpoint.dir`` names storage every executor can reach.  Only where
-    it is unset (tests, local runs) a temporary folder takes its place.
+    it is unset and Spark runs in this one process (tests, local runs) a temporary
+    folder takes its place; on a cluster an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[\d*,]+\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "coursegrain-shared")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
