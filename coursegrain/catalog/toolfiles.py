@@ -238,3 +238,132 @@ def contract_check(t: Tables) -> DataFrame:
         minimums={"value": 10.0}, closed_keys=("schema", "run_id", "kind", "value", "label", "props"),
     )
     return contracts.violations(t.events.select("event_id", doc.alias("doc")), contract, ["event_id"])
+
+
+_FLAT = _TRIM % "line"
+
+
+@query("xml_folders", f"""
+    WITH {_LN} done AS (SELECT 1)
+    SELECT 'doc-' || doc_id AS export_id, cast(i AS int) AS pos, 'F' || i AS id, 'a > b ' || i AS name, 'D' || doc_id || '-' || i AS resource_code, CASE i % 3 WHEN 0 THEN '' ELSE 'file' END AS submission_type, 'group' AS folder_type,
+           cast(length(line) AS string) AS out_of, 'G' || i AS grade_item_code, CASE i % 2 WHEN 0 THEN 'new' ELSE 'old' END AS date_due, CASE i % 4 WHEN 0 THEN 'True' ELSE '' END AS is_hidden, 'R' || i || ',R0' AS rubric_ids, {_FLAT} AS html FROM ln WHERE i % 5 <> 4
+    UNION ALL SELECT 'doc-' || doc_id, i, 'F' || i, 'empty', '', '', '', '', '', '', '', '', '' FROM ln WHERE i % 5 = 4
+""")
+def xml_folders(t: Tables) -> DataFrame:
+    """Assignment folders: a ">" in an attribute, due date as element or attribute, self-closing ones, texts as CDATA."""
+    files = xml_of(
+        t, "'<d:dropbox xmlns:d=\"urn:x\"><!-- <folder/> -->'",
+        "if(i % 5 = 4, concat('<folder id=\"F', i, '\" name=\"empty\"/>'), concat('<d:folder id=\"F', i, '\" name=\"a > b ', i, '\" d:resource_code=\"D', doc_id, '-', i, '\" submission_type=\"', if(i % 3 = 0, '', 'file'), '\" folder_type=\"group\" out_of=\"', length(z.r), '\" grade_item=\"G', i, '\" is_hidden=\"', if(i % 4 = 0, 'True', ''), '\"', if(i % 2 = 0, '', ' date_due=\"old\"'), '>',"
+        " if(i % 2 = 0, '<date_due>new</date_due>', ''), '<instructions><text>', if(i % 2 = 0, z.e, concat('<![CDATA[', replace(z.r, ']]>', ''), ']]>')), '</text></instructions><associations><rubric>R', i, '</rubric><rubric>R0</rubric></associations></d:folder>'))",
+        "'</d:dropbox>'", "dropbox_d2l.xml",
+    )
+    rows = silver.dropbox_folders(files)
+    columns = ["export_id", "pos", "id", "name", "resource_code", "submission_type", "folder_type", "out_of", "grade_item_code", "date_due", "is_hidden", "rubric_ids", "html"]
+    return rows.withColumns({"rubric_ids": F.array_join("rubric_ids", ","), "pos": F.col("pos").cast("int")}).select(*columns)
+
+
+@query("xml_discussions", f"""
+    WITH {_LN} done AS (SELECT 1)
+    SELECT 'doc-' || doc_id AS export_id, 'forum' AS kind, 'FO1' AS id, 'Talk & more' AS name, '' AS parent_id, '' AS out_of, '' AS requires_approval, '' AS must_post_to_participate, '' AS html FROM {{documents}}
+    UNION ALL SELECT 'doc-' || doc_id, 'discussion_topic', 'T' || i, 'Topic ' || i, 'FO1', cast(length(line) AS string), CASE i % 2 WHEN 0 THEN 'yes' ELSE '' END, 'no', {_FLAT} FROM ln
+""")
+def xml_discussions(t: Tables) -> DataFrame:
+    files = xml_of(
+        t, "'<discussion><forum id=\"FO1\"><content><title>Talk &amp; more</title></content><topics>'",
+        "concat('<topic id=\"T', i, '\"><content><title>Topic ', i, '</title><description><text>', z.e, '</text></description></content><properties><score_out_of>', length(z.r), '</score_out_of>',"
+        " if(i % 2 = 0, '<requires_approval>yes</requires_approval>', ''), '<must_post_to_participate>no</must_post_to_participate></properties></topic>')",
+        "'</topics></forum></discussion>'", "discussion_d2l_1.xml",
+    )
+    return silver.discussions(files).select("export_id", "kind", "id", "name", "parent_id", "out_of", "requires_approval", "must_post_to_participate", "html")
+
+
+@query("xml_checklists", """
+    SELECT 'doc-' || doc_id AS export_id, 'checklist' AS kind, 'C' || doc_id AS id, 'List ' || lang AS name, 'CL-' || doc_id AS resource_code FROM {documents}
+""")
+def xml_checklists(t: Tables) -> DataFrame:
+    made = F.concat(
+        F.lit('<checklists><checklist id="C'), F.col("doc_id").cast("string"), F.lit('" x:resource_code="CL-'), F.col("doc_id").cast("string"), F.lit('" xmlns:x="u"><name>List '), "lang",
+        F.lit("</name><category><name>"), escaped(xml_safe(F.col("text"))), F.lit("</name></category></checklist></checklists>"),
+    )
+    files = t.documents.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("export_id"), F.lit("checklist_d2l.xml").alias("rel_path"), made.alias("xml"))
+    return silver.checklists(files).select("export_id", "kind", "id", "name", "resource_code")
+
+
+@query("quiz_records", f"""
+    WITH d AS (SELECT doc_id, lang, doc_id % 4 AS m, string_split(text, chr(10))[1] AS line FROM {{documents}})
+    SELECT 'doc-' || doc_id AS export_id, 'A' || doc_id AS id, 'I' || doc_id AS ident, 'Quiz ' || lang AS name, CASE WHEN m % 2 = 0 THEN 'G-' || lang ELSE 'text' END AS grade_item_code, 'yes' AS show_clock, 'best' AS mark_calculation_type, '3' AS attempts_allowed,
+           CASE m WHEN 0 THEN 'intro' WHEN 1 THEN {_FLAT} WHEN 2 THEN '' ELSE 'intro' END AS html FROM d
+""")
+def quiz_records(t: Tables) -> DataFrame:
+    """Quizzes with their own rubric text, with an intro only, with neither, and with an empty rubric; questions have texts in every one."""
+    m, first = F.col("doc_id") % 4, escaped(xml_safe(F.get(F.split("text", "\n"), F.lit(0))))
+    number = F.col("doc_id").cast("string")
+    grade = F.when(m % 2 == 0, F.concat(F.lit('<grade_item resource_code="G-'), "lang", F.lit('">x</grade_item>'))).otherwise(F.lit("<grade_item>text</grade_item>"))
+    intro = F.when(m == 2, F.lit("")).otherwise(F.lit("<intro_message>intro</intro_message>"))
+    rubric = F.when(m == 1, F.concat(F.lit("<rubric><flow_mat><material><mattext>"), first, F.lit("</mattext></material></flow_mat></rubric>"))).when(m == 3, F.lit("<rubric/>")).otherwise(F.lit(""))
+    made = F.concat(
+        F.lit('<questestinterop><assessment id="A'), number, F.lit('" ident="I'), number, F.lit('" title="Quiz '), "lang", F.lit('">'), rubric,
+        F.lit("<assess_procextension><attempts_allowed>3</attempts_allowed><show_clock>yes</show_clock><mark_calculation_type>best</mark_calculation_type>"), grade, intro,
+        F.lit('</assess_procextension><section title="S"><item ident="q"><presentation><material><mattext>'), first, F.lit(" question</mattext></material></presentation></item></section></assessment></questestinterop>"),
+    )
+    files = t.documents.select(F.concat(F.lit("doc-"), number).alias("export_id"), F.lit("quiz_d2l_1.xml").alias("rel_path"), made.alias("xml"))
+    return silver.quizzes(files).select("export_id", "id", "ident", "name", "grade_item_code", "show_clock", "mark_calculation_type", "attempts_allowed", "html")
+
+
+@query("quiz_nested", f"""
+    WITH {_LN} n AS (SELECT doc_id, i, length(line) AS w FROM ln)
+    SELECT 'doc-' || doc_id AS export_id, 'Outer ' || i AS title, 2 AS candidate_count, cast(w AS string) AS draw_count FROM n
+    UNION ALL SELECT 'doc-' || doc_id, 'Inner ' || i, 1, cast(w AS string) FROM n
+""")
+def quiz_nested(t: Tables) -> DataFrame:
+    """Sections inside sections: each counts the questions of its own; the last entry inside is the draw count of both."""
+    files = xml_of(
+        t, "'<questestinterop><assessment title=\"Quiz\">'",
+        "concat('<section title=\"Outer ', i, '\"><qti_metadatafield><fieldlabel>qmd_numberofitems</fieldlabel><fieldentry>0</fieldentry></qti_metadatafield><section title=\"Inner ', i, '\"><qti_metadatafield><fieldlabel>qmd_numberofitems</fieldlabel><fieldentry>', length(z.r),"
+        " '</fieldentry></qti_metadatafield><item ident=\"a\"/></section><item ident=\"b\"><x/></item><itemref linkrefid=\"c\"/></section>')",
+        "'</assessment></questestinterop>'", "quiz_d2l_1.xml",
+    )
+    return silver.quiz_sections(files).select("export_id", "title", "candidate_count", "draw_count")
+
+
+@query("xml_manifest_resources", f"""
+    WITH {_LN} done AS (SELECT 1)
+    SELECT 'doc-' || doc_id AS export_id, cast(i AS int) AS pos, 'R' || i AS identifier, 'content' AS material_type, CASE WHEN i % 3 = 0 THEN '' ELSE 'p/' || length(line) || '>.html' END AS href, i % 3 = 0 AS missing_href FROM ln
+""")
+def xml_manifest_resources(t: Tables) -> DataFrame:
+    files = xml_of(
+        t, "'<manifest><resources>'",
+        "concat('<x:resource identifier=\"R', i, '\" type=\"webcontent\" x:material_type=\"content\"', if(i % 3 = 0, '', concat(' href=\"p/', length(z.r), '>.html\"')), if(i % 2 = 0, '/>', '><file/></x:resource>'))",
+        "'</resources></manifest>'", "imsmanifest.xml",
+    )
+    return X.manifest_resources(files, ["export_id"]).select("export_id", F.col("pos").cast("int").alias("pos"), "identifier", "material_type", "href", "missing_href")
+
+
+@query("xml_manifest_items", f"""
+    WITH {_LN} done AS (SELECT 1)
+    SELECT 'doc-' || doc_id AS export_id, 'M' || i AS identifier, 1 AS depth, {_FLAT} AS title, CASE WHEN i % 3 = 0 THEN true ELSE false END AS self_hidden FROM ln
+    UNION ALL SELECT 'doc-' || doc_id, 'C' || i, 2, 'Child ' || length(line), false FROM ln
+""")
+def xml_manifest_items(t: Tables) -> DataFrame:
+    files = xml_of(
+        t, "'<manifest><organizations><organization>'",
+        "concat('<item identifier=\"M', i, '\"', if(i % 3 = 0, ' isvisible=\"False\"', ''), '><title>', z.e, '</title><item identifier=\"C', i, '\"><title>Child ', length(z.r), '</title></item></item>')",
+        "'</organization></organizations></manifest>'", "imsmanifest.xml",
+    )
+    return X.manifest_items(files, ["export_id"]).select("export_id", "identifier", "depth", "title", "self_hidden")
+
+
+@query("rubric_names", """
+    SELECT 'doc-' || doc_id AS export_id, 'RUB-' || doc_id AS rubric_id, 'Rubric ' || doc_id AS rubric_name FROM {documents}
+""")
+def rubric_names(t: Tables) -> DataFrame:
+    return rubrics.rubrics(rubric_files(t)).select("export_id", "rubric_id", "rubric_name")
+
+
+@query("release_codes", f"""
+    WITH {_LN} done AS (SELECT 1)
+    SELECT DISTINCT 'doc-' || doc_id AS export_id, 'D' || length(line) AS code FROM ln
+""")
+def release_codes(t: Tables) -> DataFrame:
+    files = xml_of(t, "'<release>'", "concat('<rule><object x:resource_code=\"D', length(z.r), '\"/></rule>')", "'</release>'", "conditionalrelease_d2l.xml")
+    return silver.condition_codes(files)

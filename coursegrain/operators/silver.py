@@ -115,7 +115,7 @@ def _html(path: str) -> Column:
 ACTIVITY_COLUMNS = [
     "export_id", "kind", "source_file", "pos", "id", "name", "resource_code", "grade_item_code", "rubric_ids", "condition_set",
     "out_of", "is_hidden", "date_due", "html", "attempts_allowed", "time_limit", "enforce_time_limit", "is_active",
-    "parent_id",
+    "parent_id", "submission_type", "folder_type", "requires_approval", "must_post_to_participate", "ident", "show_clock", "mark_calculation_type",
 ]
 
 
@@ -132,6 +132,7 @@ def dropbox_folders(files: DataFrame) -> DataFrame:
         "export_id", F.lit("dropbox_folder").alias("kind"), F.col("rel_path").alias("source_file"), "pos", X.field("e._id").alias("id"),
         X.field("e._name").alias("name"), X.field("e._resource_code").alias("resource_code"), X.field("e._grade_item").alias("grade_item_code"),
         _rubric_ids("e.associations.rubric").alias("rubric_ids"), X.field("e._condition_set").alias("condition_set"),
+        X.field("e._submission_type").alias("submission_type"), X.field("e._folder_type").alias("folder_type"),
         X.field("e._out_of").alias("out_of"), X.field("e._is_hidden").alias("is_hidden"), due.alias("date_due"), _html("e.instructions").alias("html"),
     ))
 
@@ -165,6 +166,7 @@ def discussions(files: DataFrame) -> DataFrame:
         X.field("e.properties.grade_item_id").alias("grade_item_code"), _rubric_ids("e.associations.rubric").alias("rubric_ids"),
         X.field("e._condition_set").alias("condition_set"), X.field("e.properties.score_out_of").alias("out_of"),
         X.field("e.properties.is_hidden").alias("is_hidden"), _html("e.content.description").alias("html"), F.col("forum_id").alias("parent_id"),
+        X.field("e.properties.requires_approval").alias("requires_approval"), X.field("e.properties.must_post_to_participate").alias("must_post_to_participate"),
     ))
     return forum_rows.unionByName(topic_rows)
 
@@ -223,7 +225,7 @@ def quizzes(files: DataFrame) -> DataFrame:
         rows.join(proc, (rows.export_id == proc.export_id) & (rows.rel_path == proc.rel_path) & (rows.parent_pos == proc._proc), "left_semi")
         .groupBy(*_KEYS)
         .agg(
-            *[F.min_by("text", F.when(F.col("tag") == n, F.col("pos"))).alias(f"_{n}") for n in ("is_active", "attempts_allowed", "time_limit", "enforce_time_limit", "date_due", "intro_message")],
+            *[F.min_by("text", F.when(F.col("tag") == n, F.col("pos"))).alias(f"_{n}") for n in ("is_active", "attempts_allowed", "time_limit", "enforce_time_limit", "date_due", "intro_message", "show_clock", "mark_calculation_type")],
             F.min_by(F.struct(X.attribute(F.col("raw"), "resource_code").alias("code"), "text"), F.when(F.col("tag") == "grade_item", F.col("pos"))).alias("_grade"),
         )
     )
@@ -237,6 +239,7 @@ def quizzes(files: DataFrame) -> DataFrame:
             a("resource_code").alias("resource_code"), F.coalesce(F.nullif("_grade.code", F.lit("")), "_grade.text", F.lit("")).alias("grade_item_code"),
             text("is_active").alias("is_active"), text("attempts_allowed").alias("attempts_allowed"), text("time_limit").alias("time_limit"),
             text("enforce_time_limit").alias("enforce_time_limit"), text("date_due").alias("date_due"), html.alias("html"),
+            a("ident").alias("ident"), text("show_clock").alias("show_clock"), text("mark_calculation_type").alias("mark_calculation_type"),
         )
     )
 

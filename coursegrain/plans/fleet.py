@@ -56,6 +56,11 @@ class Fleet:
         whole = F.col("rel_path") == ""  # an archive that did not open; a member that did not is ``unreadable``
         return self.raw.groupBy("export_id").agg(F.max(F.when(whole, F.col("open_error"))).alias("open_error"), F.max(F.when(whole, F.col("sha256"))).alias("transport_sha256"))
 
+    @cached_property
+    def alt_findings(self) -> DataFrame:
+        """Every location with images that lack alternative text; ``findings`` has the package's report line."""
+        return findings.alt_findings(self.images_missing_alt)
+
     @cached_property
     def unreadable(self) -> DataFrame:
         """Members of opened archives that could not be read."""
@@ -232,7 +237,7 @@ class Fleet:
             A.join_findings(self.edges), findings.orphans(A.orphan_grade_items(self.grade_items, self.activities)),
             findings.quiz_draws(sections), findings.points_mismatches(A.points_mismatch(self.activities.filter("kind = 'dropbox_folder'"))),
             findings.dates(self.dated, config), findings.gradebook_total(ids, self.grade_items, config), findings.gradebook_items(self.grade_items), findings.duplicate_names(self.grade_items),
-            findings.placeholders(self.texts), findings.alt_findings(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
+            findings.placeholders(self.texts), findings.missing_alt(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
             findings.broken_hrefs(self.nodes, self.files), findings.unresolved_refs(self.nodes), findings.broken_references(lost), findings.empty_pages(shown.filter("not is_hidden")),
             structure.skipped_files(self.nodes), structure.hidden_findings(records, tree.descendant_counts(self.nodes, self.closure)),
             structure.scope_findings(hidden_files, "hidden manifest-linked non-HTML files preserved as references"),
