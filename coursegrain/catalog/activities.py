@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import activities as A
 from ..operators import findings as R
 from ..operators import gold, identity, rubrics
+from ..session import stored_table
 from ..sources import sinks
 from .registry import Tables, query
 
@@ -102,7 +103,7 @@ def points_mismatch(t: Tables) -> DataFrame:
 
 
 def edges(t: Tables) -> DataFrame:
-    acts = resolved(t)
+    acts = stored_table(resolved(t), "activities")  # read once per edge kind
     links = A.rubric_links(acts, t.v_rubrics, ["export_id", "kind", "name", "resource_code", "pos"])
     return A.relationships(acts, links, A.orphan_grade_items(t.v_grade_items, t.v_activities))
 

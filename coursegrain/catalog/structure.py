@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import findings as R
 from ..operators import identity, structure, tree
+from ..session import stored_table
 from ..sources import packages
 from .registry import Tables, query
 from .scalars import sql_category
@@ -124,8 +125,9 @@ def document_tokens(t: Tables) -> DataFrame:
 
 
 def document_tree(t: Tables) -> tuple[DataFrame, DataFrame]:
-    nodes = tree.depths(document_tokens(t))
-    return nodes, tree.closure(nodes)
+    """Nodes and ancestor pairs, each stored once: every operator on top reads them several times."""
+    nodes = stored_table(tree.depths(document_tokens(t)), "tree-nodes")
+    return nodes, stored_table(tree.closure(nodes), "tree-pairs")
 
 
 @query("tree_parent", f"""

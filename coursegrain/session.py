@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session_builder(app: str = "coursegrain"):
@@ -36,3 +36,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         root = os.path.join(tempfile.gettempdir(), "coursegrain-shared")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored_table(df: DataFrame, purpose: str) -> DataFrame:
+    """Write once below the shared folder and read back: readers share the work, and a lost executor repeats a read only."""
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
