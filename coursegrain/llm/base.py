@@ -51,3 +51,15 @@ def replaced(df: DataFrame, docs: DataFrame, text: str, n_chars: str) -> DataFra
         fields[n_chars] = F.when(same, fields[n_chars]).otherwise(F.length("text").cast(docs.schema[n_chars].dataType))
     fields[text] = F.col("text")
     return df.select(*[v.alias(c) for c, v in fields.items()])
+
+
+#: Texts that a task holds as Python strings at a time.
+CHUNK_ROWS = 1000
+
+
+def chunks(batches, column: int):
+    """(batch part, its texts) in parts of CHUNK_ROWS rows, so that a task's strings and what is made of them stay few; null counts as empty."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, CHUNK_ROWS):
+            part = batch.slice(begin, CHUNK_ROWS)
+            yield part, [t or "" for t in part.column(column).to_pylist()]

@@ -9,7 +9,7 @@ import numpy as np
 #: Hashed features.
 BITS = 18
 #: Texts are worked through in slices of about this many characters; a longer text is a slice of its own.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
