@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import scoped_key
-from ..operators import identity, runs
+from ..operators import contracts, identity, runs
 from .registry import Tables, query
 from .structure import export_names, orgunit_rows
 
@@ -109,3 +109,30 @@ def run_status(t: Tables) -> DataFrame:
 """)
 def delivery_status(t: Tables) -> DataFrame:
     return delivered(t).select("run_id", "usable", "empty", F.array_join("core_failures", "|").alias("core_failures"), "delivery_line")
+
+
+@query("existing_outputs", """
+    SELECT CAST(o_custkey AS string) AS export_id, o_orderkey, (SELECT count(*) FROM {lineitem} l WHERE l.l_orderkey = o.o_custkey) AS existing FROM {orders} o
+""")
+def existing_outputs(t: Tables) -> DataFrame:
+    """Files already there for each run target; a customer number stands for the target, lines for its files."""
+    targets = t.orders.select(F.col("o_custkey").cast("string").alias("export_id"), "o_orderkey")
+    return runs.existing_outputs(targets, t.lineitem.select(F.col("l_orderkey").cast("string").alias("export_id")))
+
+
+@query("contract_coherence", """
+    WITH a AS (SELECT l_orderkey AS run_key, l_linenumber AS artifact, 'run-' || CASE WHEN l_linenumber = 3 THEN l_orderkey + 1 ELSE l_orderkey END AS run_id, CASE WHEN l_tax = 0 THEN NULL ELSE 'src-' || (l_orderkey % 7) END AS source_key FROM {lineitem}),
+         r AS (SELECT o_orderkey AS run_key, 'run-' || o_orderkey AS run_id, 'src-' || (o_orderkey % 7) AS source_key FROM {orders})
+    SELECT a.run_key, artifact, 'run_id' AS field FROM a LEFT JOIN r ON a.run_key = r.run_key WHERE a.run_id IS DISTINCT FROM r.run_id
+    UNION ALL SELECT a.run_key, artifact, 'source_key' FROM a LEFT JOIN r ON a.run_key = r.run_key WHERE a.source_key IS DISTINCT FROM r.source_key
+""")
+def contract_coherence(t: Tables) -> DataFrame:
+    """Artifacts whose run or source differs from their run's own: line 3 names another run, untaxed lines no source."""
+    key = F.col("l_orderkey")
+    docs = t.lineitem.select(
+        key.alias("run_key"), F.col("l_linenumber").alias("artifact"), F.concat(F.lit("run-"), F.when(F.col("l_linenumber") == 3, key + 1).otherwise(key).cast("string")).alias("run_id"),
+        F.when(F.col("l_tax") != 0, F.concat(F.lit("src-"), (key % 7).cast("string"))).alias("source_key"),
+    )
+    own = F.col("o_orderkey")
+    runs_of = t.orders.select(own.alias("run_key"), F.concat(F.lit("run-"), own.cast("string")).alias("run_id"), F.concat(F.lit("src-"), (own % 7).cast("string")).alias("source_key"))
+    return contracts.coherence(docs, runs_of, ["run_key"], ["run_id", "source_key"]).select("run_key", "artifact", "field")

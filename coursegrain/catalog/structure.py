@@ -346,3 +346,26 @@ def orgunit_rows(t: Tables) -> DataFrame:
     esc = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     xml = F.concat(F.lit('<ou:orgunit xmlns:ou="urn:x" identifier="ou-'), F.col("c_custkey").cast("string"), F.lit('"><code>'), esc(F.col("c_mktsegment")), F.lit("</code><name>"), esc(F.col("c_name")), F.lit("</name></ou:orgunit>"))
     return silver.orgunits(t.customer.select(F.col("c_custkey").cast("string").alias("export_id"), xml.alias("xml")))
+
+
+@query("structure_keys", f"""
+    WITH {_LINES}
+    a AS (SELECT doc_id, 1 AS depth, title, 'module' AS kind, cast(line_no AS string) AS path, NULL AS up_title, NULL AS up_path FROM mod
+          UNION ALL SELECT itm.doc_id, 2, itm.title, 'html_topic', itm.line_no || '/' || itm.sent_no, mod.title, cast(itm.line_no AS string) FROM itm JOIN mod USING (doc_id, line_no)),
+    k AS (SELECT *, CASE WHEN length(title) % 3 = 0 THEN '"identifier","T' || length(title) || '"' ELSE '"source_context",' || to_json(path || '|' || kind || '|' || title) END AS basis,
+                 CASE WHEN length(up_title) % 3 = 0 THEN '"identifier","T' || length(up_title) || '"' ELSE '"source_context",' || to_json(up_path || '|module|' || up_title) END AS up_basis FROM a)
+    SELECT doc_id AS export_id, depth, title, CASE WHEN length(title) % 3 = 0 THEN 'scoped_source_id' ELSE 'fallback' END AS identity_quality,
+           'cc:entity:' || left(sha256('["L' || doc_id || '","structure:' || kind || '",' || basis || ']'), 32) AS entity_key,
+           CASE WHEN depth = 2 THEN 'cc:entity:' || left(sha256('["L' || doc_id || '","structure:module",' || up_basis || ']'), 32) END AS parent_entity_key, count(*) AS n
+    FROM k GROUP BY ALL
+""")
+def structure_keys(t: Tables) -> DataFrame:
+    """Every third title length stands for a node with an identifier of its own."""
+    nodes, pairs = document_tree(t)
+    named = F.when(F.length("title") % 3 == 0, F.concat(F.lit("T"), F.length("title").cast("string"))).otherwise("")
+    blank = {c: F.lit("") for c in ("rcode", "resource_code", "identifierref", "href")}
+    rows = tree.parents(nodes, pairs).withColumns({
+        "kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "identifier": named, "source_lineage_key": F.concat(F.lit("L"), F.col("export_id").cast("string")), **blank,
+    })
+    keys = ["export_id", F.col("depth").cast("int").alias("depth"), "title", "identity_quality", "entity_key", "parent_entity_key"]
+    return identity.structure_keys(rows, pairs).groupBy(*keys).agg(F.count("*").alias("n"))

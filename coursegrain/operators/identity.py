@@ -110,6 +110,26 @@ def entity_keys(rows: DataFrame, kind: Column, aliases: list[str], fallback: Col
     return staged.withColumns({"entity_key": key, "identity_quality": quality}).drop("_value", "_kind")
 
 
+def structure_keys(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Keys of tree nodes with the key of the node above (null for roots).
+
+    ``nodes`` carry source_lineage_key, pos, depth, parent_pos, kind, title and the
+    aliases.  A node without an alias is named by its place: the positions among
+    its siblings from the root down, its kind and its title.
+    """
+    from .scan import prefix_scan
+    from .tree import paths
+
+    siblings = prefix_scan(nodes, ["export_id", "parent_pos"], "pos", {"_nth": ("sum", F.lit(1))})
+    placed = siblings.withColumns({"_own": F.col("title"), "title": (F.col("_nth") - 1).cast("string")})
+    found = paths(placed, pairs, "/").withColumn("title", F.col("_own"))
+    kind = F.concat(F.lit("structure:"), F.coalesce(F.nullif("kind", F.lit("")), F.lit("unknown")))
+    fallback = F.concat(F.col("path"), F.lit("|"), F.coalesce("kind", F.lit("")), F.lit("|"), F.coalesce("title", F.lit("")))
+    keyed = entity_keys(found, kind, ["identifier", "rcode", "resource_code", "identifierref", "href"], fallback)
+    above = keyed.select("export_id", F.col("pos").alias("parent_pos"), F.col("entity_key").alias("parent_entity_key"))
+    return keyed.join(above, ["export_id", "parent_pos"], "left").drop("_nth", "_own", "path")
+
+
 def entity_aliases(entities: DataFrame, aliases: list[str]) -> DataFrame:
     """Distinct (package, alias value) -> entity pairs."""
     values = F.filter(F.array(*[F.col(a).cast("string") for a in aliases]), lambda v: F.coalesce(v, F.lit("")) != "")
