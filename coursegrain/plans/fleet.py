@@ -150,6 +150,32 @@ class Fleet:
         links = A.rubric_links(acts, silver.rubric_names(self.tool("rubrics_d2l.xml")), ["export_id", "kind", "name", "resource_code", "pos"])
         return A.relationships(acts, links, A.orphan_grade_items(self.grade_items, acts))
 
+    # ----- identity
+    @cached_property
+    def _scopes(self) -> DataFrame:
+        return self.lineage.select("export_id", "source_lineage_key")
+
+    @stored
+    def structure_keys(self) -> DataFrame:
+        return identity.structure_keys(self.nodes.join(self._scopes, "export_id"), self.closure)
+
+    @stored
+    def entities(self) -> DataFrame:
+        """Activities and grade items with their keys, and the names that edges use for them."""
+        kinds = {"dropbox_folder": "assignment", "discussion_topic": "topic"}
+        kind = F.coalesce(*[F.when(F.col("kind") == k, F.lit(v)) for k, v in kinds.items()], F.col("kind"))
+        acts = self.activities.select("export_id", "kind", "name", "resource_code", "ident", "id", F.lit("").alias("identifier"), F.concat_ws("|", "source_file", "name").alias("_named"))
+        items = self.grade_items.select("export_id", F.lit("grade_item").alias("kind"), "name", "resource_code", F.lit("").alias("ident"), "id", "identifier", F.concat_ws("|", "name", F.lit("")).alias("_named"))
+        rows = acts.unionByName(items).join(self._scopes, "export_id")
+        return identity.entity_keys(rows, kind, ["resource_code", "identifier", "ident", "id"], F.col("_named")).drop("_named")
+
+    @stored
+    def relationships(self) -> DataFrame:
+        """Edges with their own keys and the keys of both ends."""
+        counted = A.duplicate_ordinals(self.edges, "pos").join(self._scopes, "export_id")
+        aliases = identity.entity_aliases(self.entities, ["resource_code", "identifier", "ident", "id"])
+        return identity.edge_endpoints(identity.edge_keys(counted), aliases)
+
     @cached_property
     def rubrics(self) -> DataFrame:
         return rubrics.rubrics(self.tool("rubrics_d2l.xml"))
@@ -235,7 +261,7 @@ class Fleet:
             packages.reroot_notes(self.manifest_choice), findings.unreadable_members(self.unreadable),
             findings.missing_components(ids, self.files), findings.malformed_xml(X.malformed(tool_files, ["export_id", "rel_path"])),
             A.join_findings(self.edges), findings.orphans(A.orphan_grade_items(self.grade_items, self.activities)),
-            findings.quiz_draws(sections), findings.points_mismatches(A.points_mismatch(self.activities.filter("kind = 'dropbox_folder'"))),
+            findings.quiz_grade_breaks(self.activities.filter("kind = 'quiz'"), self.grade_items), findings.quiz_draws(sections), findings.points_mismatches(A.points_mismatch(self.activities.filter("kind = 'dropbox_folder'"))),
             findings.dates(self.dated, config), findings.gradebook_total(ids, self.grade_items, config), findings.gradebook_items(self.grade_items), findings.duplicate_names(self.grade_items),
             findings.placeholders(self.texts), findings.missing_alt(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
             findings.broken_hrefs(self.nodes, self.files), findings.unresolved_refs(self.nodes), findings.broken_references(lost), findings.empty_pages(shown.filter("not is_hidden")),

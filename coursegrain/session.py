@@ -31,7 +31,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not re.fullmatch(r"local(\[[\d*,]+\])?", master):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "coursegrain-shared")
         spark.conf.set("spark.checkpoint.dir", root)

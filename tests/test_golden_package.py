@@ -106,3 +106,14 @@ def test_fingerprint_matches_plain_hash(spark, tmp_path):
     for key in ("a", "b"):
         lines = [json.dumps([p, n, s], separators=(",", ":")) + "\n" for e, p, n, s in sorted(rows, key=lambda r: r[1]) if e == key]
         assert got[key] == hashlib.sha256("".join(lines).encode()).hexdigest()
+
+
+def test_identity_of_structure_and_edges(fleet):
+    nodes = fleet.structure_keys.collect()
+    keys = {(r.export_id, r.pos): r.entity_key for r in nodes}
+    assert len(nodes) == 25 and len(set(keys.values())) == 25
+    assert all(r.parent_entity_key == (keys[r.export_id, r.parent_pos] if r.parent_pos is not None else None) for r in nodes)
+    edges = fleet.relationships.collect()
+    assert len(edges) == fleet.edges.count() and len({e.relationship_key for e in edges}) == len(edges)
+    grades = [e for e in edges if e.join_type == "grade_item"]
+    assert grades and all(e.endpoint_quality == "resolved_endpoints" for e in grades)
