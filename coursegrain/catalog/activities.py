@@ -200,6 +200,24 @@ def edge_endpoints(t: Tables) -> DataFrame:
     return identity.edge_endpoints(rows, aliases).groupBy("export_id", "source_code", "target", "source_entity_key", "target_entity_key", "endpoint_quality").agg(F.count("*").alias("n"))
 
 
+@query("edge_identity", f"""
+    WITH {_EDGES}, {_ENTITIES},
+    al AS (SELECT DISTINCT export_id, resource_code AS alias, entity_key FROM ent WHERE resource_code <> '' UNION SELECT export_id, identifier, entity_key FROM ent WHERE identifier <> ''),
+    one AS (SELECT export_id, alias, min(entity_key) AS k FROM al GROUP BY ALL HAVING count(DISTINCT entity_key) = 1),
+    o AS (SELECT *, row_number() OVER (PARTITION BY export_id, source_kind, source_code, join_type, target, resolved ORDER BY pos) - 1 AS ord, {_LINEAGE} AS lin FROM e)
+    SELECT o.export_id, 'cc:relationship:' || left(sha256('["' || lin || '","' || source_kind || '","' || source_code || '","' || join_type || '","' || target || '","' || resolved || '","' || ord || '"]'), 32) AS relationship_key,
+           s.k AS source_entity_key, tg.k AS target_entity_key,
+           CASE WHEN s.k IS NOT NULL AND tg.k IS NOT NULL THEN 'resolved_endpoints' WHEN s.k IS NOT NULL OR tg.k IS NOT NULL THEN 'partial_endpoints' ELSE 'evidence_only' END AS endpoint_quality
+    FROM o LEFT JOIN one s ON o.export_id = s.export_id AND o.source_code = s.alias LEFT JOIN one tg ON o.export_id = tg.export_id AND o.target = tg.alias
+""")
+def edge_identity(t: Tables) -> DataFrame:
+    """Every edge with its own key and the keys of both ends."""
+    numbered = A.duplicate_ordinals(edges(t), "pos", F.floor(F.col("pos") / 100000000000))
+    aliases = identity.entity_aliases(grade_entities(t), ["resource_code", "identifier"])
+    found = identity.edge_endpoints(identity.edge_keys(with_lineage(numbered)), aliases)
+    return found.select("export_id", "relationship_key", "source_entity_key", "target_entity_key", "endpoint_quality")
+
+
 @query("activity_details", f"""
     WITH {_GRADE},
     q AS (SELECT *, cast(out_of AS int) AS o FROM ag),
