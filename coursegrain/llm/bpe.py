@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from .base import packed, unpacked
 
 #: Words kept per worker process, none longer than CACHE_CHARS; the store is emptied when full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 CACHE_CHARS = 64
 #: The splitting pattern of byte-level tokenizers (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Outcomes of the border test kept per worker process, emptied when full.
-CACHE_PAIRS = 300_000
+CACHE_PAIRS = 200_000
 
 
 def byte_letters() -> dict[int, str]:
