@@ -29,13 +29,14 @@ from pyspark.sql import functions as F
 
 from .base import packed, unpacked
 
-#: Words kept per worker process, none longer than CACHE_CHARS; the store is emptied when full.
-CACHE_WORDS = 250_000
+#: Words kept per worker process, none longer than CACHE_CHARS.  They stand in two generations of half the size:
+#: when the young one is full it becomes the old one, and what is asked for again moves back to the young one.
+CACHE_WORDS = 400_000
 CACHE_CHARS = 64
 #: The splitting pattern of byte-level tokenizers (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Outcomes of the border test kept per worker process, emptied when full.
-CACHE_PAIRS = 200_000
+CACHE_PAIRS = 300_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -79,6 +80,7 @@ class Bpe:
                 self.automaton.add_word(token.decode("latin-1"), (len(token), no))
         self.automaton.make_automaton()
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.tested: dict[tuple[int, int], bool] = {}
 
     def apart(self, left: int, right: int, below: int = 1 << 60) -> bool:
@@ -141,10 +143,13 @@ class Bpe:
             for word in self.words.findall(part):
                 found = known.get(word)
                 if found is None:
-                    found = tuple(self.encode_word(word.encode("utf-8")))
+                    found = self.older.get(word)
+                    if found is None:
+                        found = tuple(self.encode_word(word.encode("utf-8")))
                     if len(word) <= CACHE_CHARS:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
+                        if len(known) >= CACHE_WORDS // 2:
+                            self.older, self.known = known, {}
+                            known = self.known
                         known[word] = found
                 ids.extend(found)
         return ids
