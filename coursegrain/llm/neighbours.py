@@ -5,9 +5,12 @@ penalty, so that lists come out balanced.  They are held in memory with a graph
 near centroids, which is walked best-first to find the centroids next to a vector.
 Every vector goes to its nearest centroid's list and, if it lies near a border, to
 further ones: those at most ``BORDER`` times as far as the nearest.  A query reads
-the lists of at most ``PROBES`` centroids, and of those only what is at most
-``REACH`` times as far as its nearest centroid (more where these hold too few
-vectors for an answer); the vectors there are scored exactly.  A list too long for one task is cut by hash and read piece by piece.
+the lists of its nearest centroids, of those only what is at most ``REACH`` times,
+or a margin, further than its nearest one (more where these hold too few vectors
+for an answer); the vectors there are scored exactly.  How many lists and which
+margin are set per run: for up to ``CALIBRATION`` queries all vectors are scored,
+and from ``PROBES`` lists on both grow, up to all lists, until ``TARGET`` of these
+queries' neighbours are in the lists read.  A list too long for one task is cut by hash and read piece by piece.
 """
 
 from __future__ import annotations
@@ -31,8 +34,15 @@ LIST_ROWS = 256
 MOST_LISTS = 4096
 COPIES = 6
 BORDER = 1.15
+#: Lists that a query reads at least, if they are within reach.
 PROBES = 40
 REACH = 1.2
+#: Queries at most whose exact neighbours set the lists that all queries read, and the share of them to be found.
+CALIBRATION = 200
+TARGET = 0.97
+#: Queries that are scored against a list's piece at a time, and pairs whose final scores are taken at a time.
+QUERY_ROWS = 256
+PAIR_ROWS = 65536
 #: Vectors of a list that one task scores at most (about).
 PIECE_ROWS = 8192
 DEGREE = 16
@@ -108,6 +118,8 @@ class Graph:
         """
         count, total = len(rows), len(self.centroids)
         width = min(width, total)
+        if width == total or (width > PROBES and width * self.links.shape[1] >= total):
+            return self._ranked(rows, width)
         keep = min(total, max(width, 24))
         own = (rows * rows).sum(axis=1)
 
@@ -145,8 +157,84 @@ class Graph:
         return np.take_along_axis(pool, order, axis=1), np.sqrt(np.maximum(np.take_along_axis(far, order, axis=1), 0))
 
 
-def _lists(vectors: DataFrame, graph: Graph, most: int, ratio: float, sizes: np.ndarray | None = None, least: int = 0) -> DataFrame:
-    """``vectors`` plus lists: the centroids whose distance is within ``ratio`` of the nearest one's.
+    def _ranked(self, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``search`` by the distances to all centroids, for a width at which the walk would look at most of them."""
+        found = [np.zeros((0, width), dtype=np.int64)], [np.zeros((0, width))]
+        for begin in range(0, len(rows), 256):
+            part = rows[begin : begin + 256]
+            far = self.squares - 2 * part @ self.centroids.T + (part * part).sum(axis=1)[:, None]
+            at = np.argsort(far, axis=1, kind="stable")[:, :width]
+            found[0].append(at)
+            found[1].append(np.sqrt(np.maximum(np.take_along_axis(far, at, axis=1), 0)))
+        return np.concatenate(found[0]), np.concatenate(found[1])
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _scored(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest of ``right`` (vec_id, vector) for each of ``left`` (query_id, query), none a query itself."""
+    parts = [pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})]
+    if len(left) and len(right):
+        width = max(left["query"].map(len).max(), right["vector"].map(len).max())
+        ids, rows = right["vec_id"].to_numpy(), _directions(_matrix(right["vector"], width))
+        for begin in range(0, len(left), QUERY_ROWS):
+            part = left.iloc[begin : begin + QUERY_ROWS]
+            own, asked = part["query_id"].to_numpy(), _directions(_matrix(part["query"], width))
+            cosine = asked @ rows.T
+            cosine[own[:, None] == ids] = -np.inf
+            least = np.partition(cosine, max(len(ids) - k, 0), axis=1)[:, max(len(ids) - k, 0)]
+            # Equal vectors may differ in the last digits of a product of matrices, so what is near the k-th is scored again alike.
+            q, v = np.nonzero((cosine >= least[:, None] - 1e-12) & (cosine > -np.inf))
+            score = np.concatenate([np.zeros(0), *(np.einsum("nd,nd->n", asked[q[i : i + PAIR_ROWS]], rows[v[i : i + PAIR_ROWS]]) for i in range(0, len(q), PAIR_ROWS))])
+            order = np.lexsort((ids[v], -score, q))
+            q, v, score = q[order], v[order], score[order]
+            first = np.arange(len(q)) - np.searchsorted(q, q) < k
+            parts.append(pd.DataFrame({"query_id": own[q[first]], "vec_id": ids[v[first]], "score": score[first]}))
+    return pd.concat(parts)
+
+
+def _calibrated(vectors: DataFrame, queries: DataFrame, index: DataFrame, graph: Graph, k: int) -> tuple[int, float]:
+    """(number of lists, margin) with which a bounded set of queries finds ``TARGET`` of its exact neighbours.
+
+    The driver sees these queries and the lists of their neighbours.
+    """
+    asked = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION).toPandas()
+    if not len(asked):
+        return PROBES, 0.0
+    left = asked.set_axis(["query_id", "query"], axis=1)
+
+    def exact(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            for begin in range(0, len(batch), PIECE_ROWS):
+                found = _scored(left, batch.iloc[begin : begin + PIECE_ROWS], k)
+                held = found if held is None else pd.concat([held, found]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(k)
+        if held is not None:
+            yield held
+
+    truth = _best(vectors.select("vec_id", "vector").mapInPandas(exact, "query_id long, vec_id long, score double"), k).select("query_id", "vec_id")
+    near = index.select("vec_id", "list").join(F.broadcast(truth), "vec_id").groupBy("query_id", "vec_id").agg(F.collect_set("list").alias("lists")).collect()
+    if not near:
+        return PROBES, 0.0
+    rows = _directions(_matrix(left["query"], graph.centroids.shape[1]))
+    line = {q: n for n, q in enumerate(left["query_id"])}
+    most = PROBES
+    while True:
+        at, far = graph.search(rows, most)
+        missing = np.full((len(rows), len(graph.centroids)), np.inf)
+        np.put_along_axis(missing, at, np.where(far <= REACH * far[:, :1], 0, far - far[:, :1]), axis=1)
+        margins = np.sort([missing[line[r["query_id"]], r["lists"]].min() for r in near])
+        margin = margins[int(np.ceil(TARGET * len(margins))) - 1]
+        if np.isfinite(margin):
+            return most, float(margin)
+        most *= 2
+
+
+def _lists(vectors: DataFrame, graph: Graph, most: int, ratio: float, sizes: np.ndarray | None = None, least: int = 0, margin: float = 0.0) -> DataFrame:
+    """``vectors`` plus lists: the centroids whose distance is within ``ratio`` of the nearest one's, or at most ``margin`` more.
 
     With list sizes, further lists follow until they hold ``least`` entries; where
     the walk's lists hold fewer, all lists are taken.
@@ -160,7 +248,7 @@ def _lists(vectors: DataFrame, graph: Graph, most: int, ratio: float, sizes: np.
             for begin in range(0, len(batch), 1024):
                 rows = _directions(_matrix(batch.iloc[begin : begin + 1024], width))
                 at, far = graph.search(rows, most)
-                within = far <= ratio * far[:, :1]
+                within = (far <= ratio * far[:, :1]) | (far - far[:, :1] <= margin)
                 chosen = [a[w] for a, w in zip(at, within, strict=True)]
                 if sizes is not None:
                     held = np.cumsum(sizes[at], axis=1)
@@ -176,7 +264,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """``usable`` vectors -> query_id, rank, vec_id, score: nearest by cosine first, ties to the smaller id.
 
     Every vector is indexed.  Candidates are all vectors but the query's own.  The
-    driver sees the sample's size, the centroids and the list sizes only.  Vectors
+    driver sees the sample's size, the centroids, the list sizes and the calibration only.  Vectors
     of other dimensions count as filled up with zeros.
     """
     vectors = stored(vectors, "neighbour-vectors")
@@ -202,25 +290,15 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     sizes = {r["list"]: r["n"] for r in index.groupBy("list").agg(F.count("*").alias("n")).collect()}
     pieces = F.array(*[F.lit(-(-sizes.get(n, 0) // PIECE_ROWS)) for n in range(len(graph.centroids))])
     cut = index.withColumn("piece", F.pmod(F.xxhash64("vec_id"), F.greatest(F.get(pieces, F.col("list")), F.lit(1))).cast("int"))
-    queries = _lists(vectors.filter(is_query), graph, PROBES, REACH, np.array([sizes.get(n, 0) for n in range(len(graph.centroids))]), COPIES * (k + 1)).select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("lists").alias("q_list"))
+    most, margin = _calibrated(vectors, vectors.filter(is_query), index, graph, k)
+    held = np.array([sizes.get(n, 0) for n in range(len(graph.centroids))])
+    queries = _lists(vectors.filter(is_query), graph, most, REACH, held, COPIES * (k + 1), margin)
+    queries = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), F.explode("lists").alias("q_list"))
     queries = queries.withColumn("q_piece", F.explode(F.sequence(F.lit(0), F.greatest(F.get(pieces, F.col("q_list")), F.lit(1)) - 1)))
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        if len(left) and len(right):
-            width = max(left["query"].map(len).max(), right["vector"].map(len).max())
-            ids, rows = right["vec_id"].to_numpy(), _directions(_matrix(right["vector"], width))
-            for query_id, query in zip(left["query_id"], _directions(_matrix(left["query"], width)), strict=True):
-                cosine = rows @ query
-                others = np.flatnonzero(ids != query_id)
-                if len(others) > 8 * k:
-                    least = np.partition(cosine[others], len(others) - k)[len(others) - k]
-                    others = others[cosine[others] >= least]
-                first = others[np.lexsort((ids[others], -cosine[others]))[:k]]
-                parts.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[first], "score": cosine[first]}))
-        return pd.concat(parts) if parts else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        return _scored(left, right, k)
 
     found = queries.groupBy("q_list", "q_piece").cogroup(cut.groupBy("list", "piece")).applyInPandas(score, "query_id long, vec_id long, score double")
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return once.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return _best(once, k)

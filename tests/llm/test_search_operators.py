@@ -173,6 +173,23 @@ def test_neighbours_recall_on_the_test_table(spark):
     assert hits >= 0.9 * 5 * len(got)
 
 
+def test_neighbours_recall_with_many_lists(spark, monkeypatch):
+    """40 of 2,000 lists hold too few of the neighbours here."""
+    monkeypatch.setattr(neighbours, "LIST_ROWS", 4)
+    turns = np.random.default_rng(5)
+    rows = turns.normal(size=(8000, 64)) + 0.5 * turns.normal(size=(10, 64))[turns.integers(0, 10, 8000)]
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    got = defaultdict(set)
+    for r in neighbours.nearest(neighbours.usable(vectors(spark, enumerate(rows.tolist()))), F.col("vec_id") % 20 == 0).collect():
+        got[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    for q in range(0, 8000, 20):
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(got[q] & set(np.argsort(-near)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 400
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns = docs.columns
