@@ -4,8 +4,10 @@ For every node of the parsed page: characters per tag, lowered where links hold
 much of the text.  A node's sum adds the densities of its children (its own text
 counts as a child).  The node of the largest sum holds the main text; the lowest
 density on the path from it to the body is the threshold, and what stands beside
-that path with at least this density belongs to the text, too.  Where the page
-marks an article, the search stays inside it.  Chrome that the page names by tag,
+that path with at least this density belongs to the text, too.  An article or main
+element raises its nodes' sums and densities by ``BONUS``, and one that holds the page's only
+first-level headings is chosen unless paragraphs beside it hold more text; the
+article or main that the node lies in is kept whole.  Chrome that the page names by tag,
 role, class or id (menus, adverts, forms, comments ...) is left out before.
 """
 
@@ -44,6 +46,9 @@ CHROME = set(
     " subscription signup login share sharing social comment comments commentlist disqus reply replies respond related recommended search pagination pager toolbar".split()
 )
 ROOTS = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: What a sum or a density counts more inside an article or main.
+BONUS = 1.5
 NEVER = {"html", "body", "article", "main"}
 
 TAG = re.compile(r"""(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
@@ -179,34 +184,44 @@ class Page:
                 base = math.log(c / (c - link_chars[node] or 1) * lc + share * c + math.e)
                 density[node] = c / tag_count * max(math.log(c / lc * tag_count / lt), 0.0) / math.log(base) if base > 1 else 0.0
         sums = [float(n) for n in own]
-        inside, marked = [False] * count, False
+        root = [-1] * count  # the outermost article or main that a node lies in
         for node in range(1, count):
             sums[parents[node]] += density[node]
-            inside[node] = inside[parents[node]] or (tags[node] in ROOTS and not self.chrome[node] and chars[node] > 0)
-            marked = marked or inside[node]
-        open_nodes = [n for n in range(count) if not self.chrome[n] and chars[n] and (inside[n] or not marked)]
-        best = max(open_nodes, key=lambda n: (sums[n], -n))
+            root[node] = root[parents[node]]
+            if root[node] < 0 and tags[node] in ROOTS and not self.chrome[node] and chars[node]:
+                root[node] = node
+        chosen = self._titled(chars, root)
+        open_nodes = [n for n in range(count) if not self.chrome[n] and chars[n] and chosen in (-1, root[n])]
+        best = max(open_nodes, key=lambda n: (sums[n] * (BONUS if root[n] >= 0 else 1), -n))
         path = [best]
-        while parents[path[-1]] >= 0 and (inside[path[-1]] or not marked):
+        while parents[path[-1]] >= 0:
             path.append(parents[path[-1]])
-        if marked:
-            path = [n for n in path if inside[n]]
         on_path = set(path)
         least = min(density[n] for n in path)
-        # A marked article is whole; elsewhere what stands beside the path needs the threshold.
+        # The article on the path is whole, or else the main element; elsewhere what stands beside the path needs the threshold.
+        whole = next((n for name in ("article", "main") for n in reversed(path) if tags[n] == name), best)
         keep = [False] * count
         for node in range(count):
             if self.chrome[node]:
                 continue
-            up = parents[node]
-            if node == best or (up >= 0 and keep[up]):
+            up, weight = parents[node], BONUS if root[node] >= 0 else 1
+            if node in (best, whole) or (up >= 0 and keep[up]):
                 keep[node] = True
-            elif marked:
-                keep[node] = node == path[-1]
             elif up in on_path and node not in on_path:
-                keep[node] = density[node] >= least
+                if chosen < 0 or root[node] == chosen:
+                    keep[node] = density[node] * weight >= least or (root[node] >= 0 and root[node] == root[best] and tags[node] in HEADINGS)
+            if chosen >= 0 and root[node] == node != chosen and density[node] * weight >= least:
+                keep[node] = True
         return self._blocks(keep)
 
+    def _titled(self, chars: list[int], root: list[int]) -> int:
+        """The article or main that holds all first-level headings of the page, or -1: none, several, or more text in paragraphs beside it."""
+        tags, count = self.tags, len(self.tags)
+        titled = {root[n] for n in range(count) if tags[n] == "h1" and chars[n] and not self.chrome[n]}
+        found = titled.pop() if len(titled) == 1 else -1
+        beside = sum(chars[n] for n in range(count) if tags[n] == "p" and not self.chrome[n] and root[n] != found)
+        return found if found >= 0 and beside <= chars[found] else -1
+
     def _blocks(self, keep: list[bool]) -> str:
         blocks, run = [], []
         for node, text in self.items:

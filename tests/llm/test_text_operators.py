@@ -131,6 +131,26 @@ def test_page_text_cases(source, text):
     assert html_text.main_text(source) == text
 
 
+STORY = [f"Paragraph {n} of the story that the page tells, long enough to be prose." for n in range(12)]
+
+
+def paragraphs(lines):
+    return "".join(f"<p>{x}</p>" for x in lines)
+
+
+def test_page_text_beside_marked_articles():
+    teaser = "<article><h3><a href=1>Other story</a></h3><p>Read it now.</p></article>"
+    story = f"<div>{paragraphs(STORY)}</div>"
+    titled = "<article><h1>Card</h1><p>Read it now.</p></article>"
+    for page in (story + teaser, teaser + story, teaser * 3 + story, titled + story, titled * 2 + story, f"<h1>Title</h1>{teaser}{story}"):
+        lines = html_text.main_text(f"<body>{page}</body>").split("\n")
+        assert [x for x in lines if x in STORY] == STORY
+        assert "Read it now." not in lines
+    halves = f"<article><h2>One</h2>{paragraphs(STORY[:6])}</article><article><h2>Two</h2>{paragraphs(STORY[6:])}</article>"
+    for page in (halves, halves.replace("h2>One</h2", "h1>One</h1"), f"<div>{halves}</div>"):
+        assert [x for x in html_text.main_text(page).split("\n") if x in STORY] == STORY
+
+
 def test_page_text_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "t"), (1, "<p>x</p>", None), (1, "<p>x</p>", "n")], "page_id long, html string, text string")
     got = html_text.extract(pages)
