@@ -7,7 +7,8 @@ density on the path from it to the body is the threshold, and what stands beside
 that path with at least this density belongs to the text, too.  An article or main
 element raises its nodes' sums and densities by ``BONUS``, and one that holds the page's only
 first-level headings is chosen unless paragraphs beside it hold more text; the
-article or main that the node lies in is kept whole.  Chrome that the page names by tag,
+article or main that the node lies in is kept but for its blocks below the threshold
+that hold little besides links.  Chrome that the page names by tag,
 role, class or id (menus, adverts, forms, comments ...) is left out before.
 """
 
@@ -46,6 +47,8 @@ CHROME = set(
     " subscription signup login share sharing social comment comments commentlist disqus reply replies respond related recommended search pagination pager toolbar".split()
 )
 ROOTS = {"article", "main"}
+#: Blocks that are kept or left out as one; items, rows and cells go with their list or table.
+SIEVED = set("address center details dir div dl fieldset figure header hgroup menu ol p pre section table ul".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What a sum or a density counts more inside an article or main.
 BONUS = 1.5
@@ -198,13 +201,15 @@ class Page:
             path.append(parents[path[-1]])
         on_path = set(path)
         least = min(density[n] for n in path)
-        # The article on the path is whole, or else the main element; elsewhere what stands beside the path needs the threshold.
+        # Below the article on the path, or else the main element, only blocks of links need the threshold; elsewhere all that stands beside the path does.
         whole = next((n for name in ("article", "main") for n in reversed(path) if tags[n] == name), best)
         keep = [False] * count
         for node in range(count):
             if self.chrome[node]:
                 continue
             up, weight = parents[node], BONUS if root[node] >= 0 else 1
+            if tags[node] in SIEVED and node not in on_path and 2 * link_chars[node] > chars[node] and density[node] < least:
+                continue
             if node in (best, whole) or (up >= 0 and keep[up]):
                 keep[node] = True
             elif up in on_path and node not in on_path:

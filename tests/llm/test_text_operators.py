@@ -151,6 +151,15 @@ def test_page_text_beside_marked_articles():
         assert [x for x in html_text.main_text(page).split("\n") if x in STORY] == STORY
 
 
+def test_page_text_without_link_lists_in_articles():
+    links = "".join(f"<li><a href={n}>Another page {n}</a></li>" for n in range(8))
+    body = f"<h1>T</h1>{paragraphs(STORY[:6])}<ul>{links}</ul><div><a href=9>Buy this</a></div>{paragraphs(STORY[6:])}<p>End.</p>"
+    cited = "<ul><li>Prose with <a href=2>a source</a> in the text of the list</li><li><a href=3>More</a></li></ul>"
+    for page in (f"<article>{body}</article>", f"<main><div><ul>{links}</ul></div>{body}</main>", f"<main><article><div>{body}</div></article><ul>{links}</ul></main>"):
+        assert html_text.main_text(page).split("\n") == ["T", *STORY, "End."]
+    assert html_text.main_text(f"<article><h1>T</h1>{paragraphs(STORY)}{cited}</article>").split("\n") == ["T", *STORY, "Prose with a source in the text of the list", "More"]
+
+
 def test_page_text_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "t"), (1, "<p>x</p>", None), (1, "<p>x</p>", "n")], "page_id long, html string, text string")
     got = html_text.extract(pages)
