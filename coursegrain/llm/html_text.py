@@ -9,7 +9,8 @@ element raises its nodes' sums and densities by ``BONUS``, and one that holds th
 first-level headings is chosen unless paragraphs beside it hold more text; the
 article or main that the node lies in is kept but for its blocks below the threshold
 that hold little besides links.  Chrome that the page names by tag,
-role, class or id (menus, adverts, forms, comments ...) is left out before.
+role, class or id (menus, adverts, forms, comments ...) is left out before, unless it
+holds most of the page's text outside links and over four times that of the articles beside it.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ from .base import packed, unpacked
 # Element names by role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
-DROPPED = set("head script style noscript template iframe object svg canvas nav footer aside form button select textarea input dialog title xmp noembed noframes".split())
+DROPPED = set("head script style noscript template iframe object svg canvas button select textarea input dialog title xmp noembed noframes".split())
+#: Chrome by tag, unless it holds most of the page's text.
+FRAMES = {"nav", "footer", "aside", "form"}
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
     " hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
@@ -52,33 +55,51 @@ SIEVED = set("address center details dir div dl fieldset figure header hgroup me
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What a sum or a density counts more inside an article or main.
 BONUS = 1.5
+#: What follows in a name says what the element has or lacks; what stands before a state is open or shut on it.
+SETTINGS = {"has", "have", "no", "not", "non", "with", "without"}
+STATES = {"open", "closed", "enabled", "disabled", "on", "off"}
 NEVER = {"html", "body", "article", "main"}
 
 TAG = re.compile(r"""(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 PLAIN_TAG = re.compile(r"(/?)([A-Za-z][^\s/>]*)([^>]*+)>")
-NAMED = re.compile(r"""(?:^|[\s"'/])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|[\s"'/])(?:hidden(?=$|[\s/=])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'/=>][^\s"'/=>]*+)(?:\s*+=\s*+(?:"([^"]*+)"?|'([^']*+)'?|([^\s"'>][^\s>]*+)))?""")
+NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
-def _is_chrome(tag: str, attributes: str) -> bool:
+def _names_chrome(token: str) -> bool:
+    words = [w.lower() for w in WORDS.findall(token)]
+    if words and words[-1] in STATES:
+        return False
+    end = next((n for n, w in enumerate(words) if w in SETTINGS), len(words))
+    return any(w in CHROME for w in words[:end])
+
+
+def _kind(tag: str, attributes: str) -> int:
+    """2: never text; 1: chrome by its name; 0: neither."""
     if tag in DROPPED:
-        return True
+        return 2
+    kind = 1 if tag in FRAMES else 0
     if not attributes or tag in NEVER:
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    return any(w.lower() in CHROME for values in NAMED.findall(attributes) for w in WORDS.findall("".join(values)))
+        return kind
+    for name, *values in ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and NO_DISPLAY.search(value)):
+            return 2
+        if not kind and name in ("class", "id", "role"):
+            kind = int(any(map(_names_chrome, value.split())))
+    return kind
 
 
 class Page:
     """Nodes in page order: tag, parent, chrome or not; and texts with the node that holds them."""
 
     def __init__(self, source: str) -> None:
-        self.tags, self.parents, self.chrome = ["html"], [-1], [False]
+        self.tags, self.parents, self.kinds = ["html"], [-1], [0]
         #: (node, text) in page order; text None where a block starts or ends, " " for a line break
         self.items: list[tuple[int, str | None]] = []
         self._parse(source)
+        self.chrome = self._chrome()
 
     def _parse(self, source: str) -> None:
         stack, opened = [0], Counter({"html": 1})
@@ -149,7 +170,7 @@ class Page:
             node = len(tags)
             tags.append(name)
             self.parents.append(stack[-1])
-            self.chrome.append(self.chrome[stack[-1]] or _is_chrome(name, attributes))
+            self.kinds.append(2 if self.kinds[stack[-1]] == 2 else _kind(name, attributes))
             if name in RAW:
                 end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(source, at)
                 close = -1 if end is None else source.find(">", end.end())
@@ -158,6 +179,34 @@ class Page:
                 stack.append(node)
                 opened[name] += 1
 
+    def _chrome(self) -> list[bool]:
+        """Nodes left out: what is never text, and what lies in named chrome that holds at most half of the text outside links, or less than four times what articles and main elements hold beside all named chrome."""
+        tags, parents, kinds, count = self.tags, self.parents, self.kinds, len(self.tags)
+        if 1 not in kinds:
+            return [k == 2 for k in kinds]
+        linked, named = [False] * count, [False] * count
+        for node in range(1, count):
+            linked[node] = linked[parents[node]] or tags[node] == "a"
+            named[node] = named[parents[node]] or kinds[node] == 1
+        plain = [0] * count
+        for node, text in self.items:
+            if text and kinds[node] < 2 and not linked[node]:
+                plain[node] += len(text) - text.count(" ") - text.count("\n")
+        for node in range(count - 1, 0, -1):
+            plain[parents[node]] += plain[node]
+        # Text of articles and main elements outside all named chrome.
+        marked, within = 0, [False] * count
+        for node in range(1, count):
+            within[node] = within[parents[node]] or tags[node] in ROOTS
+        for node, text in self.items:
+            if text and kinds[node] < 2 and not linked[node] and within[node] and not named[node]:
+                marked += len(text) - text.count(" ") - text.count("\n")
+        out = [False] * count
+        for node in range(1, count):
+            most = 2 * plain[node] > plain[0] and 4 * marked < plain[node]
+            out[node] = out[parents[node]] or kinds[node] == 2 or (kinds[node] == 1 and not most)
+        return out
+
     def main_text(self) -> str:
         tags, parents, count = self.tags, self.parents, len(self.tags)
         own, chars, link_chars, links, below = [0] * count, [0] * count, [0] * count, [0] * count, [0] * count

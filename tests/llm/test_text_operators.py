@@ -160,6 +160,17 @@ def test_page_text_without_link_lists_in_articles():
     assert html_text.main_text(f"<article><h1>T</h1>{paragraphs(STORY)}{cited}</article>").split("\n") == ["T", *STORY, "Prose with a source in the text of the list", "More"]
 
 
+def test_page_text_of_names_that_are_no_chrome():
+    body = paragraphs(STORY)
+    for name in ("class='content has-sidebar'", "id=no-comments", "title='the hidden cost'", "class='post comments-open'", "data-x='a style=display:none'", "class=sidebar", "alt=\"it's hidden\""):
+        assert html_text.main_text(f"<body><nav>menu</nav><div {name}>{body}</div></body>").split("\n") == STORY
+    assert html_text.main_text(f"<body><form action=/><div class=search>find</div>{body}</form></body>").split("\n") == STORY
+    for name in ("class='main-nav'", "id=comment-list", "hidden", "aria-hidden=true", "style='color:red; display: none'", "class='x siteFooter'", "role=search"):
+        assert html_text.main_text(f"<div>{body}</div><div {name}><p>{STORY[0]}</p></div>").split("\n") == STORY
+    assert html_text.main_text(f"<article>{paragraphs(STORY[:4])}</article><div class=comments>{body}</div>").split("\n") == STORY[:4]
+    assert html_text.main_text(f"<article><p>Card.</p></article><div class=sidebar>{body}</div>").split("\n") == STORY
+
+
 def test_page_text_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "t"), (1, "<p>x</p>", None), (1, "<p>x</p>", "n")], "page_id long, html string, text string")
     got = html_text.extract(pages)
