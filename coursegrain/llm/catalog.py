@@ -80,8 +80,8 @@ levels AS (
 SELECT doc_id, size, source_size, target, (e * size + greatest(0, least(size, rest - before)))::BIGINT AS taken FROM ordered
 """)
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
-    return mixing.mix(docs, words="words").drop("source", "words")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"), F.xxhash64("text").alias("text_key"))
+    return mixing.mix(docs, words="words").drop("source", "words", "text_key")
 
 
 @query("op10_bpe")

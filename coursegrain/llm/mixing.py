@@ -5,7 +5,8 @@ that key: the key space is cut into ``CHUNKS`` equal ranges, so a source with a
 third of all rows is spread over as many groups.  Words per (source, range) are
 summed first; prefix sums over those totals (at most ``CHUNKS`` rows a source)
 give each range its offset and a window inside the range gives each document its
-own.  A source whose target is ``e`` times its size plus a rest takes every
+own.  A range crowded by rows of one id is cut further, by size and by a hash of
+the row, in the order of the mix.  A source whose target is ``e`` times its size plus a rest takes every
 document ``e`` times and, in key order, words up to the rest once more; the
 document on the cut is taken in part, so that each source meets its rounded
 target exactly.
@@ -24,6 +25,9 @@ WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 #: Equal ranges of the random key within one source.
 CHUNKS = 4096
+#: A range of more rows than this and than CROWDED times its source's mean is cut further.
+CROWD_ROWS = 10_000
+CROWDED = 4
 SEED = "mix:"
 
 
@@ -58,6 +62,26 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: i
     )
 
 
+def _parts(sized: DataFrame, chunks: DataFrame, offsets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``sized`` and ``offsets`` by source, chunk and part: the whole of a range, or of a crowded one rows of equal key and size in 256 ranges of the row's hash.
+
+    A crowded range gives at most 256 totals for each size of an id, and the
+    ranges of the hash follow the order of rows inside it.
+    """
+    mean = chunks.groupBy("source").agg((F.sum("rows") / CHUNKS).alias("mean"))
+    crowded = null_safe_join(chunks, mean, ["source"]).filter((F.col("rows") > CROWD_ROWS) & (F.col("rows") > CROWDED * F.col("mean")))
+    crowded = stored(crowded.select("source", "chunk", F.lit(True).alias("crowded")), "mix-crowded")
+    if crowded.isEmpty():
+        return sized.withColumn("part", F.lit(0)), offsets.withColumn("part", F.lit(0))
+    part = F.when(F.col("crowded"), F.struct("pos", "key", "size", F.shiftright("row_hash", 56).alias("range")))
+    sized = null_safe_join(sized, crowded, ["source", "chunk"], "left").withColumn("part", part).drop("crowded")
+    totals = stored(sized.groupBy("source", "chunk", "part").agg(F.sum("size").alias("words")), "mix-parts")
+    earlier = W.partitionBy("source", "chunk").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    inside = totals.withColumn("_inside", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words")
+    offsets = null_safe_join(inside, offsets, ["source", "chunk"])
+    return sized, offsets.withColumn("_before", F.col("_before") + F.col("_inside")).drop("_inside")
+
+
 def mix(
     docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
     weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, words: str | None = None,
@@ -78,16 +102,17 @@ def mix(
         pos=hash60(F.col(f"`{key}`"), seed), key=F.col(f"`{key}`"), row_hash=F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]),
     ).withColumn("chunk", F.shiftright("pos", 60 - CHUNKS.bit_length() + 1).cast("int"))
 
-    chunks = stored(sized.groupBy("source", "chunk").agg(F.sum("size").alias("words")), "mix-chunks")
+    chunks = stored(sized.groupBy("source", "chunk").agg(F.sum("size").alias("words"), F.count("*").alias("rows")), "mix-chunks")
     goals = targets(chunks.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
     budget = F.round("target").cast("long")
     goals = goals.withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0).cast("long"))
     goals = goals.withColumn("_rest", budget - F.col("_epochs") * F.col("source_size"))
     earlier = W.partitionBy("source").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = null_safe_join(chunks.withColumn("_before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words"), goals, ["source"])
+    offsets = null_safe_join(chunks.withColumn("_before", F.coalesce(F.sum("words").over(earlier), F.lit(0))).drop("words", "rows"), goals, ["source"])
 
-    joined = null_safe_join(sized, offsets, ["source", "chunk"])
-    order = W.partitionBy("source", "chunk").orderBy("pos", "key", "size", "row_hash").rowsBetween(W.unboundedPreceding, -1)
+    sized, offsets = _parts(sized, chunks, offsets)
+    joined = null_safe_join(sized, offsets, ["source", "chunk", "part"])
+    order = W.partitionBy("source", "chunk", "part").orderBy("pos", "key", "size", "row_hash").rowsBetween(W.unboundedPreceding, -1)
     before = F.col("_before") + F.coalesce(F.sum("size").over(order), F.lit(0))
     once_more = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - before))
     taken = joined.withColumn("taken", (F.col("_epochs") * F.col("size") + once_more).cast("long"))

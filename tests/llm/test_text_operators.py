@@ -253,6 +253,24 @@ def test_mixing_meets_targets(spark, docs):
     assert Counter(map(tuple, mixing.mix(docs).collect())) == Counter(map(tuple, rows))
 
 
+def test_mixing_cuts_ranges_crowded_by_one_id(spark, monkeypatch):
+    rows = [(None if n % 3 else n, "w " * (n % 7) + str(n), "en", "s" if n % 4 else "t", 0) for n in range(600)] + [(5, "same text", "en", "s", 0)] * 40
+    docs = spark.createDataFrame(rows, DOCS)
+    want = Counter(tuple(r) for r in mixing.mix(docs).collect())
+    groups = []
+
+    def counted(df, purpose, store=mixing.stored):
+        done = store(df, purpose)
+        if purpose == "mix-parts":
+            groups.extend(r["words"] for r in done.collect())
+        return done
+
+    monkeypatch.setattr(mixing, "CROWD_ROWS", 20, raising=False)
+    monkeypatch.setattr(mixing, "stored", counted)
+    assert Counter(tuple(r) for r in mixing.mix(docs).collect()) == want
+    assert groups and max(groups) <= 80 and sum(groups) == sum(r[1] is not None and len(r[1].split()) for r in rows)
+
+
 def test_mixed_rows_hold_what_is_taken(spark):
     docs = clashing(spark, [(n, " a b\tc " * n, "x" if n % 3 else None, "s") for n in range(30)])
     plan = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
