@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, neighbours, quality, secrets, setjoin, sharding, topk, warc
+from . import bpe, html_text, mixing, neighbours, quality, resampling, secrets, setjoin, sharding, topk, warc
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,37 @@ SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.v) AS component_id FROM s
 """)
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.link(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op11_resampling", r"""
+WITH codes AS (
+  SELECT list(v ORDER BY b) AS t
+  FROM (SELECT b, list_reduce([b] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(b))
+), texts AS (
+  SELECT 's' AS side, row_number() OVER () AS no, doc_id, text FROM documents UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark
+), worded AS (
+  SELECT side, no, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), grams AS (SELECT side, no, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS gram FROM worded),
+counted AS (SELECT side, no, gram, count(*) AS n FROM grams GROUP BY ALL),
+bucketed AS (
+  SELECT gram, xor(list_reduce([4294967295] || list_transform(range(octet_length(encode(gram))), lambda i: ('0x' || substr(hex(encode(gram)), 1 + 2 * i, 2))::BIGINT),
+                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT gram FROM counted), codes
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (side = 's'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t FROM counted JOIN bucketed USING (gram) GROUP BY bucket
+), totals AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM sums),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t::DOUBLE + 1) * (s_all::DOUBLE + 10000) / ((s::DOUBLE + 1) * (t_all::DOUBLE + 10000))))::BIGINT AS gain FROM sums, totals
+), weights AS (
+  SELECT no, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n)::DOUBLE)::BIGINT AS weight
+  FROM counted JOIN bucketed USING (gram) JOIN gains USING (bucket) WHERE side = 's' GROUP BY no
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS can,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM worded LEFT JOIN weights USING (no) WHERE side = 's'
+), placed AS (SELECT *, row_number() OVER (PARTITION BY can ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY can) AS docs FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN can AND place <= 25 * docs // 100 THEN place END AS rank FROM placed
+""")
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
