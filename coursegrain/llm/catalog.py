@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_text, mixing, neighbours, quality, resampling, secrets, setjoin, sharding, topk, warc
+from . import alignment, bpe, html_text, mixing, neighbours, quality, resampling, secrets, setjoin, sharding, topk, warc
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,10 @@ SELECT doc_id, n_features, weight, score, CASE WHEN can AND place <= 25 * docs /
 def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
