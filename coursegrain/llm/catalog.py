@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, html_text, mixing, neighbours, quality, resampling, secrets, setjoin, sharding, topk, warc
+from . import alignment, bpe, html_text, language, mixing, neighbours, quality, resampling, secrets, setjoin, sharding, topk, warc
 from .base import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,11 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs)
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "confident")
