@@ -8,9 +8,11 @@ that path with at least this density belongs to the text, too.  An article or ma
 element raises its nodes' sums and densities by ``BONUS``, and one that holds the page's only
 first-level headings is chosen unless paragraphs beside it hold more text; the
 article or main that the node lies in is kept but for its blocks below the threshold
-that hold little besides links.  Chrome that the page names by tag,
-role, class or id (menus, adverts, forms, comments ...) is left out before, unless it
-holds most of the page's text outside links and over four times that of the articles beside it.
+that hold little besides links, and but for unmarked blocks below it that stand
+beside paragraphs (an advert, a line at the foot).  Chrome that the page names by tag,
+role, class or id (menus, adverts, forms, comments ...) is left out before.  Only what names a part
+of the layout (a sidebar, a menu, a form around the page) stays where it holds most of the
+page's text outside links and no prose stands outside chrome; comments, adverts and notices never do.
 """
 
 from __future__ import annotations
@@ -47,8 +49,18 @@ FENCE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 CHROME = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs"
     " masthead footer sidebar aside complementary contentinfo cookie cookies consent notice notices alert popup modal overlay newsletter subscribe"
-    " subscription signup login share sharing social comment comments commentlist disqus reply replies respond related recommended search pagination pager toolbar".split()
+    " subscription signup login share sharing social comment comments commentlist disqus reply replies respond related recommended search pagination pager toolbar"
+    " foot copyright".split()
 )
+#: Those that may name a part of the layout with the story in it.
+LAYOUT = set("nav navbar navigation menu sidebar aside complementary masthead toolbar overlay modal".split())
+LAYOUT_TAGS = {"nav", "aside", "form"}
+#: Words of names that say that the story is in the element.
+CONTENT = set("article body content entry main page post prose story text".split())
+#: Signs outside links from which on a block is prose.
+PROSE = 40
+#: Containers without a meaning of their own.
+UNMARKED = {"div", "section", "center"}
 ROOTS = {"article", "main"}
 #: Blocks that are kept or left out as one; items, rows and cells go with their list or table.
 SIEVED = set("address center details dir div dl fieldset figure header hgroup menu ol p pre section table ul".split())
@@ -67,27 +79,38 @@ NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 WORDS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
 
-def _names_chrome(token: str) -> bool:
+def _chrome_words(token: str) -> tuple[list[str], bool]:
+    """The words of a name that name chrome, and whether the name has no others."""
     words = [w.lower() for w in WORDS.findall(token)]
     if words and words[-1] in STATES:
-        return False
+        return [], False
     end = next((n for n, w in enumerate(words) if w in SETTINGS), len(words))
-    return any(w in CHROME for w in words[:end])
+    found = [w for w in words[:end] if w in CHROME]
+    return found, len(found) == len(words)
+
+
+def _named(value: str) -> int:
+    """The kind that a class, id or role gives: a name of other words besides decides only where no name says that the story is here."""
+    tokens = value.split()
+    named = [_chrome_words(t) for t in tokens]
+    story = any(not found and WORDS.findall(t) and WORDS.findall(t)[-1].lower() in CONTENT for t, (found, _) in zip(tokens, named, strict=True))
+    words = [w for found, whole in named if found and (whole or not story) for w in found]
+    return 0 if not words else 3 if all(w in LAYOUT for w in words) else 1
 
 
 def _kind(tag: str, attributes: str) -> int:
-    """2: never text; 1: chrome by its name; 0: neither."""
+    """2: never text; 1: chrome by its name; 3: a part of the layout by its name; 0: none of them."""
     if tag in DROPPED:
         return 2
-    kind = 1 if tag in FRAMES else 0
+    kind = 0 if tag not in FRAMES else 3 if tag in LAYOUT_TAGS else 1
     if not attributes or tag in NEVER:
         return kind
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true") or (name == "style" and NO_DISPLAY.search(value)):
             return 2
-        if not kind and name in ("class", "id", "role"):
-            kind = int(any(map(_names_chrome, value.split())))
+        if kind != 1 and name in ("class", "id", "role"):
+            kind = _named(value) or kind
     return kind
 
 
@@ -180,31 +203,33 @@ class Page:
                 opened[name] += 1
 
     def _chrome(self) -> list[bool]:
-        """Nodes left out: what is never text, and what lies in named chrome that holds at most half of the text outside links, or less than four times what articles and main elements hold beside all named chrome."""
+        """Nodes left out: what is never text and named chrome, but for parts of the layout that hold most of the text outside links of a page without prose outside chrome."""
         tags, parents, kinds, count = self.tags, self.parents, self.kinds, len(self.tags)
-        if 1 not in kinds:
-            return [k == 2 for k in kinds]
-        linked, named = [False] * count, [False] * count
+        out, linked = [False] * count, [False] * count
         for node in range(1, count):
+            out[node] = out[parents[node]] or kinds[node] != 0
             linked[node] = linked[parents[node]] or tags[node] == "a"
-            named[node] = named[parents[node]] or kinds[node] == 1
-        plain = [0] * count
+        if 3 not in kinds:
+            return out
+        plain, run, prose = [0] * count, 0, False
         for node, text in self.items:
-            if text and kinds[node] < 2 and not linked[node]:
-                plain[node] += len(text) - text.count(" ") - text.count("\n")
+            if text is None:
+                run = 0
+            elif text and kinds[node] != 2 and not linked[node]:
+                signs = len(text) - text.count(" ") - text.count("\n")
+                plain[node] += signs
+                if not out[node]:
+                    run += signs
+                    prose = prose or run >= PROSE
+        if prose:
+            return out
         for node in range(count - 1, 0, -1):
-            plain[parents[node]] += plain[node]
-        # Text of articles and main elements outside all named chrome.
-        marked, within = 0, [False] * count
+            # what a part of the layout holds in chrome that never counts isn't its text
+            if kinds[node] != 1:
+                plain[parents[node]] += plain[node]
         for node in range(1, count):
-            within[node] = within[parents[node]] or tags[node] in ROOTS
-        for node, text in self.items:
-            if text and kinds[node] < 2 and not linked[node] and within[node] and not named[node]:
-                marked += len(text) - text.count(" ") - text.count("\n")
-        out = [False] * count
-        for node in range(1, count):
-            most = 2 * plain[node] > plain[0] and 4 * marked < plain[node]
-            out[node] = out[parents[node]] or kinds[node] == 2 or (kinds[node] == 1 and not most)
+            most = 2 * plain[node] > plain[0]
+            out[node] = out[parents[node]] or kinds[node] in (1, 2) or (kinds[node] == 3 and not most)
         return out
 
     def main_text(self) -> str:
@@ -252,12 +277,13 @@ class Page:
         least = min(density[n] for n in path)
         # Below the article on the path, or else the main element, only blocks of links need the threshold; elsewhere all that stands beside the path does.
         whole = next((n for name in ("article", "main") for n in reversed(path) if tags[n] == name), best)
+        strays = self._strays(chars)
         keep = [False] * count
         for node in range(count):
             if self.chrome[node]:
                 continue
             up, weight = parents[node], BONUS if root[node] >= 0 else 1
-            if tags[node] in SIEVED and node not in on_path and 2 * link_chars[node] > chars[node] and density[node] < least:
+            if tags[node] in SIEVED and node not in on_path and density[node] < least and (2 * link_chars[node] > chars[node] or strays[node]):
                 continue
             if node in (best, whole) or (up >= 0 and keep[up]):
                 keep[node] = True
@@ -268,6 +294,15 @@ class Page:
                 keep[node] = True
         return self._blocks(keep)
 
+    def _strays(self, chars: list[int]) -> list[bool]:
+        """Unmarked elements without blocks inside, beside paragraphs and the like that hold far more: an advert, a line at the foot."""
+        blocks, marked = [0] * len(self.tags), [0] * len(self.tags)
+        for node in range(1, len(self.tags)):
+            if self.tags[node] in BLOCKS and not self.chrome[node]:
+                blocks[self.parents[node]] += 1
+                marked[self.parents[node]] += 0 if self.tags[node] in UNMARKED else chars[node]
+        return [t in UNMARKED and not b and marked[up] > 4 * c for t, b, up, c in zip(self.tags, blocks, self.parents, chars, strict=True)]
+
     def _titled(self, chars: list[int], root: list[int]) -> int:
         """The article or main that holds all first-level headings of the page, or -1: none, several, or more text in paragraphs beside it."""
         tags, count = self.tags, len(self.tags)
