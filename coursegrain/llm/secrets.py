@@ -21,13 +21,14 @@ from .base import packed, replaced, unpacked
 # Fixed values of the base scan.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 12
-ACCESS = r"AKIA[A-Z0-9]+"
+ACCESS_MARK = "AKIA"
+ACCESS = rf"{ACCESS_MARK}[A-Z0-9]+"
 ACCESS_LEAST = 18
 HEX = r"[0-9a-f]+"
 HEX_LEAST = 16
 
 #: A failing access or hex match ends where its run of characters ends, so the least length can stand in the pattern.
-ACCESS_LONG = rf"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}"
+ACCESS_LONG = rf"{ACCESS_MARK}[A-Z0-9]{{{ACCESS_LEAST - 4},}}"
 HEX_LONG = rf"[0-9a-f]{{{HEX_LEAST},}}"
 BARE_KEY = r"(?<![A-Za-z0-9/+=_-])[A-Za-z0-9/+]{40}(?![A-Za-z0-9/+=_-])"
 ENDPOINT = r"""https?://[^\s"'<>]+"""
@@ -40,30 +41,49 @@ MASK = "[SECRET]"
 _SPAN = "array<struct<s:bigint,e:bigint>>"
 
 
-def _spans(text: Column, pattern: str, hits: Column, keep=None) -> Column:
-    """Start and end of every hit, in code points, from the lengths of the pieces between hits."""
-    lengths = F.zip_with(
+def _blocks(items: Column) -> Column:
+    """The items in about as many blocks as a block has items, so that a fold that appends copies little."""
+    wide = F.ceil(F.sqrt(F.size(items))).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / wide).cast("int")), lambda no: F.slice(items, no * wide + 1, wide))
+
+
+def _lengths(text: Column, pattern: str, hits: Column, keep=None) -> Column:
+    """Per hit: the length of the piece before it, its own, and whether it counts."""
+    return F.zip_with(
         F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits)), hits,
         lambda piece, hit: F.struct(F.length(piece).cast("long").alias("gap"), F.length(hit).cast("long").alias("len"), (keep(hit) if keep else F.lit(True)).alias("ok")),
     )
 
+
+def _spans(lengths: Column) -> Column:
+    """Start and end of every hit that counts, in code points: inside each block first, then with the blocks' own starts."""
+
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
         end = start + x["len"]
         span = F.array(F.struct(start.alias("s"), end.alias("e")))
         return F.struct(end.alias("at"), F.when(x["ok"], F.concat(state["out"], span)).otherwise(state["out"]).alias("out"))
 
+    def shifted(state: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda x: F.struct((x["s"] + state["at"]).alias("s"), (x["e"] + state["at"]).alias("e")))
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(moved)).alias("out"))
+
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(_SPAN).alias("out"))
-    return F.when(F.size(hits) > 0, F.aggregate(lengths, begin, step)["out"]).otherwise(F.array().cast(_SPAN))
+    inside = F.transform(_blocks(lengths), lambda block: F.aggregate(block, begin, step))
+    whole = F.aggregate(inside, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out")), shifted)
+    return F.when(F.size(lengths) > 0, F.flatten(whole["out"])).otherwise(F.array().cast(_SPAN))
 
 
-def _parts(docs: DataFrame, text: Column) -> DataFrame:
-    """``docs`` plus one array of spans per kind."""
-    patterns = dict(zip(KINDS, (ASSIGN, ACCESS_LONG, HEX_LONG, BARE_KEY, ENDPOINT), strict=True))
+def _parts(docs: DataFrame, text: Column, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """``docs`` plus one array of spans per kind; those of kinds not asked for are empty."""
+    patterns = {k: p for k, p in zip(KINDS, (ASSIGN, ACCESS_LONG, HEX_LONG, BARE_KEY, ENDPOINT), strict=True) if k in kinds}
     found = docs.withColumns({f"_h_{k}": F.regexp_extract_all(text, F.lit(p), F.lit(0)) for k, p in patterns.items()})
     long_value = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= ASSIGN_LEAST
-    spans = {f"_s_{k}": _spans(text, p, F.col(f"_h_{k}"), long_value if k == "assign" else None) for k, p in patterns.items()}
-    return found.withColumns(spans).drop(*[f"_h_{k}" for k in patterns])
+    # A column of its own: a lambda would work out an expression again for every block.
+    found = found.withColumns({f"_l_{k}": _lengths(text, p, F.col(f"_h_{k}"), long_value if k == "assign" else None) for k, p in patterns.items()})
+    spans = {f"_s_{k}": _spans(F.col(f"_l_{k}")) for k in patterns}
+    spans |= {f"_s_{k}": F.array().cast(_SPAN) for k in KINDS if k not in kinds}
+    return found.withColumns(spans).drop(*[f"_{x}_{k}" for x in "hl" for k in patterns])
 
 
 def _labelled(kind: str, label: Column) -> Column:
@@ -102,12 +122,17 @@ def scan(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> DataFrame:
     The span columns are arrays of (kind, s, e): code points, end exclusive, by
     start and then in the order of ``KINDS``.  Null or empty text has no spans.
     Linking runs per distinct text, so repeated rows and null ids get the same
-    result.  Input columns named like an output are replaced.
+    result.  Texts without the mark of an access identifier can't link anything:
+    they stay where they are, only the others are joined with their links.
+    Time grows with the number of hits in a text to the power of 1.5.
+    Input columns named like an output are replaced.
     """
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    parts = _parts(packed(docs, _text=whole, _key=F.sha2(whole.cast("binary"), 256)), F.col("_text"))
+    rows = packed(docs, _text=F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    marked = F.contains(F.col("_text"), F.lit(ACCESS_MARK))
+    parts = _parts(rows.filter(marked).withColumn("_key", F.sha2(F.col("_text").cast("binary"), 256)), F.col("_text"))
     linked = _linked(parts, scope).withColumnRenamed("_key", "_linked_key")
-    joined = parts.join(linked, F.col("_key") == F.col("_linked_key"), "left")
+    joined = parts.join(linked, F.col("_key") == F.col("_linked_key"), "left").drop("_key", "_linked_key")
+    joined = joined.unionByName(_parts(rows.filter(~marked), F.col("_text"), ("assign", "hex")), allowMissingColumns=True)
     name = lambda k: F.lit(KINDS.index(k))
     rank = lambda kinds: F.flatten(F.array(*[_ranked(k) for k in kinds]))
     weak = F.transform(F.col("_linked"), lambda x: F.struct(x["s"].alias("s"), F.when(x["kind"] == KINDS[3], name(KINDS[3])).otherwise(name(KINDS[4])).alias("k"), x["e"].alias("e")))
@@ -126,17 +151,33 @@ def span_text(spans: Column) -> Column:
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars", mask: str = MASK) -> DataFrame:
-    """The rows of ``docs`` with every span, overlapping ones together, replaced by ``mask``."""
-    found = scan(packed(docs, text=F.col(f"`{text}`")), "text")
+    """The rows of ``docs`` with every span, overlapping ones together, replaced by ``mask``.
 
-    def step(state: Column, x: Column) -> Column:
-        gap = F.substring("text", (state["at"] + 1).cast("int"), (x["s"] - state["at"]).cast("int"))
-        apart = F.struct(x["e"].alias("at"), F.concat(state["out"], F.array(F.concat(gap, F.lit(mask)))).alias("out"))
-        joined = F.struct(F.greatest(x["e"], state["at"]).alias("at"), state["out"].alias("out"))
-        return F.when((x["s"] < state["at"]) & (F.size(state["out"]) > 0), joined).otherwise(apart)
-
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
-    folded = found.withColumn("_fold", F.when(F.size("spans") > 0, F.aggregate("spans", begin, step)))
-    tail = F.substring("text", (F.col("_fold.at") + 1).cast("int"), F.lit(2**31 - 1))
-    clean = F.when(F.col("_fold").isNotNull(), F.concat(F.array_join("_fold.out", ""), tail)).otherwise(F.col("text"))
+    Spans are worked through in blocks, each on the part of the text from the last
+    end before it (a position is found by reading up to it) to its own last start.
+    """
+    found = scan(packed(docs, text=F.col(f"`{text}`")), "text")
+    least = F.lit(0).cast("long")
+    blocks = F.transform(_blocks(F.col("spans")), lambda b: F.struct(b.alias("spans"), F.element_at(b, -1)["s"].alias("last"), F.array_max(F.transform(b, lambda x: x["e"])).alias("end")))
+    carried = F.aggregate(
+        blocks, F.struct(least.alias("end"), F.array().cast("array<struct<begin:bigint,last:bigint,spans:array<struct<kind:string,s:bigint,e:bigint>>>>").alias("out")),
+        lambda state, b: F.struct(
+            F.greatest(state["end"], b["end"]).alias("end"), F.concat(state["out"], F.array(F.struct(state["end"].alias("begin"), b["last"].alias("last"), b["spans"].alias("spans")))).alias("out")),
+    )
+    piece = lambda whole, begin, end: F.substring(whole, (begin + 1).cast("int"), F.greatest(end - begin, least).cast("int"))
+    cut = F.transform("_fold.out", lambda b: F.struct(b["begin"].alias("begin"), piece(F.col("text"), b["begin"], b["last"]).alias("part"), b["spans"].alias("spans")))
+
+    def masked(block: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            gap = piece(block["part"], state["at"] - block["begin"], x["s"] - block["begin"])
+            apart = F.struct(x["e"].alias("at"), F.concat(state["out"], F.array(F.concat(gap, F.lit(mask)))).alias("out"))
+            joined = F.struct(F.greatest(x["e"], state["at"]).alias("at"), state["out"].alias("out"))
+            return F.when(x["s"] < state["at"], joined).otherwise(apart)
+
+        begin = F.struct(block["begin"].alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.array_join(F.aggregate(block["spans"], begin, step)["out"], "")
+
+    folded = found.withColumn("_fold", F.when(F.size("spans") > 0, carried))
+    tail = F.substring("text", (F.col("_fold.end") + 1).cast("int"), F.lit(2**31 - 1))
+    clean = F.when(F.col("_fold").isNotNull(), F.concat(F.array_join(F.transform(cut, masked), ""), tail)).otherwise(F.col("text"))
     return replaced(folded.withColumn("text", clean), docs, text, n_chars)
