@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import xml_safe
-from ..operators import contracts, rubrics, silver
+from ..operators import contracts, rubrics, silver, xml_index
 from ..operators import findings as R
 from ..operators import xml as X
 from ..sources import practice
@@ -350,7 +350,7 @@ def xml_manifest_items(t: Tables) -> DataFrame:
         "concat('<item identifier=\"M', i, '\"', if(i % 3 = 0, ' isvisible=\"False\"', ''), '><title>', z.e, '</title><item identifier=\"C', i, '\"><title>Child ', length(z.r), '</title></item></item>')",
         "'</organization></organizations></manifest>'", "imsmanifest.xml",
     )
-    return X.manifest_items(files, ["export_id"]).select("export_id", "identifier", "depth", "title", "self_hidden")
+    return xml_index.manifest_items(xml_index.index(files, ["export_id"]), ["export_id"]).select("export_id", "identifier", "depth", "title", "self_hidden")
 
 
 @query("rubric_names", """

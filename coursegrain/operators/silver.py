@@ -10,6 +10,7 @@ from .. import constants as K
 from ..functions.numbers import to_int
 from ..functions.text import clean, unescape
 from . import xml as X
+from . import xml_index
 
 _KEYS = ["export_id", "rel_path"]
 
@@ -204,42 +205,47 @@ def checklist_entries(files: DataFrame) -> DataFrame:
     return cat_rows.unionByName(items)
 
 
-def _own_rubric_text(rows: DataFrame, quiz: DataFrame) -> DataFrame:
-    """First text inside the assessment's own rubric; the questions' texts are elsewhere in the file."""
-    top = quiz.select(*_KEYS, F.col("pos").alias("_q"))
-    own = rows.filter("tag = 'rubric'").join(top, _KEYS).filter("parent_pos = _q").groupBy(*_KEYS).agg(F.min(F.struct("pos", "depth")).alias("_r"))
-    after = rows.join(own, _KEYS).filter("pos > _r.pos")
-    end = after.filter("depth <= _r.depth").groupBy(*_KEYS).agg(F.min("pos").alias("_end"))
-    inside = after.filter("tag = 'mattext'").join(end, _KEYS, "left").filter("_end is null or pos < _end")
-    found = inside.groupBy(*_KEYS).agg(F.min_by("text", "pos").alias("_text"))
-    return own.select(*_KEYS).join(found, _KEYS, "left").select(*_KEYS, F.col("_text").alias("_mat"))
+_SETTINGS = ("is_active", "attempts_allowed", "time_limit", "enforce_time_limit", "date_due", "intro_message", "show_clock", "mark_calculation_type")
 
 
 def quizzes(files: DataFrame) -> DataFrame:
-    """First assessment of each quiz file with its settings."""
-    rows = X.element_rows(X.tokens(files, _KEYS), _KEYS)
-    first = W.partitionBy(*_KEYS).orderBy("pos")
-    quiz = rows.filter("tag = 'assessment'").withColumn("_n", F.row_number().over(first)).filter("_n = 1")
-    proc = rows.filter("tag = 'assess_procextension'").select(*_KEYS, F.col("pos").alias("_proc"))
-    fields = (
-        rows.join(proc, (rows.export_id == proc.export_id) & (rows.rel_path == proc.rel_path) & (rows.parent_pos == proc._proc), "left_semi")
-        .groupBy(*_KEYS)
-        .agg(
-            *[F.min_by("text", F.when(F.col("tag") == n, F.col("pos"))).alias(f"_{n}") for n in ("is_active", "attempts_allowed", "time_limit", "enforce_time_limit", "date_due", "intro_message", "show_clock", "mark_calculation_type")],
-            F.min_by(F.struct(X.attribute(F.col("raw"), "resource_code").alias("code"), "text"), F.when(F.col("tag") == "grade_item", F.col("pos"))).alias("_grade"),
-        )
-    )
-    mat = _own_rubric_text(rows, quiz)
-    a = lambda n: clean(X.attribute(F.col("raw"), n))
+    """First assessment of each quiz file with its settings, read from the element index."""
+    return quizzes_of(xml_index.stored_index(files, _KEYS))
+
+
+def quizzes_of(index: DataFrame) -> DataFrame:
+    """Settings are the children of an ``assess_procextension``; the quiz's own text is the first one inside its own rubric.
+
+    Everything a file needs is found by comparing intervals: the assessment, its
+    rubric and the extensions are marked in windows over the file, then one
+    group by file picks the values.
+    """
+    used = xml_index.by_file(index.filter(F.col("tag").isin("assessment", "rubric", "assess_procextension", "mattext", "grade_item", *_SETTINGS)), _KEYS)
+    whole, sibling = W.partitionBy(*_KEYS), W.partitionBy(*_KEYS, "_family")
+    # an extension and its children are one family; grandchildren belong to another
+    family = F.when(F.col("tag") == "assess_procextension", F.col("pre")).otherwise(F.col("parent"))
+    first = used.withColumn("_family", family).withColumns({
+        "_setting": F.max(F.col("tag") == "assess_procextension").over(sibling) & (F.col("tag") != "assess_procextension"),
+        "_quiz": F.min(F.when(F.col("tag") == "assessment", F.col("pre"))).over(whole),
+    })
+    own = first.withColumn("_rubric", F.min(F.when((F.col("tag") == "rubric") & (F.col("parent") == F.col("_quiz")), F.struct("pre", "last"))).over(whole))
+    in_rubric = (F.col("pre") > F.col("_rubric.pre")) & (F.col("pre") <= F.col("_rubric.last"))
+    setting = lambda n, value: F.min_by(value, F.when(F.col("_setting") & (F.col("tag") == n), F.col("pre"))).alias(f"_{n}")
+    read = own.groupBy(*_KEYS).agg(
+        F.min_by(F.struct(*[clean(xml_index.attribute(n)).alias(n) for n in ("id", "title", "resource_code", "ident")]), F.when(F.col("pre") == F.col("_quiz"), F.col("pre"))).alias("_a"),
+        F.min_by(xml_index.text(), F.when((F.col("tag") == "mattext") & in_rubric, F.col("pre"))).alias("_mat"),
+        setting("grade_item", F.struct(xml_index.attribute("resource_code").alias("code"), xml_index.text().alias("text"))),
+        *[setting(n, xml_index.text()) for n in _SETTINGS],
+    ).filter("_a is not null")
     html = F.regexp_replace(F.coalesce("_mat", "_intro_message", F.lit("")), r"(?is)<scribe-shadow\b.*?</scribe-shadow>", "")
     text = lambda n: F.coalesce(f"_{n}", F.lit(""))
     return _activity(
-        quiz.join(fields, _KEYS, "left").join(mat, _KEYS, "left").select(
-            "export_id", F.lit("quiz").alias("kind"), F.col("rel_path").alias("source_file"), F.lit(0).alias("pos"), a("id").alias("id"), a("title").alias("name"),
-            a("resource_code").alias("resource_code"), F.coalesce(F.nullif("_grade.code", F.lit("")), "_grade.text", F.lit("")).alias("grade_item_code"),
+        read.select(
+            "export_id", F.lit("quiz").alias("kind"), F.col("rel_path").alias("source_file"), F.lit(0).alias("pos"), F.col("_a.id").alias("id"), F.col("_a.title").alias("name"),
+            F.col("_a.resource_code").alias("resource_code"), F.coalesce(F.nullif("_grade_item.code", F.lit("")), "_grade_item.text", F.lit("")).alias("grade_item_code"),
             text("is_active").alias("is_active"), text("attempts_allowed").alias("attempts_allowed"), text("time_limit").alias("time_limit"),
             text("enforce_time_limit").alias("enforce_time_limit"), text("date_due").alias("date_due"), html.alias("html"),
-            a("ident").alias("ident"), text("show_clock").alias("show_clock"), text("mark_calculation_type").alias("mark_calculation_type"),
+            F.col("_a.ident").alias("ident"), text("show_clock").alias("show_clock"), text("mark_calculation_type").alias("mark_calculation_type"),
         )
     )
 
@@ -247,60 +253,58 @@ def quizzes(files: DataFrame) -> DataFrame:
 _LABELS = {"draw_count": "qmd_numberofitems", "points_per_question": "qmd_weighting", "type": "qmd_questiontype"}
 
 
-def _labelled_spans(toks: DataFrame, rows: DataFrame) -> DataFrame:
-    """Sections and questions by opening position, with the last entry of each label anywhere inside.
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Sections, questions and references with the last entry of each label anywhere inside.
 
-    At an element's closing tag the last entry so far is its own if it came after
-    the opening tag: one running value over the file serves every level.
+    A label and its entry are children of one element.  In the order of the file,
+    with a section or question standing where its last element stands, the last
+    entry so far lies inside it if it came after its opening tag: one running value
+    serves every level.
     """
-    part = lambda n: F.max_by("text", F.when(F.col("tag") == n, F.col("pos")))
-    fields = (
-        rows.filter("tag in ('fieldlabel', 'fieldentry')").groupBy(*_KEYS, F.col("parent_pos").alias("pos"))
-        .agg(part("fieldlabel").alias("label"), F.coalesce(part("fieldentry"), F.lit("")).alias("entry")).filter(F.col("label").isin(*_LABELS.values()))
-    )
-    spans = toks.filter("tag in ('section', 'item')").select(*_KEYS, "pos", "tag", "depth", "opens", "closes")
-    events = spans.unionByName(fields, allowMissingColumns=True)
-    so_far = W.partitionBy(*_KEYS).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    level = W.partitionBy(*_KEYS, "tag", "depth").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    last = lambda label: F.last(F.when(F.col("label") == label, F.struct("pos", "entry")), True).over(so_far)
-    known = events.withColumns({f"_{n}": last(label) for n, label in _LABELS.items()}).filter("tag is not null")
-    paired = known.withColumn("_start", F.last(F.when(F.col("opens") == 1, F.col("pos")), True).over(level)).filter("closes = 1")
-    own = {n: F.when(F.col(f"_{n}.pos") > F.col("_start"), clean(F.col(f"_{n}.entry"))) for n in _LABELS}
-    return paired.select(*_KEYS, F.col("_start").alias("pos"), *[F.coalesce(v, F.lit("")).alias(n) for n, v in own.items()])
+    pair = W.partitionBy(*_KEYS, "parent")
+    newest = lambda tag, value: F.max(F.when(F.col("tag") == tag, F.struct(F.col("pre").alias("at"), value.alias("value")))).over(pair)
+    paired = rows.withColumns({"_label": newest("fieldlabel", xml_index.text()), "_entry": newest("fieldentry", xml_index.text())["value"]})
+    entry = (F.col("tag") == "fieldlabel") & (F.col("pre") == F.col("_label.at"))
+    spans = F.col("tag").isin("section", "item", "itemref")
+    so_far = W.partitionBy(*_KEYS).orderBy(F.when(spans, F.col("last")).otherwise(F.col("parent")), spans, "pre").rowsBetween(W.unboundedPreceding, 0)
+    last = lambda label: F.last(F.when(entry & (F.col("_label.value") == label), F.struct("parent", F.coalesce("_entry", F.lit("")).alias("entry"))), True).over(so_far)
+    known = paired.withColumns({f"_{n}": last(label) for n, label in _LABELS.items()}).filter(spans)
+    own = {n: F.coalesce(F.when(F.col(f"_{n}.parent") > F.col("pre"), F.col(f"_{n}.entry")), F.lit("")) for n in _LABELS}
+    return known.select(*_KEYS, "pre", "parent", "tag", "attributes", *[v.alias(n) for n, v in own.items()])
 
 
 def quiz_sections(files: DataFrame) -> DataFrame:
     """Sections, nested ones too, with a title or questions of their own: draw count, candidates, weight, question types."""
-    toks = X.tokens(files, _KEYS)
-    rows = X.element_rows(toks, _KEYS).filter("tag in ('section', 'item', 'itemref', 'fieldlabel', 'fieldentry')")
-    labelled = _labelled_spans(toks, rows)
-    direct = rows.filter("tag in ('item', 'itemref')").join(labelled.select(*_KEYS, "pos", "type"), [*_KEYS, "pos"], "left")
-    asked = direct.groupBy(*_KEYS, F.col("parent_pos").alias("pos")).agg(
-        F.count("*").cast("int").alias("candidate_count"), F.collect_list(F.when((F.col("tag") == "item") & (F.col("type") != ""), F.col("type"))).alias("question_types"),
+    return quiz_sections_of(xml_index.stored_index(files, _KEYS))
+
+
+def quiz_sections_of(index: DataFrame) -> DataFrame:
+    """From the element index with one exchange: a section and its own questions are one family in a window."""
+    rows = xml_index.by_file(index.filter("tag in ('section', 'item', 'itemref', 'fieldlabel', 'fieldentry')"), _KEYS)
+    asked = F.col("tag").isin("item", "itemref")
+    family = W.partitionBy(*_KEYS, "_family")
+    counted = _labelled(rows).withColumn("_family", F.when(asked, F.col("parent")).otherwise(F.col("pre"))).withColumns({
+        "candidate_count": F.count(F.when(asked, 1)).over(family).cast("int"),
+        "question_types": F.collect_list(F.when((F.col("tag") == "item") & (F.col("type") != ""), F.col("type"))).over(family),
+    })
+    sections = counted.filter("tag = 'section'").select(
+        *_KEYS, (F.row_number().over(W.partitionBy(*_KEYS).orderBy("pre")) - 1).alias("section_no"), clean(xml_index.attribute("title")).alias("title"),
+        "candidate_count", "draw_count", "points_per_question", "question_types",
     )
-    none = F.array().cast("array<string>")
-    sections = rows.filter("tag = 'section'").join(labelled, [*_KEYS, "pos"], "left").join(asked, [*_KEYS, "pos"], "left")
-    read = sections.select(
-        *_KEYS, (F.row_number().over(W.partitionBy(*_KEYS).orderBy("pos")) - 1).alias("section_no"), clean(X.attribute(F.col("raw"), "title")).alias("title"),
-        F.coalesce("candidate_count", F.lit(0)).alias("candidate_count"), F.coalesce("draw_count", F.lit("")).alias("draw_count"),
-        F.coalesce("points_per_question", F.lit("")).alias("points_per_question"), F.coalesce("question_types", none).alias("question_types"),
-    )
-    return read.filter("title <> '' or candidate_count > 0")
+    return sections.filter("title <> '' or candidate_count > 0")
 
 
 def quiz_rollup(sections: DataFrame) -> DataFrame:
-    """Per quiz file: sections, candidates, drawn questions and the sorted question-type summary."""
+    """Per quiz file: sections, candidates, drawn questions and the sorted question-type summary; a file's types are counted in its own row."""
     from ..functions.numbers import to_number
 
     totals = sections.groupBy(*_KEYS).agg(
         F.count("*").alias("sections"), F.sum("candidate_count").alias("candidates"),
         F.coalesce(F.sum(to_number(F.col("draw_count")).cast("bigint")), F.lit(0)).alias("drawn"),
+        F.flatten(F.collect_list("question_types")).alias("_types"),
     )
-    kinds = sections.select(*_KEYS, F.explode("question_types").alias("t")).groupBy(*_KEYS, "t").agg(F.count("*").alias("n"))
-    summary = kinds.groupBy(*_KEYS).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("t", "n"))), lambda s: F.concat(s["t"], F.lit(": "), s["n"].cast("string"))), "; ").alias("question_types")
-    )
-    return totals.join(summary, _KEYS, "left").withColumn("question_types", F.coalesce("question_types", F.lit("")))
+    named = lambda t: F.concat(t, F.lit(": "), F.size(F.filter("_types", lambda x: x == t)).cast("string"))
+    return totals.withColumn("question_types", F.array_join(F.transform(F.array_sort(F.array_distinct("_types")), named), "; ")).drop("_types")
 
 
 def orgunits(files: DataFrame) -> DataFrame:

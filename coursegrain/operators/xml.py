@@ -1,9 +1,8 @@
-"""XML payloads: element strings for flat tool files, token rows for nested ones.
+"""XML payloads of flat tool files.
 
 Tool files are read as whole elements wherever they sit (any depth, any
-namespace prefix) and decoded by Spark's ``from_xml``.  The manifest and quiz
-files nest the same element in itself, so they become token rows instead.
-Every row stems from one file, and the windows below never leave that file.
+namespace prefix) and decoded by Spark's ``from_xml``.  The manifest's items and quiz
+files nest the same element in itself; they are read from ``xml_index`` instead.
 """
 
 from __future__ import annotations
@@ -73,7 +72,7 @@ TOKEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[?!][^>]*>|</?[\w:.-]+(?:\s++[\w:.
 
 
 def tokens(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
-    """Tags and text of each file in document order with element depth."""
+    """Tags and text of each file in document order with element depth, of files that needn't be well-formed."""
     raw = files.select(*keep, F.posexplode(F.regexp_extract_all(xml, F.lit(TOKEN), F.lit(0))).alias("pos", "raw"))
     is_tag = F.col("raw").rlike(r"^</?[\w]")
     close = F.col("raw").startswith("</")
@@ -91,39 +90,6 @@ def tokens(files: DataFrame, keep: list[str], xml: str = "xml") -> DataFrame:
     )
 
 
-def element_rows(toks: DataFrame, keep: list[str]) -> DataFrame:
-    """Elements with parent position and direct text, from token rows.
-
-    The parent of an element at depth d is the last element opened at depth
-    d - 1; the owner of a text is the last one opened at its own depth.
-    """
-    is_text = F.col("tag").isNull() & ~F.col("raw").rlike(r"^(<[?]|<!--|<!\w)")
-    asked = F.array(F.struct(F.col("depth").alias("level"), F.lit(None).cast("bigint").alias("opened")))
-    both = F.array(
-        F.struct((F.col("depth") - 1).alias("level"), F.lit(None).cast("bigint").alias("opened")),
-        F.struct(F.col("depth").alias("level"), F.col("pos").alias("opened")),
-    )
-    rows = toks.withColumn("_a", F.explode(F.when(F.col("opens") == 1, both).when(is_text, asked)))
-    before = W.partitionBy(*keep, "_a.level").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    found = rows.withColumn("_up", F.max("_a.opened").over(before)).filter("_a.opened is null")
-    own = F.col("opens") == 1
-    body = F.when(F.col("raw").startswith("<![CDATA["), F.regexp_replace("raw", r"(?s)^<!\[CDATA\[|\]\]>$", "")).otherwise(
-        unescape(F.col("raw"))
-    )
-    return (
-        found.groupBy(*keep, F.when(own, F.col("pos")).otherwise(F.col("_up")).alias("_at"))
-        .agg(
-            F.max(F.when(own, F.struct("depth", "tag", "raw", F.col("_up").alias("parent_pos")))).alias("_e"),
-            F.array_sort(F.collect_list(F.when(~own, F.struct("pos", body.alias("t"))))).alias("_texts"),
-        )
-        .filter("_e is not null")
-        .select(
-            *keep, F.col("_at").alias("pos"), "_e.depth", "_e.tag", "_e.raw", "_e.parent_pos",
-            clean(F.array_join(F.col("_texts.t"), "")).alias("text"),
-        )
-    )
-
-
 def attribute(raw: Column, name: str) -> Column:
     """Attribute of an opening tag, namespace prefix ignored; absent is the empty string."""
     pattern = rf"(?s)\s(?:[\w.-]+:)?{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
@@ -143,28 +109,3 @@ def manifest_resources(files: DataFrame, keep: list[str]) -> DataFrame:
         field("e._material_type").alias("material_type"), field("e._href").alias("href"),
         field("e._link_target").alias("link_target"), field("e._title").alias("title"), "missing_href",
     )
-
-
-def manifest_items(files: DataFrame, keep: list[str]) -> DataFrame:
-    """Items of each manifest as flat nodes: position, depth below the organization, parent, attributes."""
-    rows = element_rows(tokens(files, keep), keep).filter("tag in ('item', 'title')")
-    is_item = F.col("tag") == "item"
-    items = (
-        rows.groupBy(*keep, F.when(is_item, F.col("pos")).otherwise(F.col("parent_pos")).alias("_at"))
-        .agg(
-            F.max(F.when(is_item, F.struct("depth", "parent_pos", "raw"))).alias("_e"),
-            F.min_by(F.col("text"), F.when(~is_item, F.col("pos"))).alias("title"),
-        )
-        .filter("_e is not null")
-    )
-    base = W.partitionBy(*keep)
-    rooted = items.withColumn("_base", F.min("_e.depth").over(base))
-    a = lambda n: attribute(F.col("_e.raw"), n)
-    return rooted.select(
-        *keep, F.col("_at").alias("pos"), (F.col("_e.depth") - F.col("_base") + 1).cast("int").alias("depth"),
-        F.when(F.col("_e.depth") > F.col("_base"), F.col("_e.parent_pos")).alias("parent_pos"),
-        F.coalesce("title", F.lit("")).alias("title"), a("identifier").alias("identifier"),
-        a("identifierref").alias("identifierref"), a("resource_code").alias("resource_code"),
-        a("resource_type_key").alias("resource_type_key"), a("description").alias("description"),
-        a("date_due").alias("date_due"), (F.lower(a("isvisible")) == "false").alias("self_hidden"),
-    )

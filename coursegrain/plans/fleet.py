@@ -16,6 +16,7 @@ from ..functions.text import clean, html_to_text
 from ..operators import activities as A
 from ..operators import blocks, duplicates, findings, gold, identity, pages, rubrics, silver, structure, tree
 from ..operators import xml as X
+from ..operators import xml_index
 from ..session import shared_folder
 from ..sources import packages
 
@@ -87,9 +88,18 @@ class Fleet:
     def resources(self) -> DataFrame:
         return X.manifest_resources(self.tool("imsmanifest.xml"), ["export_id"])
 
+    @stored
+    def manifest_items(self) -> DataFrame:
+        return xml_index.manifest_items(xml_index.index(packages.text_files(self.files, "imsmanifest.xml"), ["export_id"]), ["export_id"])
+
+    @stored
+    def quiz_index(self) -> DataFrame:
+        """Elements of all quiz files; settings, sections and draw rules read it."""
+        return xml_index.index(packages.text_files(self.files, "quiz_d2l_%.xml"), ["export_id", "rel_path"])
+
     @stored
     def _resolved(self) -> DataFrame:
-        return structure.resolve_nodes(X.manifest_items(self.tool("imsmanifest.xml"), ["export_id"]), self.resources)
+        return structure.resolve_nodes(self.manifest_items, self.resources)
 
     @stored
     def closure(self) -> DataFrame:
@@ -138,7 +148,7 @@ class Fleet:
         folders = silver.dropbox_folders(self.tool("dropbox_d2l.xml"))
         talks = silver.discussions(self.tool("discussion_d2l_%.xml"))
         lists = A.keep_linked(silver.checklists(self.tool("checklist_d2l.xml")), self.quicklinks, only_if_any_match=False).drop("links")
-        quizzes = A.keep_linked(silver.quizzes(self.tool("quiz_d2l_%.xml")), self.quicklinks, only_if_any_match=True).drop("links")
+        quizzes = A.keep_linked(silver.quizzes_of(self.quiz_index), self.quicklinks, only_if_any_match=True).drop("links")
         every = findings.union([folders, talks, lists, quizzes])
         graded = A.with_grade_items(every, self.grade_items, ["pos"])
         conditions = silver.condition_codes(self.tool("conditionalrelease_d2l.xml"))
@@ -220,7 +230,7 @@ class Fleet:
     # ----- rules
     @cached_property
     def dated(self) -> DataFrame:
-        items = X.manifest_items(self.tool("imsmanifest.xml"), ["export_id"]).filter("date_due <> ''")
+        items = self.manifest_items.filter("date_due <> ''")
         folders = self.activities.filter("kind = 'dropbox_folder' and date_due <> ''")
         named = lambda df, what, name: df.select("export_id", F.concat(F.lit(f"{what} '"), name, F.lit("' date_due")).alias("label"), F.col("date_due").alias("raw_date"))
         return named(folders, "dropbox folder", F.col("name")).unionByName(named(items, "manifest item", F.col("title")))
@@ -250,7 +260,7 @@ class Fleet:
         refs = pages.references(shown, ["export_id", "rel_path", "title"])
         lost = pages.missing_references(refs, self.files).join(shown.select("export_id", "rel_path", "title").distinct(), ["export_id", "rel_path"])
         quizzes = self.activities.filter("kind = 'quiz'")
-        sections = silver.quiz_sections(self.tool("quiz_d2l_%.xml")).join(
+        sections = silver.quiz_sections_of(self.quiz_index).join(
             quizzes.select("export_id", F.col("source_file").alias("rel_path"), F.col("name").alias("quiz")), ["export_id", "rel_path"], "left"
         )
         linked = structure.linked_paths(self.nodes)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coursegrain import session
-from coursegrain.operators import blocks, findings, silver, xml
+from coursegrain.operators import blocks, findings, silver, xml, xml_index
 from coursegrain.plans.fleet import Fleet
 from coursegrain.sources import packages, sinks
 
@@ -102,6 +102,40 @@ def test_nested_quiz_sections(spark):
     ]
 
 
+INDEXED = '<r a="0"><s:a x:k="1" k="2" t="&lt;&#233;">one<b/>two</s:a><![CDATA[<raw>]]><a><b>deep</b></a></r>'
+
+
+def test_element_index(spark):
+    text = INDEXED.replace("<r ", '<r xmlns:s="u" xmlns:x="v" ')
+    rows = xml_index.index(xml_files(spark, text, "<r><a></r>", "", None), ["rel_path"]).orderBy("pre").collect()
+    assert {r["rel_path"] for r in rows} == {"f0.xml"}
+    assert [(r["pre"], r["post"], r["last"], r["depth"], r["parent"], r["tag"], r["content"]) for r in rows] == [
+        (0, 4, 4, 1, None, "r", "<raw>"), (1, 1, 2, 2, 0, "a", "onetwo"), (2, 0, 2, 3, 1, "b", ""), (3, 3, 4, 2, 0, "a", ""), (4, 2, 4, 3, 3, "b", "deep"),
+    ]
+    assert rows[1]["attributes"] == {"k": "1", "t": "<é"}
+
+
+def test_element_index_of_deep_and_long_files(spark):
+    deep = "<d>" * 3000 + "x" * 200_000 + "</d>" * 3000
+    wide = "<r>" + "<i/>" * 50_000 + "</r>"
+    rows = xml_index.index(xml_files(spark, deep, wide), ["rel_path"])
+    found = rows.groupBy("rel_path").agg(F.count("*").alias("n"), F.max("depth").alias("d"), F.max(F.length("content")).alias("c"), F.sum(F.col("last") - F.col("pre")).alias("inside")).orderBy("rel_path").collect()
+    assert [tuple(r)[1:] for r in found] == [(3000, 3000, 200_000, 3000 * 2999 // 2), (50_001, 2, 0, 50_000)]
+
+
+def exchanges(df):
+    """Exchanges of the final plan that are really carried out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.find("Initial Plan")].count("+- Exchange ") if "Initial Plan" in plan else plan.count("Exchange ")
+
+
+def test_quiz_family_moves_rows_once(spark):
+    files = xml_files(spark, QUIZ.format(""), QUIZ.format("<rubric/>"))
+    assert exchanges(silver.quiz_rollup(silver.quiz_sections(files))) <= 2
+    assert exchanges(silver.quizzes(files)) <= 2
+
+
 def test_far_week_numbers(spark):
     rows = [("e", "module", f"Week {n}") for n in (1, 4, 2_000_000_000)]
     found = findings.week_gaps(spark.createDataFrame(rows, "export_id string, kind string, title string")).first()
