@@ -124,10 +124,9 @@ def document_tokens(t: Tables) -> DataFrame:
     )
 
 
-def document_tree(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Nodes and ancestor pairs, each stored once: every operator on top reads them several times."""
-    nodes = stored_table(tree.depths(document_tokens(t)), "tree-nodes")
-    return nodes, stored_table(tree.closure(nodes), "tree-pairs")
+def document_tree(t: Tables) -> DataFrame:
+    """Nodes with interval labels, stored once: every operator on top reads them."""
+    return stored_table(tree.labels(document_tokens(t)), "tree-nodes")
 
 
 @query("tree_parent", f"""
@@ -136,10 +135,9 @@ def document_tree(t: Tables) -> tuple[DataFrame, DataFrame]:
     UNION ALL SELECT itm.doc_id, 2, itm.title, mod.title, count(*) FROM itm JOIN mod USING (doc_id, line_no) GROUP BY ALL
 """)
 def tree_parent(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    linked = tree.parents(nodes, pairs)
+    nodes = document_tree(t)
     titles = nodes.select("export_id", F.col("pos").alias("parent_pos"), F.col("title").alias("parent_title"))
-    return linked.join(titles, ["export_id", "parent_pos"], "left").groupBy("export_id", F.col("depth").cast("int").alias("depth"), "title", "parent_title").agg(F.count("*").alias("n"))
+    return nodes.join(titles, ["export_id", "parent_pos"], "left").groupBy("export_id", F.col("depth").cast("int").alias("depth"), "title", "parent_title").agg(F.count("*").alias("n"))
 
 
 @query("tree_paths", f"""
@@ -148,8 +146,7 @@ def tree_parent(t: Tables) -> DataFrame:
     UNION ALL SELECT itm.doc_id, CASE WHEN mod.title = '' THEN itm.title WHEN itm.title = '' THEN mod.title ELSE mod.title || ' > ' || itm.title END, count(*) FROM itm JOIN mod USING (doc_id, line_no) GROUP BY ALL
 """.replace("SELECT doc_id AS export_id, title AS path, count(*) AS n FROM mod GROUP BY ALL\n    UNION ALL", "SELECT export_id, path, cast(sum(n) AS bigint) AS n FROM (SELECT doc_id AS export_id, title AS path, count(*) AS n FROM mod GROUP BY ALL\n    UNION ALL") + ") GROUP BY ALL")
 def tree_paths(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    return tree.paths(nodes, pairs).groupBy("export_id", "path").agg(F.count("*").alias("n"))
+    return tree.paths(document_tree(t)).groupBy("export_id", "path").agg(F.count("*").alias("n"))
 
 
 @query("tree_hidden", f"""
@@ -157,8 +154,7 @@ def tree_paths(t: Tables) -> DataFrame:
     SELECT doc_id AS export_id, depth, h AS is_hidden, count(*) AS n FROM a GROUP BY ALL
 """)
 def tree_hidden(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    return tree.inherited_hidden(nodes, pairs).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "is_hidden").agg(F.count("*").alias("n"))
+    return tree.inherited_hidden(document_tree(t)).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "is_hidden").agg(F.count("*").alias("n"))
 
 
 @query("descendants", f"""
@@ -167,8 +163,7 @@ def tree_hidden(t: Tables) -> DataFrame:
     UNION ALL SELECT doc_id, 2, 0, count(*) FROM itm GROUP BY ALL
 """)
 def descendants(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    return tree.descendant_counts(nodes, pairs).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "descendants").agg(F.count("*").alias("n"))
+    return document_tree(t).groupBy("export_id", F.col("depth").cast("int").alias("depth"), "descendants").agg(F.count("*").alias("n"))
 
 
 @query("week_detect", f"""
@@ -181,8 +176,7 @@ def descendants(t: Tables) -> DataFrame:
     FROM j WHERE wk OR first_week IS NULL OR line_no < first_week GROUP BY ALL
 """)
 def week_detect(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    linked = tree.parents(nodes, pairs).withColumns({"kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "has_children": F.col("depth") == 1})
+    linked = document_tree(t).withColumns({"kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "has_children": F.col("depth") == 1})
     return tree.split_modules(linked).groupBy("export_id", "title", "role", "week_no").agg(F.count("*").alias("n"))
 
 
@@ -311,15 +305,12 @@ def node_topic(t: Tables) -> DataFrame:
     SELECT doc_id AS export_id, module_title, rcode, count(*) AS n FROM (SELECT DISTINCT doc_id, line_no, module_title, rcode FROM c WHERE NOT hid AND rcode <> '') GROUP BY ALL
 """)
 def placement(t: Tables) -> DataFrame:
-    nodes, pairs = document_tree(t)
-    linked = tree.parents(tree.inherited_hidden(nodes, pairs), pairs)
-    flat = linked.withColumns(
+    flat = document_tree(t).withColumns(
         {"kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "has_children": F.col("depth") == 1, "rcode": F.when(F.col("depth") == 2, F.col("title")).otherwise("")}
     )
-    modules = tree.split_modules(flat)
-    members = tree.module_members(modules, flat.select("export_id", "pos", "rcode", "is_hidden"), pairs)
-    titles = modules.select("export_id", F.col("pos").alias("module_pos"), F.col("title").alias("module_title"))
-    return tree.placed_codes(members).join(titles, ["export_id", "module_pos"]).groupBy("export_id", "module_title", "rcode").agg(F.count("*").alias("n"))
+    modules = stored_table(tree.split_modules(flat), "tree-modules")
+    members = tree.module_members(modules, tree.inherited_hidden(flat.select("export_id", "pos", "last_pos", "rcode", "self_hidden")))
+    return tree.placed_codes(members).groupBy("export_id", "module_title", "rcode").agg(F.count("*").alias("n"))
 
 
 @query("export_identity", r"""
@@ -361,11 +352,10 @@ def orgunit_rows(t: Tables) -> DataFrame:
 """)
 def structure_keys(t: Tables) -> DataFrame:
     """Every third title length stands for a node with an identifier of its own."""
-    nodes, pairs = document_tree(t)
     named = F.when(F.length("title") % 3 == 0, F.concat(F.lit("T"), F.length("title").cast("string"))).otherwise("")
     blank = {c: F.lit("") for c in ("rcode", "resource_code", "identifierref", "href")}
-    rows = tree.parents(nodes, pairs).withColumns({
+    rows = document_tree(t).withColumns({
         "kind": F.when(F.col("depth") == 1, "module").otherwise("html_topic"), "identifier": named, "source_lineage_key": F.concat(F.lit("L"), F.col("export_id").cast("string")), **blank,
     })
     keys = ["export_id", F.col("depth").cast("int").alias("depth"), "title", "identity_quality", "entity_key", "parent_entity_key"]
-    return identity.structure_keys(rows, pairs).groupBy(*keys).agg(F.count("*").alias("n"))
+    return identity.structure_keys(rows).groupBy(*keys).agg(F.count("*").alias("n"))

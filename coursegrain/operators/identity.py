@@ -110,24 +110,35 @@ def entity_keys(rows: DataFrame, kind: Column, aliases: list[str], fallback: Col
     return staged.withColumns({"entity_key": key, "identity_quality": quality}).drop("_value", "_kind")
 
 
-def structure_keys(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+_STRUCTURE_ALIASES = ["identifier", "rcode", "resource_code", "identifierref", "href"]
+
+
+def structure_keys(nodes: DataFrame) -> DataFrame:
     """Keys of tree nodes with the key of the node above (null for roots).
 
     ``nodes`` carry source_lineage_key, pos, depth, parent_pos, kind, title and the
     aliases.  A node without an alias is named by its place: the positions among
-    its siblings from the root down, its kind and its title.
+    its siblings from the root down, its kind and its title.  A node's list of
+    ancestors brings along what the key of its parent is made of.
     """
+    from ..session import stored_table
     from .scan import prefix_scan
-    from .tree import paths
+    from .tree import ancestors
 
-    siblings = prefix_scan(nodes, ["export_id", "parent_pos"], "pos", {"_nth": ("sum", F.lit(1))})
-    placed = siblings.withColumns({"_own": F.col("title"), "title": (F.col("_nth") - 1).cast("string")})
-    found = paths(placed, pairs, "/").withColumn("title", F.col("_own"))
+    fields = ["kind", "title", *_STRUCTURE_ALIASES]
+    # Stored, because the scan for ancestors reads its input for the ranges and for their totals.
+    siblings = stored_table(prefix_scan(nodes, ["export_id", "parent_pos"], "pos", {"_nth": ("sum", F.lit(1))}), "tree-siblings")
+    found = ancestors(siblings, F.struct((F.col("_nth") - 1).cast("string").alias("_nth"), *fields))
+    places = F.transform("up", lambda u: u["_nth"])
     kind = F.concat(F.lit("structure:"), F.coalesce(F.nullif("kind", F.lit("")), F.lit("unknown")))
-    fallback = F.concat(F.col("path"), F.lit("|"), F.coalesce("kind", F.lit("")), F.lit("|"), F.coalesce("title", F.lit("")))
-    keyed = entity_keys(found, kind, ["identifier", "rcode", "resource_code", "identifierref", "href"], fallback)
-    above = keyed.select("export_id", F.col("pos").alias("parent_pos"), F.col("entity_key").alias("parent_entity_key"))
-    return keyed.join(above, ["export_id", "parent_pos"], "left").drop("_nth", "_own", "path")
+    fallback = F.concat(F.array_join("_places", "/"), F.lit("|"), F.coalesce("kind", F.lit("")), F.lit("|"), F.coalesce("title", F.lit("")))
+    # The parent is keyed like the node itself, with its fields in their place.
+    parent = F.get("up", F.size("up") - 2)
+    kept = {c: F.col(c) for c in found.columns}
+    above = found.select(F.struct(*kept.values()).alias("_row"), "source_lineage_key", F.slice(places, F.lit(1), F.greatest(F.size("up") - 1, F.lit(0))).alias("_places"), *[parent[c].alias(c) for c in fields])
+    keyed = entity_keys(above, kind, _STRUCTURE_ALIASES, fallback)
+    back = keyed.select("_row.*", F.when(F.size("_row.up") > 1, F.col("entity_key")).alias("parent_entity_key"))
+    return entity_keys(back.withColumn("_places", places), kind, _STRUCTURE_ALIASES, fallback).drop("_nth", "up", "_places")
 
 
 def entity_aliases(entities: DataFrame, aliases: list[str]) -> DataFrame:

@@ -101,13 +101,9 @@ class Fleet:
     def _resolved(self) -> DataFrame:
         return structure.resolve_nodes(self.manifest_items, self.resources)
 
-    @stored
-    def closure(self) -> DataFrame:
-        return tree.closure(self._resolved)
-
     @stored
     def nodes(self) -> DataFrame:
-        hidden = tree.paths(tree.inherited_hidden(self._resolved, self.closure), self.closure)
+        hidden = tree.paths(tree.inherited_hidden(self._resolved))
         path = F.split_part(F.replace("href", F.lit("\\"), F.lit("/")), F.lit("?"), F.lit(1))
         have = self.files.select("export_id", F.col("rel_path").alias("page_path"), F.lit(True).alias("_have"))
         checked = hidden.withColumn("page_path", path).join(have, ["export_id", "page_path"], "left")
@@ -167,7 +163,7 @@ class Fleet:
 
     @stored
     def structure_keys(self) -> DataFrame:
-        return identity.structure_keys(self.nodes.join(self._scopes, "export_id"), self.closure)
+        return identity.structure_keys(self.nodes.join(self._scopes, "export_id"))
 
     @stored
     def entities(self) -> DataFrame:
@@ -197,7 +193,7 @@ class Fleet:
 
     @stored
     def members(self) -> DataFrame:
-        return tree.module_members(self.modules, self.nodes.drop("path"), self.closure)
+        return tree.module_members(self.modules, self.nodes.drop("path"))
 
     @stored
     def routed(self) -> DataFrame:
@@ -275,7 +271,7 @@ class Fleet:
             findings.dates(self.dated, config), findings.gradebook_total(ids, self.grade_items, config), findings.gradebook_items(self.grade_items), findings.duplicate_names(self.grade_items),
             findings.placeholders(self.texts), findings.missing_alt(self.images_missing_alt), findings.week_gaps(self.nodes.filter("depth = 1")),
             findings.broken_hrefs(self.nodes, self.files), findings.unresolved_refs(self.nodes), findings.broken_references(lost), findings.empty_pages(shown.filter("not is_hidden")),
-            structure.skipped_files(self.nodes), structure.hidden_findings(records, tree.descendant_counts(self.nodes, self.closure)),
+            structure.skipped_files(self.nodes), structure.hidden_findings(records, tree.descendant_counts(self.nodes)),
             structure.scope_findings(hidden_files, "hidden manifest-linked non-HTML files preserved as references"),
             structure.scope_findings(unlinked, "files not directly linked from the visible manifest", " (may include support assets referenced inside HTML pages)"),
         ])

@@ -1,6 +1,7 @@
 """Ordered operators across range borders, with one group holding most of the rows."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -30,6 +31,65 @@ def test_tree_over_small_ranges(spark):
     assert linked == {0: (1, None), 1: (2, 0), 2: (3, 1), 5: (2, 0), 8: (1, None)}
 
 
+def random_tree(seed, size, name):
+    """Tokens of a random forest, and per node its depth, parent, end, descendants, titles from the root and whether it is hidden."""
+    turns = random.Random(seed)
+    tokens, open_nodes, facts, pos = [], [], {}, 0
+
+    def close(pos):
+        at = open_nodes.pop()
+        facts[at][2], facts[at][3] = pos, sum(1 for n in facts if n > at)
+        tokens.append((name, pos, -1, "", False))
+
+    while len(facts) < size or open_nodes:
+        if open_nodes and (len(facts) >= size or turns.random() < 0.5):
+            close(pos)
+        else:
+            title, hidden = turns.choice(["", "a", "b", "Week 1"]), turns.random() < 0.15
+            up = open_nodes[-1] if open_nodes else None
+            trail, covered = (facts[up][4], facts[up][5]) if open_nodes else ([], False)
+            facts[pos] = [len(open_nodes) + 1, up, None, None, [*trail, title], hidden or covered]
+            open_nodes.append(pos)
+            tokens.append((name, pos, 1, title, hidden))
+        pos += 1
+    return tokens, facts
+
+
+def test_interval_labels_equal_a_walk(spark):
+    forests = {f"p{n}": random_tree(n, size, f"p{n}") for n, size in enumerate((1, 2, 40, 200))}
+    rows = [t for tokens, _ in forests.values() for t in tokens]
+    df = spark.createDataFrame(rows, "export_id string, pos bigint, delta int, title string, self_hidden boolean")
+    chunk = F.floor(F.col("pos") / 7)
+    nodes = tree.labels(df, chunk).cache()
+    got = {(r.export_id, r.pos): (r.depth, r.parent_pos, r.last_pos, r.descendants) for r in nodes.collect()}
+    assert got == {(p, n): tuple(f[:4]) for p, (_, facts) in forests.items() for n, f in facts.items()}
+    hidden = {(r.export_id, r.pos): r.is_hidden for r in tree.inherited_hidden(nodes, chunk).collect()}
+    assert hidden == {(p, n): f[5] for p, (_, facts) in forests.items() for n, f in facts.items()}
+    found = {(r.export_id, r.pos): r.path for r in tree.paths(nodes, "/", chunk).collect()}
+    assert found == {(p, n): "/".join(filter(None, f[4])) for p, (_, facts) in forests.items() for n, f in facts.items()}
+    counts = {(r.export_id, r.pos): r.descendants for r in tree.descendant_counts(nodes.drop("descendants"), chunk).collect()}
+    assert counts == {k: v[3] for k, v in got.items()}
+    heads = nodes.filter("depth = 1 and title <> ''").select("export_id", "pos", "title", F.lit("week").alias("role"), F.lit(1).alias("week_no"))
+    members = {(r.export_id, r.pos): r.module_pos for r in tree.module_members(heads, nodes, chunk).collect()}
+    root = lambda facts, n: n if facts[n][1] is None else root(facts, facts[n][1])
+    assert members == {(p, n): root(facts, n) for p, (_, facts) in forests.items() for n in facts if facts[root(facts, n)][4][0] != ""}
+    assert tree.labels(df.limit(0)).count() == 0
+
+
+def final_plan(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.find("+- == Initial Plan ==")] if "Initial Plan" in plan else plan
+
+
+def test_trees_are_read_few_times(spark):
+    from coursegrain.catalog import QUERIES
+
+    placed, keys = (final_plan(QUERIES[q](spark, "/root/testdata/sf0.001")) for q in ("placement", "structure_keys"))
+    assert placed.count("FileScan") <= 6
+    assert len(re.findall(r"[-+] Exchange ", keys)) <= 6
+
+
 def test_duplicate_ordinals_are_dense(spark):
     edges = spark.createDataFrame([("e", "quiz", "c", "rubric", "r", "yes", i) for i in range(50)], "export_id string, source_kind string, source_code string, join_type string, target string, resolved string, pos bigint")
     got = sorted(r.duplicate_ordinal for r in activities.duplicate_ordinals(edges, "pos", F.floor(F.col("pos") / 7)).collect())
