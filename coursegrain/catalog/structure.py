@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import paths
 from ..operators import findings as R
 from ..operators import identity, structure, tree
-from ..session import stored_table
-from ..sources import packages
+from ..session import shared_folder, stored_table
+from ..sources import archives, packages
 from .registry import Tables, query
 from .scalars import sql_category
 
@@ -24,6 +24,19 @@ def scan_inventory(t: Tables) -> DataFrame:
     return packages.inventory(packages.without_junk(t.v_files))
 
 
+@query("archive_members", """
+    SELECT 'course-' || coalesce(source, 'none') AS export_id, 'docs/' || lang || '/' || doc_id || '.txt' AS rel_path, octet_length(encode(coalesce(text, '')))::BIGINT AS bytes, sha256(coalesce(text, '')) AS sha256
+    FROM {documents} WHERE lang <> 'de'
+""")
+def archive_members(t: Tables) -> DataFrame:
+    """Documents packed into an archive per source, then listed and read: a condition on names leaves the German ones' content unread."""
+    name = F.concat(F.lit("docs/"), F.coalesce("lang", F.lit("de")), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = t.documents.select(F.concat(F.lit("course-"), F.coalesce("source", F.lit("none"))).alias("export_id"), name.alias("rel_path"), F.encode("text", "UTF-8").alias("content"))
+    folder = shared_folder(t.spark, "archives")
+    archives.write(files, folder)
+    return packages.scan_archives(t.spark, folder, ~F.col("rel_path").startswith("docs/de/")).select("export_id", "rel_path", "bytes", "sha256")
+
+
 @query("manifest_locate", r"""
     WITH m AS (SELECT export_id, rel_path, len(string_split(rel_path, '/')) AS depth FROM {v_manifest_files} WHERE regexp_matches(rel_path, '(^|/)imsmanifest\.xml$')),
          r AS (SELECT *, row_number() OVER (PARTITION BY export_id ORDER BY depth, rel_path) AS k, count(*) OVER (PARTITION BY export_id) AS n,

@@ -1,5 +1,6 @@
 """Odd packages, files and tags: one of them never ends a job, nor changes what the others give."""
 
+import hashlib
 import os
 import random
 import zipfile
@@ -10,13 +11,59 @@ from pyspark.sql import functions as F
 from coursegrain import session
 from coursegrain.operators import blocks, findings, silver, xml, xml_index
 from coursegrain.plans.fleet import Fleet
-from coursegrain.sources import packages, sinks
+from coursegrain.sources import archives, packages, sinks
 
 
 def xml_files(spark, *texts):
     return spark.createDataFrame([("e", f"f{n}.xml", t) for n, t in enumerate(texts)], "export_id string, rel_path string, xml string")
 
 
+def test_one_archive_is_read_by_many_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_DEFLATED) as made:
+        for n in range(10_000):
+            made.writestr(f"m/{n}.txt", f"member {n}")
+    rows = archives.directory(spark, str(tmp_path))
+    read = archives.contents(rows).select("rel_path", "content", F.spark_partition_id().alias("task")).collect()
+    assert {(r["rel_path"], bytes(r["content"]).decode()) for r in read} == {(f"m/{n}.txt", f"member {n}") for n in range(10_000)}
+    assert len({r["task"] for r in read}) > 1
+    chosen = packages.scan_archives(spark, str(tmp_path), F.col("rel_path").isin("m/7.txt", "m/9999.txt")).collect()
+    assert sorted(bytes(r["content"]) for r in chosen) == [b"member 7", b"member 9999"]
+
+
+def test_an_archive_is_opened_once_in_a_run(spark, tmp_path):
+    for name in "ab":
+        with zipfile.ZipFile(tmp_path / f"{name}.zip", "w") as made:
+            for n in range(50):
+                made.writestr(f"{n}.txt", str(n))
+    opened = []
+
+    def opener(place):
+        opened.append(place)
+        return archives._open(place)
+
+    rows = archives.directory(spark, str(tmp_path)).orderBy("path", "begin").select(archives._MEMBER).toArrow()
+    got = list(archives.members(iter(rows.to_batches()), opener=opener))
+    assert len(got) == 100 and len(opened) == 2 and all(r[5] is None for r in got)
+
+
+def test_members_beyond_a_cell(spark, tmp_path):
+    body = random.Random(2).randbytes(300_000) + bytes(700_000)
+    methods = {"s": zipfile.ZIP_STORED, "d": zipfile.ZIP_DEFLATED, "b": zipfile.ZIP_BZIP2, "l": zipfile.ZIP_LZMA}
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as made:
+        for name, method in methods.items():
+            made.writestr(name, body, compress_type=method)
+        made.writestr("empty", b"")
+    rows = archives.directory(spark, str(tmp_path))
+    got = {r["rel_path"]: r for r in archives.contents(rows, cell_bytes=1000).collect()}
+    digest = hashlib.sha256(body).hexdigest()
+    assert all(got[n]["sha256"] == digest and got[n]["content"] is None and got[n]["bytes"] == len(body) and got[n]["open_error"] is None for n in "sdb")
+    assert got["l"]["open_error"] and bytes(got["empty"]["content"]) == b""
+    pieces = archives.parts(rows.filter("rel_path in ('s', 'd', 'b', 'empty')"), 99_991).orderBy("part_no").collect()
+    whole = {n: b"".join(bytes(r["content"]) for r in pieces if r["rel_path"] == n) for n in ("s", "d", "b", "empty")}
+    assert whole == {"s": body, "d": body, "b": body, "empty": b""}
+    assert archives.directory(spark, str(tmp_path)).limit(0).count() == 0
+
+
 def test_long_tags(spark):
     long = ["<p " + "a" * 200_000 + ">x</p>", "<p class='" + "b " * 100_000 + "'>x</p>", "<p " + 'c="1" ' * 30_000 + ">x</p>", '<p title="never closed ' + "d" * 100_000]
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(long)], "id int, fragment string")
