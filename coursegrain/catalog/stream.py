@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import runs
-from ..streaming import progress
+from ..streaming import ordered, progress
 from .registry import Tables, query
 
 
@@ -83,4 +83,4 @@ def stream_run_counts(t: Tables) -> DataFrame:
     SELECT run_id, problem, step_index, happened FROM x
 """)
 def run_lifecycle(t: Tables) -> DataFrame:
-    return progress.run_available(progress.run_lifecycle(live(t)), "append").withColumn("happened", F.col("happened").cast("timestamp_ntz"))
+    return ordered.run_through(live(t)).withColumn("happened", F.col("happened").cast("timestamp_ntz"))

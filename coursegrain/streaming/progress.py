@@ -2,19 +2,15 @@
 
 Each function takes and returns a (streaming or batch) DataFrame; ``run_available``
 drives a stream over everything that is there and returns the result table.
+The order rules of a run are in ``ordered``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .. import constants as K
 from ..session import shared_folder
 
 
@@ -49,79 +45,6 @@ def windowed_counts(events: DataFrame, size: str = "1 hour", delay: str = "1 hou
     )
 
 
-LIFECYCLE = T.StructType([
-    T.StructField("run_id", T.StringType()), T.StructField("problem", T.StringType()), T.StructField("step_index", T.IntegerType()),
-    T.StructField("happened", T.TimestampType()),
-])
-_STATE = T.StructType([
-    T.StructField("started", T.BooleanType()), T.StructField("ended", T.BooleanType()), T.StructField("open_index", T.IntegerType()),
-    T.StructField("open_at", T.LongType()),
-])
-
-
-def lifecycle_steps(timeout_seconds: int):
-    """Order rules of one run: one run_start, start/end pairs, exactly one run_end, no step over its limit.
-
-    The state is four values per run however many events the run has; the rows of
-    one micro-batch are put in time order first (``event_files`` bounds a batch).
-    """
-
-    def advance(rows: pd.DataFrame, state: tuple) -> tuple[list, tuple]:
-        started, ended, open_index, open_at = state
-        found: list = []
-        for event, step, at in zip(rows["event"], rows["step_index"], rows["ts"]):
-            step, note = None if pd.isna(step) else int(step), lambda text, i: found.append((text, i, at))  # noqa: B023
-            if ended:
-                note("event after run_end", step)
-            if event == "run_start":
-                if started:
-                    note("second run_start", step)
-                started = True
-            elif not started:
-                note("event before run_start", step)
-            if event == "step_start":
-                if open_index is not None:
-                    note("step started inside a step", step)
-                open_index, open_at = step, int(at.timestamp())
-            elif event == "step_end":
-                if open_index != step:
-                    note("step_end without step_start", step)
-                elif timeout_seconds and int(at.timestamp()) - open_at > timeout_seconds:
-                    note("step over time limit", step)
-                open_index, open_at = None, None
-            elif event == "run_end":
-                if open_index is not None:
-                    note("run ended inside a step", open_index)
-                ended, open_index, open_at = True, None, None
-        return found, (started, ended, open_index, open_at)
-
-    def process(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        current = state.get if state.exists else (False, False, None, None)
-        if state.hasTimedOut:
-            started, ended, open_index, open_at = current
-            found = [("no step_end within time limit", open_index, pd.Timestamp(open_at + timeout_seconds, unit="s"))]
-            state.update((started, ended, None, None))
-        else:
-            rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "seq"], kind="stable")
-            found, current = advance(rows, current)
-            state.update(current)
-            if current[2] is not None and timeout_seconds:
-                state.setTimeoutTimestamp(max((current[3] + timeout_seconds) * 1000, state.getCurrentWatermarkMs() + 1))
-        if found:
-            out = pd.DataFrame(found, columns=["problem", "step_index", "happened"])
-            out.insert(0, "run_id", key[0])
-            yield out.astype({"step_index": "Int32", "happened": "datetime64[ns]"})
-
-    return process
-
-
-def run_lifecycle(events: DataFrame, delay: str = "1 hour", timeout_seconds: int = K.STEP_TIMEOUT_SECONDS) -> DataFrame:
-    """Problems of each run as they become known.  ``events``: run_id, event, step_index, ts, seq."""
-    return events.withWatermark("ts", delay).groupBy("run_id").applyInPandasWithState(
-        lifecycle_steps(timeout_seconds), LIFECYCLE, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
-
-
 def run_available(stream: DataFrame, mode: str, keys: list[str] | None = None) -> DataFrame:
     """Run a stream over all available input into a fresh table and return that table.
 
