@@ -1,6 +1,6 @@
 """Named queries over the test tables, each with the SQL that checks it."""
 
-from . import activities, gold, html, identity, quality, scalars, stream, structure, toolfiles
+from . import activities, conformance, gold, html, identity, quality, scalars, stream, structure, toolfiles
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "activities", "gold", "html", "identity", "quality", "scalars", "stream", "structure", "toolfiles"]
+__all__ = ["ORACLES", "QUERIES", "activities", "conformance", "gold", "html", "identity", "quality", "scalars", "stream", "structure", "toolfiles"]
