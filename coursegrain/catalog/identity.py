@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import scoped_key
 from ..operators import contracts, identity, runs
+from ..session import shared_folder
+from ..sources import versions
 from .registry import Tables, query
 from .structure import export_names, orgunit_rows
 
@@ -53,6 +55,45 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return identity.snapshot_diff(old, new, "p_name")
 
 
+def order_snapshots(t: Tables) -> tuple[str, int, int]:
+    """Two versions of one table: open orders come in, finished ones go, urgent ones are priced anew; and a third write that changes nothing."""
+    rows = t.orders.select(F.col("o_custkey").cast("string").alias("export_id"), "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    root = shared_folder(t.spark, "orders-table")
+    first = versions.write(rows.filter("o_orderstatus <> 'P'"), root, "orders/1", "run-1", buckets=16)
+    priced = rows.filter("o_orderstatus <> 'F'").withColumn("o_totalprice", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    second = versions.write(priced, root, "orders/1", "run-2", expected=first)
+    versions.write(priced, root, "orders/1", "run-3", expected=second)
+    return root, first, second
+
+
+_SNAPSHOTS = """
+    a AS (SELECT cast(o_custkey AS string) AS export_id, o_orderkey, o_orderstatus, o_totalprice FROM {orders} WHERE o_orderstatus <> 'P'),
+    b AS (SELECT cast(o_custkey AS string) AS export_id, o_orderkey, o_orderstatus, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM {orders} WHERE o_orderstatus <> 'F')
+"""
+
+
+@query("table_versions", f"""
+    WITH {_SNAPSHOTS}
+    SELECT 1 AS version, 'run-1' AS run_id, o_orderstatus, count(*) AS n, cast((SELECT count(*) FROM a) AS bigint) AS version_rows FROM a GROUP BY ALL
+    UNION ALL SELECT 2, 'run-2', o_orderstatus, count(*), (SELECT count(*) FROM b) FROM b GROUP BY ALL
+""")
+def table_versions(t: Tables) -> DataFrame:
+    root, first, second = order_snapshots(t)
+    log = versions.history(t.spark, root).select(F.col("version").cast("int").alias("version"), "run_id", F.col("rows").alias("version_rows"))
+    each = [versions.read(t.spark, root, n).groupBy("o_orderstatus").agg(F.count("*").alias("n")).withColumn("version", F.lit(n)) for n in (first, second)]
+    return each[0].unionByName(each[1]).join(log, "version")
+
+
+@query("snapshot_changes", f"""
+    WITH {_SNAPSHOTS}
+    SELECT coalesce(a.export_id, b.export_id) AS export_id, coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.export_id IS NULL THEN 'added' WHEN b.export_id IS NULL THEN 'removed' ELSE 'changed' END AS change
+    FROM a FULL JOIN b ON a.export_id = b.export_id AND a.o_orderkey = b.o_orderkey WHERE a.o_totalprice IS DISTINCT FROM b.o_totalprice
+""")
+def snapshot_changes(t: Tables) -> DataFrame:
+    root, first, second = order_snapshots(t)
+    return versions.changes(t.spark, root, first, second, ["export_id", "o_orderkey"])
+
+
 @query("artifact_receipts", """
     SELECT export_id, rel_path, bytes, sha256(body) AS sha256, CASE lower(regexp_extract(rel_path, '\\.([^./]+)$', 1)) WHEN 'json' THEN 'application/json' WHEN 'txt' THEN 'text/plain' WHEN 'html' THEN 'text/html' WHEN 'xml' THEN 'text/xml' ELSE 'application/octet-stream' END AS media_type FROM {v_files}
 """)
