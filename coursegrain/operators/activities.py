@@ -173,3 +173,8 @@ def join_findings(edges: DataFrame) -> DataFrame:
         "export_id", F.lit("R01").alias("rule_id"), F.lit("breaks").alias("severity"), F.col("source_kind").alias("subject_kind"), F.col("source_name").alias("subject"),
         F.concat(F.col("source_kind"), F.lit(" "), quoted(F.col("source_name")), F.lit(": "), what, F.lit(" "), F.col("target"), F.lit(" not found in "), where).alias("message"),
     )
+
+
+def week_list(kind: Column) -> Column:
+    """List of a week that shows an activity of this kind."""
+    return F.when(kind.isin("dropbox_folder", "quiz"), "assignments").when(kind == "discussion_topic", "discussions").when(kind == "checklist", "checklist")

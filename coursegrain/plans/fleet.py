@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean, html_to_text
 from ..operators import activities as A
-from ..operators import blocks, duplicates, findings, gold, identity, pages, rubrics, silver, structure, tree
+from ..operators import blocks, duplicates, findings, gold, identity, model, pages, rubrics, silver, structure, tree
 from ..operators import xml as X
 from ..operators import xml_index
 from ..session import shared_folder
@@ -223,6 +223,54 @@ class Fleet:
     def unplaced(self) -> DataFrame:
         return gold.unplaced(self.activities, tree.placed_codes(self.members.filter("role = 'week'")))
 
+    @stored
+    def segment_texts(self) -> DataFrame:
+        return self.segments.select("export_id", "pos", "seg_no", "heading", html_to_text(F.col("fragment")).alias("body"))
+
+    @stored
+    def activity_texts(self) -> DataFrame:
+        """What a course document shows of an activity."""
+        acts = self.activities.withColumn("list", A.week_list(F.col("kind"))).filter("list is not null")
+        return acts.select("export_id", "kind", "name", F.col("resource_code").alias("rcode"), "pos", "list", html_to_text(F.col("html")).alias("body"))
+
+    @stored
+    def front_matter(self) -> DataFrame:
+        """Four fields of each package from its own pages; linked syllabus texts are joined by ``gold.front_matter`` where a crawl has them."""
+        topics = self.pages.select("export_id", F.col("pos").alias("topic_no"), F.col("title").alias("manifest_title"), "html_title", "is_hidden", F.col("body_text").alias("body"))
+        segs = self.segment_texts.select("export_id", F.col("pos").alias("topic_no"), "seg_no", "heading", F.col("body").alias("text"))
+        none = self.raw.sparkSession.createDataFrame([], "export_id string, field string, ref_no int, url string, text string")
+        return gold.front_matter(self.packages.select("export_id"), gold.front_matter_candidates(topics, segs), none)
+
+    @stored
+    def course_entries(self) -> DataFrame:
+        """Everything that a course document holds, an entry a row: fields, pages before week 1, weeks with pages, activities and hidden items, what is placed nowhere, diagnostics."""
+        members = self.members.select("export_id", "pos", "module_pos", "module_title", "role", "week_no")
+        week = {"group_no": F.col("module_pos"), "group_title": F.col("module_title")}
+        nothing, order = F.lit(None).cast("string"), F.col("pos") * 100_000 + F.col("seg_no")
+        body = self.segment_texts.drop("heading")
+        shown = model.entries(self.week_sections.join(body, ["export_id", "pos", "seg_no"]), "weeks", F.col("section"), order, model.section(F.col("section_label"), F.col("page"), F.col("body")), **week)
+        first = tree.placed_codes(self.members.filter("role = 'week'"))
+        activity = model.section(F.col("name"), nothing, F.col("body"))
+        tools = model.entries(first.join(self.activity_texts.drop("pos"), ["export_id", "rcode"]), "weeks", F.col("list"), F.col("pos") * 100_000, activity, **week)
+        hidden = structure.hidden_records(self.nodes).filter("treatment in ('file', 'link')").join(members.filter("role = 'week'"), ["export_id", "pos"])
+        covered = model.entries(hidden, "weeks", gold.hidden_section(F.col("kind")), F.col("pos") * 100_000 + 99_999, model.section(F.concat(F.lit("Hidden: "), "object_name"), nothing, F.col("href")), **week)
+        filled = self.front_matter.filter("field = 'course_introduction' and text is not null").select("export_id")
+        page = gold.topic_label(F.col("title"), F.lit(""), F.col("href"))
+        early = self.pages.join(members.filter("role = 'before'").select("export_id", "pos"), ["export_id", "pos"]).select("export_id", "pos", "href", page.alias("page"), "title", "is_hidden")
+        before = model.entries(gold.before_week_pages(early, filled).join(body, ["export_id", "pos"]), "before_week_1", F.lit("sections"), order, model.section(F.lit(""), F.col("page"), F.col("body")))
+        front = model.entries(self.front_matter.filter("text is not null"), "front_matter", F.col("field"), F.lit(0), model.section(F.lit(""), nothing, F.col("text")))
+        nowhere = self.activity_texts.filter("kind <> 'checklist'").join(first.select("export_id", "rcode").distinct(), ["export_id", "rcode"], "left_anti")
+        loose = model.entries(nowhere, "unplaced_activities", F.col("list"), F.col("pos"), activity)
+        line = model.text(F.concat(F.lit("Routing: "), "module_title", F.lit(": "), "routing_note", F.lit(".")))
+        routing = model.entries(self.routed.filter("routing_note is not null"), "diagnostics", F.lit("lines"), order, line)
+        notes = model.entries(gold.front_matter_findings(self.front_matter), "diagnostics", F.lit("lines"), F.lit(-1), model.text(F.col("message")))
+        return findings.union([shown, tools, covered, before, front, loose, routing, notes])
+
+    @stored
+    def course_model(self) -> DataFrame:
+        """Each course as a nested document, see ``model``."""
+        return model.documents(self.course_entries)
+
     # ----- rules
     @cached_property
     def dated(self) -> DataFrame:

@@ -117,3 +117,17 @@ def test_identity_of_structure_and_edges(fleet):
     assert len(edges) == fleet.edges.count() and len({e.relationship_key for e in edges}) == len(edges)
     grades = [e for e in edges if e.join_type == "grade_item"]
     assert grades and all(e.endpoint_quality == "resolved_endpoints" for e in grades)
+
+
+def test_course_model(fleet):
+    import json
+
+    rows = fleet.course_model.collect()
+    assert [(r.path, r.part) for r in rows] == [("", 0)]
+    course = json.loads(rows[0].doc)
+    weeks = {w["title"]: w for w in course["weeks"]}
+    assert "Week 1" in weeks and any(s["source_page"] == "Week 1 Learning Objectives" for s in weeks["Week 1"]["learning_objectives"])
+    shown = {s["label"] for w in course["weeks"] for n in ("assignments", "discussions", "checklist") for s in w.get(n, [])}
+    nowhere = [s["label"] for sections in course["unplaced_activities"].values() for s in sections]
+    assert sorted(nowhere) == ["Open Questions", "Peer Review"] and not shown & set(nowhere) and shown
+    assert course["diagnostics"]["lines"]
