@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import scoped_key
 from ..operators import contracts, identity, runs
-from ..session import shared_folder
-from ..sources import versions
+from ..session import shared_folder, stored_table
+from ..sources import artifacts, versions
 from .registry import Tables, query
 from .structure import export_names, orgunit_rows
 
@@ -101,6 +101,22 @@ def artifact_receipts(t: Tables) -> DataFrame:
     return identity.receipts(t.v_files.select("export_id", "rel_path", "bytes", F.sha2("body", 256).alias("sha256")))
 
 
+@query("written_receipts", """
+    SELECT 'course-' || coalesce(source, 'none') AS export_id, 'docs/' || doc_id || CASE WHEN lang = 'en' THEN '.txt' ELSE '.json' END AS rel_path, octet_length(encode(coalesce(text, '')))::BIGINT AS bytes,
+           sha256(coalesce(text, '')) AS sha256, CASE WHEN lang = 'en' THEN 'text/plain' ELSE 'application/json' END AS media_type, false AS differs FROM {documents}
+""")
+def written_receipts(t: Tables) -> DataFrame:
+    """Documents written as files of their packages, receipts from what the folder holds, held against what was meant to be written."""
+    name = F.concat(F.lit("docs/"), F.col("doc_id").cast("string"), F.when(F.col("lang") == "en", ".txt").otherwise(".json"))
+    files = t.documents.select(F.concat(F.lit("course-"), F.coalesce("source", F.lit("none"))).alias("export_id"), name.alias("rel_path"), F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("content"))
+    folder = shared_folder(t.spark, "artifacts")
+    artifacts.write(files, folder)
+    found = stored_table(identity.receipts(artifacts.scan(t.spark, folder)), "receipts")
+    meant = files.select("export_id", "rel_path", F.octet_length("content").cast("bigint").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    wrong = identity.verify_receipts(meant, found).select("export_id", "rel_path", F.lit(True).alias("_wrong"))
+    return found.join(wrong, ["export_id", "rel_path"], "left").withColumn("differs", F.coalesce("_wrong", F.lit(False))).drop("_wrong")
+
+
 @query("verify_receipts", """
     WITH r AS (SELECT export_id, CASE WHEN bytes % 11 = 0 THEN '../' || rel_path ELSE rel_path END AS rel_path, sha256(CASE WHEN bytes % 7 = 0 THEN body || '!' ELSE body END) AS sha FROM {v_files}),
          a AS (SELECT export_id, rel_path, sha256(body) AS sha FROM {v_files} WHERE bytes % 5 <> 0)

@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from coursegrain import session
-from coursegrain.operators import blocks, findings, silver, xml, xml_index
+from coursegrain.operators import blocks, findings, identity, silver, xml, xml_index
 from coursegrain.plans.fleet import Fleet
-from coursegrain.sources import archives, packages, sinks
+from coursegrain.sources import archives, artifacts, packages, sinks
 
 
 def xml_files(spark, *texts):
@@ -64,6 +64,23 @@ def test_members_beyond_a_cell(spark, tmp_path):
     assert archives.directory(spark, str(tmp_path)).limit(0).count() == 0
 
 
+def test_receipts_of_written_files(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    files = spark.createDataFrame([("a", "x/one.txt", b"1"), ("a", "two.json", b"{}" * 2_000_000), ("b", "three.md", None), ("b", "v.txt", b"v")], "export_id string, rel_path string, content binary")
+    artifacts.write(files, folder)
+    receipts = identity.receipts(artifacts.scan(spark, folder)).cache()
+    want = {(r["export_id"], r["rel_path"]): hashlib.sha256(r["content"] or b"").hexdigest() for r in files.collect()}
+    assert {(r["export_id"], r["rel_path"]): r["sha256"] for r in receipts.collect()} == want
+    assert identity.verify_receipts(receipts, artifacts.scan(spark, folder)).count() == 0
+    (tmp_path / "out/a/x/one.txt").write_text("2")
+    os.rename(tmp_path / "out/b/v.txt", tmp_path / "out/b/w.txt")
+    (tmp_path / "out/b/_draft-1").write_text("left by a lost task")
+    problems = {(r["rel_path"], r["problem"]) for r in identity.verify_receipts(receipts, artifacts.scan(spark, folder)).collect()}
+    assert problems == {("x/one.txt", "artifact checksum mismatch"), ("v.txt", "missing artifact")}
+    with pytest.raises(Exception, match="unsafe artifact path"):
+        artifacts.write(files.limit(1).withColumn("rel_path", F.lit("../x")), folder)
+
+
 def test_long_tags(spark):
     long = ["<p " + "a" * 200_000 + ">x</p>", "<p class='" + "b " * 100_000 + "'>x</p>", "<p " + 'c="1" ' * 30_000 + ">x</p>", '<p title="never closed ' + "d" * 100_000]
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(long)], "id int, fragment string")
