@@ -106,7 +106,8 @@ def format_points(c: Column) -> Column:
 
 def format_bytes(n: Column) -> Column:
     x = n.cast("double")
+    one = lambda size: F.format_string("%.1f", F.bround(x / size, 1))  # noqa: E731  an exact half goes to the even digit
     out = F.when(x < 1024, F.concat(n.cast("long").cast("string"), F.lit(" B")))
     for unit, size in (("KB", 1024.0), ("MB", 1024.0 ** 2)):
-        out = out.when(x < size * 1024, F.concat(F.format_string("%.1f", x / size), F.lit(f" {unit}")))
-    return out.otherwise(F.concat(F.format_string("%.1f", x / 1024.0 ** 3), F.lit(" GB")))
+        out = out.when(x < size * 1024, F.concat(one(size), F.lit(f" {unit}")))
+    return out.otherwise(F.concat(one(1024.0 ** 3), F.lit(" GB")))
