@@ -28,6 +28,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,18 +43,21 @@ from ..session import shared_folder
 from .base import chunks
 from .bpe import PATTERN, byte_letters
 
-#: Words kept per worker, none longer than CACHE_CHARS, in two generations of half the size.
+#: Words kept per worker, none longer than CACHE_CHARS, and their tokens; when there are more, it starts anew.
 CACHE_WORDS = 400_000
 CACHE_CHARS = 48
+CACHE_TOKENS = 1 << 24
 #: Texts are aligned in slices of about this many characters, a longer text in one of its own.
 SLICE_CHARS = 1 << 18
 #: A batch is closed at this many (document, pair) entries.
-BATCH_ENTRIES = 1_500_000
+BATCH_ENTRIES = 1_000_000
 #: Groups of more links than this are counted by their distinct ids.
 WIDE = 1 << 12
 
 #: A word with the spaces before it: it starts at a space after a visible character and ends before the next such space.
 WORD = re.compile(r" [^ ]*(?:(?<=\s) [^ ]*)*")
+#: Where there is none of these, every space begins a word.
+INNER = re.compile(r"\s ")
 SPACE = "▁"
 
 
@@ -62,15 +66,16 @@ class Pair:
 
     def __init__(self, file_a: str, file_b: str, ranked: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a = Tokenizer.from_file(file_a)
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
         self.b = sentencepiece.SentencePieceProcessor(model_file=file_b)
         with open(file_a, encoding="utf-8") as source:
             model = json.load(source)
-        letters = {letter: b for b, letter in byte_letters().items()}
-        vocab = self.a.get_vocab(with_added_tokens=False)
+        letters, vocab = {letter: b for b, letter in byte_letters().items()}, model["model"]["vocab"]
+        self.a = None
+        if not ranked:
+            self.a = Tokenizer.from_file(file_a)
+            self.a.encode_special_tokens = True
+            self.a.no_truncation()
+            self.a.no_padding()
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, no in vocab.items():
             self.bytes_a[no] = bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode()
@@ -89,54 +94,87 @@ class Pair:
         if ranked:
             used = {vocab[x] for x in letters} | {vocab[x] for x in _merged(model)}
             self.ranks = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={self.bytes_a[i]: i for i in used}, special_tokens={})
-        self.known: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self._forget()
 
-    def _both(self, parts: list[str]) -> list[tuple]:
-        """Per part, which begins with a space: ids of A, ids of B, and whether both give its bytes again."""
+    def _both(self, words: list[str]) -> tuple[list, list, list[bool]]:
+        """Per word, which has a space before it: ids of A, ids of B, and whether both give its bytes again."""
+        parts = [" " + w for w in words]
         if self.ranks is not None:
             side_a = list(map(self.ranks.encode_ordinary, parts))
         else:
             side_a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        side_b = self.b.encode([p[1:] for p in parts], num_threads=1)
-        found = []
-        for part, a, b in zip(parts, side_a, side_b, strict=True):
-            b = b if part != " " else [self.space]
-            raw = part.encode("utf-8")
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-            found.append((tuple(a), tuple(b), same))
-        return found
-
-    def tokens(self, texts: list[str]) -> tuple[list[int], list[int], list[int], list[int]]:
+        side_b = [ids if w else [self.space] for w, ids in zip(words, self.b.encode(words, num_threads=1), strict=True)]
+        raw = [p.encode("utf-8") for p in parts]
+        again = lambda table, ids: b"".join(map(table.__getitem__, ids))
+        # Nearly always all of them do; only else each is looked at.
+        if all(again(table, chain.from_iterable(side)) == b"".join(raw) for table, side in ((self.bytes_a, side_a), (self.bytes_b, side_b))):
+            return side_a, side_b, [True] * len(words)
+        return side_a, side_b, [again(self.bytes_a, x) == r and again(self.bytes_b, y) == r for x, y, r in zip(side_a, side_b, raw, strict=True)]
+
+    def _words(self, text: str) -> list[str]:
+        """Words without the space that each has before it."""
+        if not text or not self.by_word:
+            return [text] if text else []
+        spaced = " " + text
+        return [w[1:] for w in WORD.findall(spaced)] if INNER.search(spaced) else text.split(" ")
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids_a, self.ids_b, self.broken = Rows(), Rows(), np.zeros(0, np.int64)
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """All ids of A and of B, and per text how many; a text that either side doesn't give again has none."""
-        ids_a, ids_b, n_a, n_b = [], [], [], []
-        cut = [WORD.findall(" " + t) if t else [] for t in texts] if self.by_word else [[" " + t] if t else [] for t in texts]
-        missing = {w for words in cut for w in words if w not in self.known}
-        fresh = []
-        for word in missing:
-            if word in self.older:
-                self.known[word] = self.older[word]
-            else:
-                fresh.append(word)
-        self.known.update(zip(fresh, self._both(fresh), strict=True))
-        known = self.known
-        for words in cut:
-            from_a, from_b, good = len(ids_a), len(ids_b), True
-            for word in words:
-                a, b, same = known[word]
-                ids_a += a
-                ids_b += b
-                good &= same
-            if not good:
-                del ids_a[from_a:], ids_b[from_b:]
-            n_a.append(len(ids_a) - from_a)
-            n_b.append(len(ids_b) - from_b)
-        for word in missing:
-            if len(word) > CACHE_CHARS:
-                del known[word]
-        if len(known) > CACHE_WORDS // 2:
-            self.older, self.known = known, {}
-        return ids_a, ids_b, n_a, n_b
+        if self.ids_a.size > CACHE_WORDS or self.ids_a.used + self.ids_b.used > CACHE_TOKENS:
+            self._forget()
+        cut = [self._words(t) for t in texts]
+        words = list(chain.from_iterable(cut))
+        found = list(map(self.known.get, words))
+        fresh = list({w for w, f in zip(words, found, strict=True) if f is None})
+        if fresh:
+            side_a, side_b, same = self._both(fresh)
+            number = dict(zip(fresh, range(self.ids_a.size, self.ids_a.size + len(fresh)), strict=True))
+            self.broken = np.concatenate([self.broken, self.ids_a.size + np.flatnonzero(~np.array(same, bool))])
+            self.ids_a.add(side_a)
+            self.ids_b.add(side_b)
+            found = [number[w] if f is None else f for w, f in zip(words, found, strict=True)]
+            self.known.update((w, n) for w, n in number.items() if len(w) < CACHE_CHARS)
+        numbers = np.fromiter(found, np.int64, len(found))
+        owner = np.repeat(np.arange(len(cut)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        if len(self.broken):
+            good = np.ones(len(cut), bool)
+            good[owner[np.isin(numbers, self.broken)]] = False
+            numbers, owner = numbers[good[owner]], owner[good[owner]]
+        counts = [np.bincount(owner, side.counts[numbers], len(cut)).astype(np.int64) for side in (self.ids_a, self.ids_b)]
+        return self.ids_a.of(numbers), self.ids_b.of(numbers), *counts
+
+
+def _roomy(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The same array with room for ``more`` behind what is used; it doubles, so that adding copies little."""
+    return array if used + more <= len(array) else np.concatenate([array[:used], np.zeros(used + 2 * more, array.dtype)])
+
+
+class Rows:
+    """Lists of numbers one after another in one array."""
+
+    def __init__(self) -> None:
+        self.values, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.counts, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, rows: list) -> None:
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        total, first, last = int(counts.sum()), self.size, self.size + len(rows)
+        self.values = _roomy(self.values, self.used, total)
+        self.starts, self.counts = _roomy(self.starts, first, len(rows)), _roomy(self.counts, first, len(rows))
+        self.values[self.used : self.used + total] = np.fromiter(chain.from_iterable(rows), np.int32, total)
+        self.starts[first:last], self.counts[first:last] = self.used + np.cumsum(counts) - counts, counts
+        self.used, self.size = self.used + total, last
+
+    def of(self, numbers: np.ndarray) -> np.ndarray:
+        """The lists of these numbers, one after another."""
+        counts = self.counts[numbers]
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.values[np.repeat(self.starts[numbers] - ends + counts, counts) + np.arange(total)].astype(np.int64)
 
 
 def _merged(model: dict) -> list[str]:
@@ -229,8 +267,8 @@ class Slice:
     def __init__(self, pair: Pair, texts: list[str]) -> None:
         ids_a, ids_b, n_a, n_b = pair.tokens(texts)
         self.pair, self.count = pair, len(texts)
-        self.a, self.b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-        self.n_a, self.n_b = np.array(n_a, np.int64), np.array(n_b, np.int64)
+        self.a, self.b = ids_a, ids_b
+        self.n_a, self.n_b = n_a, n_b
         self.stop_a = np.cumsum(self.n_a)
         ends_a, ends_b = np.cumsum(pair.size_a[self.a]), np.cumsum(pair.size_b[self.b])
         full = np.flatnonzero(self.n_a)
