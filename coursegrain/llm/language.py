@@ -166,7 +166,8 @@ def _sampled(docs: DataFrame, per_language: int) -> DataFrame:
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     keys = known.select("doc_id", "lang", F.xxhash64("text").alias("_text")).distinct()
     keys = stored(keys.withColumn("_hash", hash60(F.concat_ws(":", F.col("doc_id").cast("string"), "_text"), "lang:")), "language-keys")
-    counts = keys.groupBy("lang").agg(F.count("*").alias("_rows"))
+    # A row per language: sent to all tasks, so that the others' rows needn't be dealt out by language before the threshold has thinned them.
+    counts = F.broadcast(keys.groupBy("lang").agg(F.count("*").alias("_rows")))
     few = keys.join(counts, "lang").filter(F.col("_hash") < F.lit(float(1 << 60)) * (1.3 * per_language + 50) / F.col("_rows"))
     first = W.partitionBy("lang").orderBy("_hash", "doc_id", "_text")
     chosen = few.withColumn("_no", F.row_number().over(first)).filter(F.col("_no") <= per_language).select("doc_id", "lang", "_text")
