@@ -202,7 +202,10 @@ class WarcReader(DataSourceReader):
             if len(buffer) - at >= length + 4:
                 at += length + 4
             else:  # past the block without reading it
-                source.seek(length + 4 - (len(buffer) - at), 1)
+                end = source.tell() + length + 4 - (len(buffer) - at)
+                if end > source.size():
+                    raise ValueError(f"{path} ends inside a record")
+                source.seek(end)
                 buffer, at = b"", 0
             if wanted:
                 payload, payload_bytes = None, None

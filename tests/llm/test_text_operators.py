@@ -100,6 +100,18 @@ def test_warc_pushdown(spark, tmp_path):
     assert warc.read(spark, folder).filter("record_id in ('<urn:page:1>')").first()["payload"] == b"x" * 10
 
 
+def test_warc_cut_off_archive(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/1", "x" * 5000)], "page_id long, url string, html string")
+    folder = tmp_path / "archive"
+    warc.write(pages, str(folder))
+    for file in folder.iterdir():
+        if not file.name.startswith((".", "_")) and file.stat().st_size:
+            file.write_bytes(file.read_bytes()[:-900])
+    for wanted in ("record_type = 'response'", "record_type = 'revisit'"):  # read or skipped
+        with pytest.raises(Exception, match="ends inside a record"):
+            warc.read(spark, str(folder)).filter(wanted).collect()
+
+
 def test_warc_min_bytes(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc")], "page_id long, url string, html string")
     kinds = {r["page_id"]: r["record_type"] for r in warc.round_trip(pages, min_bytes=3).collect()}
