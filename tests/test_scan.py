@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from coursegrain.operators import activities, duplicates, tree
-from coursegrain.operators.scan import first_per, prefix_scan
+from coursegrain.operators.scan import first_per, prefix_scan, together
 from coursegrain.sources import sinks
 
 
@@ -146,3 +146,25 @@ def test_unchanged_buckets_are_not_rewritten(spark, tmp_path):
     after = {b: sorted(os.listdir(f"{path}/export_bucket={b}")) for b in (0, 1)}
     assert after[0] == before[0] and after[1] != before[1]
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["x", "z"]
+
+
+def test_scans_of_rows_together_move_nothing(spark):
+    rows = spark.range(300).selectExpr("cast(id % 3 as string) as k", "cast(id % 2 as string) as l", "id as pos")
+    out = prefix_scan(together(rows, "k"), ["k", "l"], "pos", {"n": ("sum", F.lit(1))}, F.floor(F.col("pos") / 7), in_place=True)
+    moved = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", final_plan(out))
+    assert moved and all(re.fullmatch(r"k#\d+", m) for m in moved)
+
+
+def test_prefix_scan_of_null_keys_and_places(spark):
+    rows = [(k, pos) for k in ("a", None) for pos in [None, *range(40)]]
+    df = spark.createDataFrame(rows, "k string, pos bigint")
+    for in_place in (False, True):
+        out = prefix_scan(df, ["k"], "pos", {"n": ("sum", F.lit(1))}, F.floor(F.col("pos") / 7), in_place)
+        assert {(r.k, r.pos): r.n for r in out.collect()} == {(k, p): 1 if p is None else p + 2 for k, p in rows}
+
+
+def test_edges_of_a_package_move_once(spark):
+    from coursegrain.catalog import QUERIES
+
+    moved = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", final_plan(QUERIES["activities_union"](spark, "/root/testdata/sf0.001")))
+    assert moved and not any(re.fullmatch(r"export_id#\d+, \w+#\d+", m) for m in moved)
