@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import contract_schemas, json_contracts
+from ..sources.standin import spread
 from .registry import Tables, query
 
 _DIGEST = "0123456789abcdef" * 4
@@ -67,7 +68,7 @@ def contract_progress(t: Tables) -> DataFrame:
         .when(kind == "purchase", F.to_json(F.struct(named("run_end"), F.lit("ok").alias("status"), outputs.alias("outputs"))))
         .otherwise(F.to_json(F.struct(named("resume"), F.lit(1).alias("index"))))
     )
-    return said(t.events.select("event_id", doc.alias("doc")), "progress/1", "event_id")
+    return said(spread(t.events).select("event_id", doc.alias("doc")), "progress/1", "event_id")
 
 
 @query("contract_activities", """
@@ -145,7 +146,7 @@ def contract_run(t: Tables) -> DataFrame:
     dirty = F.when(cust % 5 == 0, swap(made, '"DIRTY"', "1")).otherwise(swap(made, '"DIRTY"', "false"))
     typed = F.when(cust % 4 == 0, swap(dirty, '"B"', "2")).otherwise(dirty)
     noted = F.when(cust % 3 == 0, swap(typed, '"notes":[],', "")).otherwise(typed)
-    return said(t.orders.select(F.col("o_orderkey").alias("run_no"), F.when(F.col("o_orderpriority") == "5-LOW", F.lit("{")).otherwise(noted).alias("doc")), "run/1", "run_no")
+    return said(spread(t.orders).select(F.col("o_orderkey").alias("run_no"), F.when(F.col("o_orderpriority") == "5-LOW", F.lit("{")).otherwise(noted).alias("doc")), "run/1", "run_no")
 
 
 @query("contract_blueprint", """
@@ -188,4 +189,4 @@ def contract_rubrics(t: Tables) -> DataFrame:
         points, F.lit(',"points_raw":"","description":""}]}]}'),
     )
     doc = F.concat(F.lit('{"schema":"rubrics/1","source_file":"f","diagnostics":[],"rubrics":'), F.when(size % 3 == 0, F.lit("{}")).otherwise(F.concat(F.lit("["), rubric, F.lit("]"))), F.lit("}"))
-    return said(t.part.select(F.col("p_partkey").alias("file_no"), doc.alias("doc")), "rubrics/1", "file_no")
+    return said(spread(t.part).select(F.col("p_partkey").alias("file_no"), doc.alias("doc")), "rubrics/1", "file_no")

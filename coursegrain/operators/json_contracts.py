@@ -2,18 +2,22 @@
 
 A contract is an ordinary schema document (``$ref``, ``allOf``, ``oneOf``, ``not``, types,
 ``const``, ``enum``, ``pattern``, bounds, ``required``, ``additionalProperties``, arrays).
-Compiling it gives one rule set per place where a new row has to begin: the
-document itself, the entries of an array, the values of an open object.  What
-lies in nested objects is checked by paths inside the row.  The rows of a depth
-are checked together, whichever place they come from, and make those of the next;
-a definition that contains itself only means that rows go on until none is left.
+Compiling it gives one expression per place where a new row has to begin.  What
+lies in nested objects, arrays and open objects is checked inside the row; only a
+definition that contains itself begins new rows, after ``FOLLOWED`` turns.  The
+rows of a depth are checked together, whichever place they come from, and make
+those of the next, until none is left.
+
+Reading a value costs as much as is in it, so tests of objects and arrays only ask
+for their keys or their length.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
+from itertools import count
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -21,17 +25,85 @@ from pyspark.sql import functions as F
 
 from ..session import stored_table
 
-_NUMBERS = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+FOLLOWED = 2
+
+_FOUND = "array<struct<path:string,violation:string>>"
+_ROWS = "array<struct<path:string,place:int,node:string>>"
+
+
+@dataclass
+class Rules:
+    """SQL of what a value breaks, one by one and as arrays, and of the rows that begin inside it; each part may be NULL."""
+
+    ones: list[str] = field(default_factory=list)
+    many: list[str] = field(default_factory=list)
+    rows: list[str] = field(default_factory=list)
+    #: numbers of the places of those rows
+    places: set[int] = field(default_factory=set)
+
+    def found(self) -> str | None:
+        return _flat([f"array_compact(array({', '.join(self.ones)}))"] * bool(self.ones) + self.many)
+
+    def inner(self) -> str | None:
+        return _flat(self.rows)
+
+    def add(self, other: Rules, wrap=lambda sql: sql) -> None:
+        """All of ``other``, inside a condition or a loop."""
+        self.many += [wrap(sql) for sql in [other.found()] if sql]
+        self.rows += [wrap(sql) for sql in [other.inner()] if sql]
+        self.places |= other.places
+
+
+@dataclass(frozen=True)
+class Value:
+    """A value at a path below a variable; ``at`` is its path in the row's node, ``there`` whether it exists."""
+
+    base: str
+    path: tuple[str, ...] = ()
+    at: tuple[str, ...] = ()
+    there: str = "true"
+
+    def get(self, kind: str = "variant") -> str:
+        way = "$" + "".join(f'["{p}"]' if "'" in p else f"['{p}']" for p in self.path)
+        return f"try_variant_get({self.base}, {_text(way)}, '{kind}')" if self.path or kind != "variant" else self.base
+
+    def below(self, name: str, keys: str) -> Value:
+        return Value(self.base, (*self.path, name), (*self.at, _text(name)), f"array_contains({keys}, {_text(name)})")
+
+    def where(self, *more: str) -> str:
+        """The path in the document: that of the row and that in the row's node."""
+        pieces = (*self.at, *more)
+        if not pieces:
+            return "path"
+        below = pieces[0] if len(pieces) == 1 else f"concat_ws('/', {', '.join(pieces)})"
+        return f"CASE WHEN path = '' THEN {below} ELSE concat(path, '/', {below}) END"
+
+    def breaks(self, said: str) -> str:
+        return f"named_struct('path', {self.where()}, 'violation', {said})"
+
+    def is_a(self, kind: str) -> str:
+        """Whether the value has a JSON type; a whole number written with a point is an integer, too."""
+        named = f"schema_of_variant({self.get()})"
+        number = f"({named} IN ('BIGINT', 'INT', 'SMALLINT', 'TINYINT', 'DOUBLE', 'FLOAT') OR startswith({named}, 'DECIMAL'))"
+        return {
+            "object": f"{self.get('struct<>')} IS NOT NULL", "array": f"{self.get('array<struct<>>')} IS NOT NULL", "string": f"{named} = 'STRING'", "boolean": f"{named} = 'BOOLEAN'",
+            "null": f"is_variant_null({self.get()})", "number": number, "integer": f"({self.get('double')} % 1 = 0 AND {number})",
+        }[kind]
+
+    def is_any(self, kinds: list[str]) -> str:
+        """Objects and arrays first: the others look at all that the value holds."""
+        return _any(self.is_a(k) for k in sorted(kinds, key=lambda k: k not in ("object", "array", "null")))
+
+    def equals(self, wanted: Any) -> str:
+        kind = {str: "string", bool: "boolean", int: "number", float: "number"}[type(wanted)]
+        read, literal = {"string": (self.get("string"), _text(wanted) if kind == "string" else ""), "boolean": (self.get("boolean"), str(wanted).lower()), "number": (self.get("double"), f"double('{wanted}')")}[kind]
+        return f"({read} = {literal} AND {self.is_a(kind)})"
 
 
 class Place:
-    """Rules for one kind of row: what its node breaks, and the rows that begin inside it."""
+    """What is checked in one kind of row, and the kinds of rows that begin inside it."""
 
-    def __init__(self) -> None:
-        #: node -> (path below the node, text or null)
-        self.checks: list[Callable[[Column], tuple[str, Column]]] = []
-        #: node -> array of (path below the node, variant); and the number of the rules for those
-        self.inner: list[tuple[Callable[[Column], Column], int]] = []
+    rules = Rules()
 
 
 class Compiled:
@@ -41,14 +113,15 @@ class Compiled:
         self.schema = schema
         self.numbers: dict[str, int] = {}
         self.places: list[Place] = []
+        self.fresh = count()
         self._place(schema)
 
     def _place(self, schema: dict[str, Any]) -> int:
         name = json.dumps(schema, sort_keys=True)
         if name not in self.numbers:
             self.numbers[name] = len(self.places)
-            self.places.append(Place())
-            self._walk(self.places[self.numbers[name]], schema, (), lambda node: F.lit(True), ())
+            self.places.append(place := Place())
+            place.rules = self._walk(schema, Value("n"), (), (name,))
         return self.numbers[name]
 
     def _resolved(self, schema: dict[str, Any], seen: tuple[str, ...]) -> tuple[dict[str, Any], tuple[str, ...]]:
@@ -59,112 +132,103 @@ class Compiled:
             schema = reduce(lambda at, key: at[key], schema["$ref"].removeprefix("#/").split("/"), self.schema)
         return schema, seen
 
-    def _walk(self, place: Place, schema: dict[str, Any], path: tuple[str, ...], applies, seen: tuple[str, ...]) -> None:
-        """Rules of ``schema`` for the value at ``path`` of a row's node, where ``applies`` holds."""
+    def _walk(self, schema: dict[str, Any], v: Value, seen: tuple[str, ...], turns: tuple[str, ...]) -> Rules:
+        """Rules of ``schema`` for a value; ``turns`` are the schemas of the arrays and open objects around it."""
         schema, seen = self._resolved(schema, seen)
-        at = "/".join(path)
-        value = lambda node: _get(node, path)
+        rules = Rules()
 
-        def check(broken: Callable[[Column], Column], text: str | Callable[[Column], Column], where: str = at) -> None:
-            def rule(node: Column) -> tuple[str, Column]:
-                said = F.lit(text) if isinstance(text, str) else text(node)
-                return where, F.when(applies(node) & value(node).isNotNull() & broken(node), said)
-
-            place.checks.append(rule)
+        def check(broken: str, said: str) -> None:
+            rules.ones.append(f"CASE WHEN {broken} AND {v.there} THEN {v.breaks(_text(said))} END")
 
         if "type" in schema:
             kinds = [schema["type"]] if isinstance(schema["type"], str) else schema["type"]
-            check(lambda node: ~_any(_is(value(node), k) for k in kinds), f"type: {' or '.join(kinds)}")
+            check(f"NOT {v.is_any(kinds)}", f"type: {' or '.join(kinds)}")
         for word in ("const", "enum"):
             if word in schema:
                 allowed = [schema[word]] if word == "const" else schema[word]
-                check(lambda node, allowed=allowed: ~_any(_equal(value(node), a) for a in allowed), f"{word}: {', '.join(map(str, allowed))}")
-        text = lambda node: _get(node, path, "string")
+                check(f"NOT {_any(v.equals(a) for a in allowed)}", f"{word}: {', '.join(map(str, allowed))}")
+        # the type is asked for after the rule, as presence is: a value in order needs no second look
+        text, is_text = v.get("string"), v.is_a("string")
         if "pattern" in schema:
-            check(lambda node: _is(value(node), "string") & ~text(node).rlike(schema["pattern"]), f"pattern: {schema['pattern']}")
+            check(f"NOT rlike({text}, {_text(schema['pattern'])}) AND {is_text}", f"pattern: {schema['pattern']}")
         if "pattern" in schema.get("not", {}):
-            check(lambda node: _is(value(node), "string") & text(node).rlike(schema["not"]["pattern"]), f"not: {schema['not']['pattern']}")
+            check(f"rlike({text}, {_text(schema['not']['pattern'])}) AND {is_text}", f"not: {schema['not']['pattern']}")
         if "minLength" in schema:
-            check(lambda node: _is(value(node), "string") & (F.length(text(node)) < schema["minLength"]), f"minLength: {schema['minLength']}")
+            check(f"length({text}) < {schema['minLength']} AND {is_text}", f"minLength: {schema['minLength']}")
         if "minimum" in schema:
-            check(lambda node: _is(value(node), "number") & (_get(node, path, "double") < schema["minimum"]), f"minimum: {schema['minimum']}")
-        for name in schema.get("required", ()):
-            check(lambda node, name=name: _is(value(node), "object") & _get(node, (*path, name)).isNull(), f"required: {name}")
+            check(f"{v.get('double')} < {schema['minimum']} AND {v.is_a('number')}", f"minimum: {schema['minimum']}")
         for part in schema.get("allOf", ()):
-            self._walk(place, part, path, applies, seen)
+            rules.add(self._walk(part, v, seen, turns))
         if "oneOf" in schema:
-            chosen = [(self._resolved(part, seen), part) for part in schema["oneOf"]]
-            guards = [self._guard(part, path) for (part, _), _ in chosen]
-            check(lambda node: ~_any(g(node) for g in guards), "oneOf: no alternative fits")
-            for guard, (_, part) in zip(guards, chosen, strict=True):
-                self._walk(place, part, path, lambda node, guard=guard: applies(node) & guard(node), seen)
-        known = schema.get("properties", {})
-        for name, part in known.items():
-            self._walk(place, part, (*path, name), applies, seen)
-        rest = schema.get("additionalProperties", True)
-        if rest is False:
-            extra = lambda node: F.array_except(F.coalesce(F.json_object_keys(F.to_json(value(node))), F.array().cast("array<string>")), F.array(*map(F.lit, known)).cast("array<string>"))
-            check(lambda node: _is(value(node), "object") & (F.size(extra(node)) > 0), lambda node: F.concat(F.lit("additionalProperties: "), F.array_join(F.array_sort(extra(node)), ", ")))
-        elif rest is not True:
-            place.inner.append((self._entries(path, applies, known), self._place(rest)))
+            chosen = [(self._guard(self._resolved(part, seen)[0], v), part) for part in schema["oneOf"]]
+            check(f"NOT {_any(guard for guard, _ in chosen)}", "oneOf: no alternative fits")
+            for guard, part in chosen:
+                rules.add(self._walk(part, v, seen, turns), lambda sql, guard=guard: f"CASE WHEN {guard} AND {v.there} THEN {sql} END")
+        rules.add(*self._object(schema, v, seen, turns))
         if "items" in schema:
-            place.inner.append((self._items(path, applies), self._place(schema["items"])))
+            x, i = f"x{next(self.fresh)}", f"i{next(self.fresh)}"
+            self._each(rules, schema["items"], v, v.get("array<variant>"), f"({x}, {i})", x, f"string({i})", turns)
+        return rules
+
+    def _object(self, schema: dict[str, Any], v: Value, seen: tuple[str, ...], turns: tuple[str, ...]):
+        """Rules for the fields of an object, and the condition and names they need: its keys are read once."""
+        keys = f"k{next(self.fresh)}"
+        known, rest, inside = schema.get("properties", {}), schema.get("additionalProperties", True), Rules()
+        if schema.get("required"):
+            inside.many.append(f"transform(array_except({_texts(schema['required'])}, {keys}), m -> {v.breaks('concat(' + _text('required: ') + ', m)')})")
+        if rest is False:
+            extra = f"array_except({keys}, {_texts(known)})"
+            inside.ones.append(f"CASE WHEN size({extra}) > 0 THEN {v.breaks(f'concat({_text("additionalProperties: ")}, array_join(array_sort({extra}), {_text(", ")}))')} END")
+        for name, part in known.items():
+            of = self._walk(part, v.below(name, keys), seen, turns)
+            inside.ones += of.ones
+            of.ones = []
+            inside.add(of)
+        if isinstance(rest, dict):
+            e = f"e{next(self.fresh)}"
+            entries = f"map_entries({v.get('map<string,variant>')})"
+            others = f"filter({entries}, {e} -> NOT array_contains({_texts(known)}, {e}.key))" if known else entries
+            self._each(inside, rest, v, others, e, f"{e}.value", f"{e}.key", turns)
+        return inside, lambda sql: f"flatten(transform(array(map_keys({v.get('map<string,struct<>>')})), {keys} -> CASE WHEN {keys} IS NOT NULL THEN {sql} END))"
+
+    def _each(self, rules: Rules, schema: dict[str, Any], v: Value, entries: str, variables: str, node: str, key: str, turns: tuple[str, ...]) -> None:
+        """Rules for every entry of an array or open object: inside the row, or in rows of their own."""
+        name = json.dumps(schema, sort_keys=True)
+        # an empty key of the node itself adds nothing to a path, which only a new row can tell
+        if turns.count(name) < FOLLOWED and (v.at or key.startswith("string(")):
+            of = self._walk(schema, Value(node, (), (*v.at, key)), (), (*turns, name))
+            rules.add(of, lambda sql: f"flatten(array_compact(transform({entries}, {variables} -> {sql})))")
+        else:
+            no = self._place(schema)
+            rules.places.add(no)
+            rules.rows.append(f"transform({entries}, {variables} -> named_struct('path', {v.where(key)}, 'place', {no}, 'node', to_json({node})))")
 
-    def _guard(self, schema: dict[str, Any], path: tuple[str, ...]):
+    @staticmethod
+    def _guard(schema: dict[str, Any], v: Value) -> str:
         """Whether an alternative is meant: by its type and by what its properties are fixed to."""
         kinds = schema.get("type", [])
         kinds = [kinds] if isinstance(kinds, str) else kinds
         fixed = {n: p["const"] for n, p in schema.get("properties", {}).items() if "const" in p}
+        tests = [v.is_any(kinds)] * bool(kinds) + [_any([Value(v.base, (*v.path, n)).equals(wanted)]) for n, wanted in fixed.items()]
+        return f"({' AND '.join(tests)})" if tests else "true"
 
-        def guard(node: Column) -> Column:
-            right = _any(_is(_get(node, path), k) for k in kinds) if kinds else F.lit(True)
-            return reduce(lambda a, n: a & F.coalesce(_equal(_get(node, (*path, n)), fixed[n]), F.lit(False)), fixed, right)
-
-        return guard
-
-    @staticmethod
-    def _items(path: tuple[str, ...], applies):
-        step = "/".join((*path, ""))
-
-        def rows(node: Column) -> Column:
-            entries = F.transform(_get(node, path, "array<variant>"), lambda x, i: F.struct(F.concat(F.lit(step), i.cast("string")).alias("path"), x.alias("node")))
-            return F.when(applies(node) & _is(_get(node, path), "array"), entries)
-
-        return rows
-
-    @staticmethod
-    def _entries(path: tuple[str, ...], applies, known: dict):
-        step = "/".join((*path, ""))
-
-        def rows(node: Column) -> Column:
-            entries = F.map_entries(_get(node, path, "map<string,variant>"))
-            others = F.filter(entries, lambda e: ~e["key"].isin(*known)) if known else entries
-            return F.when(applies(node) & _is(_get(node, path), "object"), F.transform(others, lambda e: F.struct(F.concat(F.lit(step), e["key"]).alias("path"), e["value"].alias("node"))))
-
-        return rows
 
+def _text(value: str) -> str:
+    """A SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _get(node: Column, path: tuple[str, ...], kind: str = "variant") -> Column:
-    return F.try_variant_get(node, "$" + "".join(f"['{p}']" for p in path), kind) if path or kind != "variant" else node
 
+def _texts(values) -> str:
+    return f"array({', '.join(map(_text, values))})" if values else "cast(array() AS array<string>)"
 
-def _any(tests) -> Column:
-    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
 
+def _any(tests) -> str:
+    return f"coalesce({' OR '.join(tests)}, false)"
 
-def _is(value: Column, kind: str) -> Column:
-    """Whether a variant has a JSON type; a whole number written with a point is an integer, too."""
-    named = F.schema_of_variant(value)
-    number = named.isin(*_NUMBERS) | named.startswith("DECIMAL")
-    return {
-        "object": named.startswith("OBJECT"), "array": named.startswith("ARRAY"), "string": named == "STRING", "boolean": named == "BOOLEAN", "null": F.is_variant_null(value),
-        "number": number, "integer": number & (F.try_variant_get(value, "$", "double") % 1 == 0),
-    }[kind]
 
-
-def _equal(value: Column, wanted: Any) -> Column:
-    kind = {str: "string", bool: "boolean", int: "number", float: "number"}[type(wanted)]
-    return _is(value, kind) & (F.try_variant_get(value, "$", {"number": "double"}.get(kind, kind)) == F.lit(wanted))
+def _flat(parts: list[str]) -> str | None:
+    """Arrays put together, without those that are NULL."""
+    return f"flatten(array_compact(array({', '.join(parts)})))" if parts else None
 
 
 def violations(docs: DataFrame, schema: dict[str, Any], keep: list[str], raw: str = "doc") -> DataFrame:
@@ -175,45 +239,26 @@ def violations(docs: DataFrame, schema: dict[str, Any], keep: list[str], raw: st
     Documents are told apart by ``keep``; equal ones give equal rows, once each.
     """
     compiled = Compiled(schema)
-    kept = F.struct(*keep).alias("_keys")
-    rows = docs.select(kept, F.try_parse_json(raw).alias("node"))
-    broken = rows.filter("node is null").select("_keys", F.lit("").alias("path"), F.lit("json: not parseable").alias("violation"))
-    rows = rows.filter("node is not null").select("_keys", F.lit("").alias("path"), F.lit(0).alias("place"), "node")
-    found, possible = [broken], {0}
+    rows = docs.select(F.struct(*keep).alias("_keys"), F.lit("").alias("path"), F.lit(0).alias("place"), F.try_parse_json(raw).alias("node"))
+    found, possible = [], {0}
     while possible:
-        checked = stored_table(rows.select("_keys", "path", _per_place(compiled, possible, _broken).alias("found"), _per_place(compiled, possible, _inner).alias("inner")), "contract-level")
-        found.append(checked.select("_keys", F.explode("found").alias("_f")).select("_keys", "_f.path", "_f.violation"))
-        possible = {no for p in possible for _, no in compiled.places[p].inner}
-        rows = checked.select("_keys", F.explode("inner").alias("_i")).select("_keys", "_i.path", "_i.place", F.parse_json("_i.node").alias("node"))
-        if possible and checked.filter(F.size("inner") > 0).isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found).select("_keys.*", "path", "violation")
-
-
-def _joined(path: Column, below: Column) -> Column:
-    return F.when(path == "", below).when(below == "", path).otherwise(F.concat(path, F.lit("/"), below))
-
-
-def _broken(place: Place, node: Column, path: Column) -> Column:
-    told = [rule(node) for rule in place.checks]
-    parts = [F.when(text.isNotNull(), F.struct(_joined(path, F.lit(where)).alias("path"), text.alias("violation"))) for where, text in told]
-    return F.array_compact(F.array(*parts)) if parts else F.array().cast("array<struct<path:string,violation:string>>")
-
-
-def _inner(place: Place, node: Column, path: Column) -> Column:
-    """Nodes go on as JSON text, which every table format can store."""
-    none = F.array().cast("array<struct<path:string,place:int,node:string>>")
-
-    def sent(rows: Column, no: int) -> Column:
-        return F.coalesce(F.transform(rows, lambda x: F.struct(_joined(path, x["path"]).alias("path"), F.lit(no).alias("place"), F.to_json(x["node"]).alias("node"))), none)
-
-    return F.flatten(F.array(*[sent(rows(node), no) for rows, no in place.inner])) if place.inner else none
-
-
-def _per_place(compiled: Compiled, possible: set[int], rule) -> Column:
-    """The rules of each row's own place."""
-    chain = None
-    for no in sorted(possible):
-        made = rule(compiled.places[no], F.col("node"), F.col("path"))
-        chain = F.when(F.col("place") == no, made) if chain is None else chain.when(F.col("place") == no, made)
-    return chain
+        rules = {no: compiled.places[no].rules for no in possible}
+        broken = _per_place({no: r.found() for no, r in rules.items()}, _FOUND)
+        possible = set().union(*[r.places for r in rules.values()])
+        if possible:
+            checked = stored_table(rows.select("_keys", broken.alias("found"), _per_place({no: r.inner() for no, r in rules.items()}, _ROWS).alias("inner")), "contract-level")
+            found.append(checked.select("_keys", F.explode("found").alias("_f")))
+            inner = checked.filter(F.size("inner") > 0)
+            rows = inner.select("_keys", F.explode("inner").alias("_i")).select("_keys", "_i.path", "_i.place", F.parse_json("_i.node").alias("node"))
+            if inner.isEmpty():
+                break
+        else:
+            found.append(rows.select("_keys", F.explode(broken).alias("_f")))
+    return reduce(DataFrame.unionByName, found).select("_keys.*", "_f.path", "_f.violation")
+
+
+def _per_place(sql: dict[int, str | None], kind: str) -> Column:
+    """The rules of each row's own place, about its node ``n``; one that couldn't be parsed breaks just that."""
+    chain = " ".join(f"WHEN place = {no} THEN {text}" for no, text in sorted(sql.items()) if text)
+    unread = "array(named_struct('path', path, 'violation', 'json: not parseable'))" if kind == _FOUND else "NULL"
+    return F.expr(f"flatten(transform(array(node), n -> cast(CASE WHEN n IS NULL THEN {unread} {chain} END AS {kind})))")

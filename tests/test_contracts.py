@@ -115,3 +115,29 @@ def test_every_registered_contract_compiles():
         assert json_contracts.Compiled(schema).places and (schema_id == "progress/1" or schema["properties"]["schema"] == {"const": schema_id})
     shared = [made()["definitions"] for made in (contract_schemas.activities, contract_schemas.structure, contract_schemas.run)]
     assert all(d[n] == shared[0][n] for d in shared for n in ("fingerprint", "sourceIdentity", "identity"))
+
+
+def test_only_definitions_that_contain_themselves_begin_rows(spark, monkeypatch):
+    stored = []
+    kept = json_contracts.stored_table
+    monkeypatch.setattr(json_contracts, "stored_table", lambda df, purpose: stored.append(purpose) or kept(df, purpose))
+    item = {"name": "", "status": "late", "started_at": None, "finished_at": 1, "artifact_paths": ["a", 2], "diagnostic_ids": [], "extensions": {}}
+    rows = spark.createDataFrame([(1, json.dumps({"steps": [item]})), (2, "{")], "no int, doc string")
+    got = {tuple(r) for r in json_contracts.violations(rows, contract_schemas.run(), ["no"]).collect()}
+    assert not stored and {r for r in got if r[1]} == {
+        (1, "steps/0", "required: notes"), (1, "steps/0/name", "minLength: 1"), (1, "steps/0/status", "enum: completed, skipped, failed, unresolved"),
+        (1, "steps/0/finished_at", "type: string or null"), (1, "steps/0/artifact_paths/1", "type: string"),
+    }
+    assert (2, "", "json: not parseable") in got and len(got) == 6 + sum(1 for r in got if r[0] == 1 and not r[1])
+    docs = [random_node(random.Random(n), 5) for n in range(20)]
+    rows = spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(docs)], "no int, doc string")
+    got = json_contracts.violations(rows, TREE, ["no"]).collect()
+    assert sorted(map(tuple, got)) == sorted((n, *v) for n, d in enumerate(docs) for v in plain(d, TREE, TREE)) and 0 < len(stored) <= 3
+
+
+def test_empty_keys_and_quotes(spark):
+    schema = {"type": "object", "properties": {"it's": {"enum": ["a'b", "c\\d"]}}, "additionalProperties": {"type": "array", "items": {"type": "string", "pattern": r"^\d'$"}}}
+    docs = [{"": 1, "it's": "c\\d"}, {"": ["1'", "x"], "p": {"": 2}}, {"it's": "b", "p": [None, "2'"]}, {"p": [[]]}]
+    rows = spark.createDataFrame([(n, json.dumps(d)) for n, d in enumerate(docs)], "no int, doc string")
+    got = json_contracts.violations(rows, schema, ["no"]).collect()
+    assert sorted(map(tuple, got)) == sorted((n, *v) for n, d in enumerate(docs) for v in plain(d, schema, schema))
