@@ -168,3 +168,48 @@ def test_edges_of_a_package_move_once(spark):
 
     moved = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", final_plan(QUERIES["activities_union"](spark, "/root/testdata/sf0.001")))
     assert moved and not any(re.fullmatch(r"export_id#\d+, \w+#\d+", m) for m in moved)
+
+
+def moved_bytes(df):
+    """Bytes of all rows that a query moved, each exchange once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    seen, todo, total = set(), [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            todo.append(node.plan())
+            continue
+        if name == "Exchange" and node.id() not in seen:
+            seen.add(node.id())
+            total += node.metrics().apply("dataSize").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_nodes_of_a_tree_are_moved_once(spark):
+    tokens, _ = random_tree(7, 300, "p")
+    rows = [(n, p, d, t and t * 1000, h) for n, p, d, t, h in tokens]
+    size = sum(len(t or "") for _, _, _, t, _ in rows)
+    df = spark.createDataFrame(rows, "export_id string, pos bigint, delta int, title string, self_hidden boolean")
+    chunk = F.floor(F.col("pos") / 100)
+    narrow = 200 * len(rows)
+    assert moved_bytes(tree.labels(df, chunk)) < 1.2 * size + 6 * narrow
+    assert moved_bytes(tree.paths(tree.labels(df, chunk))) < 2.5 * size + 12 * narrow
+    flat = tree.labels(df, chunk, above={"up_title": F.col("title")}).collect()
+    titles = {r.pos: r.title for r in flat}
+    assert all(r.up_title == (None if r.parent_pos is None else titles[r.parent_pos]) for r in flat)
+
+
+def test_trees_of_no_package_are_one_range(spark):
+    tokens, facts = random_tree(3, 40, None)
+    df = spark.createDataFrame(tokens, "export_id string, pos bigint, delta int, title string, self_hidden boolean")
+    chunk = F.floor(F.col("pos") / 7)
+    nodes = tree.labels(df, chunk)
+    assert {r.pos: (r.depth, r.parent_pos, r.last_pos, r.descendants) for r in nodes.collect()} == {n: tuple(f[:4]) for n, f in facts.items()}
+    assert {r.pos: r.path for r in tree.paths(nodes, "/").collect()} == {n: "/".join(filter(None, f[4])) for n, f in facts.items()}
