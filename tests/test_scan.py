@@ -124,6 +124,17 @@ def test_containment_equals_brute_force(spark):
     assert got == want
 
 
+def test_containment_moves_numbers(spark):
+    """Words and pairs of sets carry no texts; equal words of other titles and packages, or of none, do not meet."""
+    body = " ".join(f"w{i:02d}xyz" for i in range(40))
+    docs = [("e", 1, "T", body), ("e", 2, "T", body + " more"), ("e", 3, "U", body), ("f", 4, "T", body), (None, 5, "T", body), (None, 6, "T", body + " more")]
+    sets = duplicates.token_sets(spark.createDataFrame(docs, "export_id string, topic_no int, title string, body string"))
+    found = duplicates.containment_matches(sets, sets)
+    assert sorted((r.topic_no, r.before_topic_no) for r in found.collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    counts = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line and "count(1)" in line]
+    assert counts and not any("title" in line or "export_id" in line for line in counts)
+
+
 def test_table_sink_and_changes(spark, tmp_path):
     old = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "export_id string, k int, v string")
     sinks.write_table(old, str(tmp_path / "t"), "items/1", "run-1")
