@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .. import constants as K
+from ..functions.binding import let
 from ..functions.numbers import to_int
 from ..functions.text import clean, unescape
 from . import xml as X
@@ -70,9 +71,15 @@ _ATTRIBUTE_VALUE = r"""[\w.-]+\s*=\s*["']((?<=")[^"]*|(?<=')[^']*)"""
 def attribute_map(tag: Column) -> Column:
     """Attributes of an opening tag as a map, namespace prefixes cut; a repeated name keeps the last value."""
     opening = F.regexp_extract(tag, r"(?s)^<[^\s/>]+(.*?)/?>$", 1)
-    names = F.regexp_extract_all(opening, F.lit(_ATTRIBUTE), F.lit(1))
-    values = F.transform(F.regexp_extract_all(opening, F.lit(_ATTRIBUTE_VALUE), F.lit(1)), lambda v: clean(unescape(v)))
-    pairs = F.arrays_zip(names.alias("k"), values.alias("v"))
+    found = F.struct(
+        F.regexp_extract_all(opening, F.lit(_ATTRIBUTE), F.lit(1)).alias("names"),
+        F.regexp_extract_all(opening, F.lit(_ATTRIBUTE_VALUE), F.lit(1)).alias("values"),
+    )
+    return let(found, lambda f: _last_values(f["names"], f["values"]))
+
+
+def _last_values(names: Column, values: Column) -> Column:
+    pairs = F.arrays_zip(names.alias("k"), F.transform(values, lambda v: clean(unescape(v))).alias("v"))
     last = F.filter(pairs, lambda p, i: F.array_position(F.slice(names, i + 2, F.greatest(F.size(names), F.lit(1))), p["k"]) == 0)
     return F.map_from_entries(last)
 

@@ -35,12 +35,13 @@ def plain(xml: Column) -> Column:
         return F.when(p.startswith("<![CDATA["), safe).when(p.startswith("<!--"), F.lit("")).otherwise(p)
 
     cut = F.array_join(F.transform(F.regexp_extract_all(xml, F.lit(_PIECES), F.lit(0)), piece), "")
-    return F.when(F.contains(xml, F.lit("<![CDATA[")), cut).otherwise(F.regexp_replace(xml, COMMENT, ""))
+    return F.when(F.contains(xml, F.lit("<![CDATA[")), cut).when(F.contains(xml, F.lit("<!--")), F.regexp_replace(xml, COMMENT, "")).otherwise(xml)
 
 
 def element_strings(xml: Column, name: str) -> Column:
     """Array of the outer XML of every element with this local name (not nested in itself)."""
-    pattern = rf"(?s)<(?:\w+:)?{name}(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|(?<!/)>.*?</(?:\w+:)?{name}\s*+>)"
+    close = rf"/(?:\w++:)?{name}\s*+>"
+    pattern = rf"<(?:\w++:)?{name}(?=[\s/>]){_ATTRIBUTES}(?:(?<=/)>|(?<!/)>[^<]*+(?:<(?!{close})[^<]*+)*+<{close})"
     return F.regexp_extract_all(plain(xml), F.lit(pattern), F.lit(0))
 
 
