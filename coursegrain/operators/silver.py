@@ -199,17 +199,18 @@ def checklist_entries(files: DataFrame) -> DataFrame:
     rows = X.elements(files, "checklist", CHECKLIST, _KEYS).withColumnRenamed("pos", "checklist_no")
     cats = rows.select("export_id", "checklist_no", X.field("e._resource_code").alias("resource_code"), F.posexplode("e.category").alias("category_no", "c"))
     order = lambda p: to_int(F.col(p))
-    cat_rows = cats.select(
+    # a category's label goes before its items, so that the file is read once
+    label = F.struct(F.lit(-1).alias("no"), F.col("c.name").alias("name"), F.lit(None).cast("string").alias("_sort_order"), F.col("c.description").alias("description"))
+    items = F.transform("c.item", lambda i, n: F.struct(n.alias("no"), i["name"].alias("name"), i["_sort_order"].alias("_sort_order"), i["description"].alias("description")))
+    entries = cats.select(
         "export_id", "checklist_no", "resource_code", order("c._sort_order").alias("category_order"), "category_no",
-        F.lit(-1).alias("item_order"), F.lit(-1).alias("item_no"), F.lit("label").alias("entry"), X.field("c.name").alias("text"), _html("c.description").alias("html"),
+        F.explode(F.when(F.col("c.item").isNull(), F.array(label)).otherwise(F.concat(F.array(label), items))).alias("i"),
     )
-    items = cats.select(
-        "export_id", "checklist_no", "resource_code", order("c._sort_order").alias("category_order"), "category_no", F.posexplode("c.item").alias("item_no", "i"),
-    ).select(
-        "export_id", "checklist_no", "resource_code", "category_order", "category_no", order("i._sort_order").alias("item_order"), "item_no",
-        F.lit("li").alias("entry"), X.field("i.name").alias("text"), _html("i.description").alias("html"),
+    is_label = F.col("i.no") < 0
+    return entries.select(
+        "export_id", "checklist_no", "resource_code", "category_order", "category_no", F.when(is_label, -1).otherwise(order("i._sort_order")).alias("item_order"),
+        F.col("i.no").alias("item_no"), F.when(is_label, "label").otherwise("li").alias("entry"), X.field("i.name").alias("text"), _html("i.description").alias("html"),
     )
-    return cat_rows.unionByName(items)
 
 
 _SETTINGS = ("is_active", "attempts_allowed", "time_limit", "enforce_time_limit", "date_due", "intro_message", "show_clock", "mark_calculation_type")
