@@ -176,7 +176,7 @@ def rubric_cells(t: Tables) -> DataFrame:
            (VALUES ('Exceeds', 1, '90%+'), ('Meets', 2, '75.5%+'), ('Not Demonstrated', 3, '0%')) v(level_name, sort_order, score_band)
 """)
 def rubric_bands(t: Tables) -> DataFrame:
-    rows = rubrics.rubrics(rubric_files(t))
+    rows = rubrics.stored_levels(rubrics.rubrics(rubric_files(t)))  # files are decoded once
     return rubrics.level_bands(rubrics.levels(rows), rubrics.overall_levels(rows)).select("export_id", "rubric_id", "level_name", "sort_order", "score_band")
 
 

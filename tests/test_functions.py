@@ -2,6 +2,9 @@
 
 import html
 import json
+import random
+import re
+import time
 from urllib.parse import unquote
 
 import pytest
@@ -20,6 +23,29 @@ def test_unescape(spark):
     assert run(spark, values, text.unescape) == [html.unescape(v) for v in values]
 
 
+BLANK = "\t\n\x0b\x0c\r \x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
+def test_blank_space(spark):
+    random.seed(3)
+    signs = BLANK + "  a!~\x7f\x00\u200b\u180eé😀"
+    values = ["", " ", "\r\n", "a", "😀", *("".join(random.choices(signs, k=n % 9)) for n in range(400))]
+    assert run(spark, values, text.strip) == [v.strip(BLANK) for v in values]
+    assert run(spark, values, text.collapse) == [re.sub(f"[{BLANK}]+", " ", v).strip(" ") for v in values]
+
+
+def test_long_blank_space_is_read_once(spark):
+    wide = "a" + " " * 400_000 + "b"
+    started = time.time()
+    assert run(spark, [wide], text.strip) == [wide] and run(spark, [wide], text.collapse) == ["a b"]
+    assert time.time() - started < 20
+
+
+def test_rich_text_lines(spark):
+    values = ["<p>a  b</p><p>c</P >d<br/>e<li\nx='1'>f</td>", "<pre>a</pre> <b>\r\nb</b>\x0b \x1e&amp;lt;\u2028c", "  a < b  ", "", "x > y", "&lt;p&gt;q&lt;/p&gt;"]
+    assert run(spark, values, text.rich_text) == ["a b\nc\nd\ne\nf", "a\nb\n<\nc", "a < b", "", "x > y", "q"]
+
+
 def test_format_points(spark):
     values = ["10.000000000", "7.50", "", "abc", " 3 ", "12345.65", "68423.45", "100000.5", "999999.5", "0.00001", "-2.25", "1234567.5", "0.125"]
 
